@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["scans"]
+SECTIONS = ["scans", "projections", "joins"]
 
 
 def _load() -> None:

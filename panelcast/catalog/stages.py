@@ -1,6 +1,7 @@
 """Stage frames the registered queries start from: panel, cleaned panel, forecasts, scores, champions.
 
-All of them are lazy and derived from the source tables; nothing is cached or collected here.
+The panel and the forecasts are stage tables (see ``session.staged``), everything else is lazy. The
+``build_*`` functions give the same frames as one lazy plan from the source tables.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from panelcast.operators import clean as C
 from panelcast.operators import horizon as H
 from panelcast.operators import models as M
 from panelcast.operators import windows as X
+from panelcast.session import staged
 from panelcast.sources.panel import SNAPSHOTS, horizon_panel
 from panelcast.sources.tables import version_number, with_partition
 
@@ -26,22 +28,30 @@ NOW = "2001-07-25 12:00:00"
 DATA_TABLE = "horizon_panel"
 
 
-def panel_all(spark: SparkSession, d: str) -> DataFrame:
+def build_panel_all(spark: SparkSession, d: str) -> DataFrame:
     """Every snapshot, including rows whose version label has no number."""
     return with_partition(horizon_panel(spark, d), BRAND_KEY_COLUMNS)
 
 
+def panel_all(spark: SparkSession, d: str) -> DataFrame:
+    return staged(spark, "panel", d, lambda: build_panel_all(spark, d), "VERSION")
+
+
 def panel(spark: SparkSession, d: str) -> DataFrame:
-    """The newest snapshot; the filter reaches the snapshot list before the panel is expanded."""
+    """The newest snapshot; only its folder is read."""
     return panel_all(spark, d).filter(F.col("VERSION") == LATEST)
 
 
-def clean_all(spark: SparkSession, d: str) -> DataFrame:
-    """All numbered snapshots with the target filled forward."""
-    rows = panel_all(spark, d).filter(version_number("VERSION").isNotNull())
+def cleaned(rows: DataFrame) -> DataFrame:
+    """Numbered snapshots with the target filled forward."""
+    rows = rows.filter(version_number("VERSION").isNotNull())
     return C.ffill_target(rows, SERIES).withColumn("ORIGIN_QUARTER", origin_quarter("MOF_VERSION"))
 
 
+def clean_all(spark: SparkSession, d: str) -> DataFrame:
+    return cleaned(panel_all(spark, d))
+
+
 def clean(spark: SparkSession, d: str) -> DataFrame:
     return clean_all(spark, d).filter(F.col("VERSION") == LATEST)
 
@@ -51,10 +61,18 @@ def split_panel(spark: SparkSession, d: str) -> DataFrame:
     return X.split_train_val_test(clean(spark, d), ["PARTITION_COLUMN"])
 
 
+def forecast_rows(rows: DataFrame) -> DataFrame:
+    """Three forecasts per row; ``BILLING`` is what was really observed."""
+    return C.standard_renames(M.naive_forecasts(rows, SERIES).drop("BB").withColumnRenamed("BB_RAW", "BB"))
+
+
+def build_forecasts(spark: SparkSession, d: str) -> DataFrame:
+    """Forecasts of the newest snapshot as one lazy plan."""
+    return forecast_rows(cleaned(build_panel_all(spark, d).filter(F.col("VERSION") == LATEST)))
+
+
 def forecasts_all(spark: SparkSession, d: str) -> DataFrame:
-    """Three forecasts per row of every snapshot; ``BILLING`` is what was really observed."""
-    rows = M.naive_forecasts(clean_all(spark, d), SERIES)
-    return C.standard_renames(rows.drop("BB").withColumnRenamed("BB_RAW", "BB"))
+    return staged(spark, "forecasts", d, lambda: forecast_rows(clean_all(spark, d)), "VERSION")
 
 
 def forecasts(spark: SparkSession, d: str) -> DataFrame:

@@ -28,7 +28,7 @@ NAIVE_MODELS = ["MEAN4", "SEASONAL_NAIVE", "TREND"]
 
 def naive_forecasts(
     df: DataFrame, keys: Sequence[str], target: str = "BB", quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER",
-    season: int = 4,
+    season: int = 4, order_by: str = "QUARTER_PARSED",
 ) -> DataFrame:
     """Three forecasts for every quarter of a series, trained on quarters up to the origin.
 
@@ -38,7 +38,7 @@ def naive_forecasts(
     per calendar quarter. All windows share the series key: one shuffle, one sort.
     """
     series = W.partitionBy(*keys)
-    order = series.orderBy("_qi")
+    order = series.orderBy(order_by)
     cents = exact_cents(target).cast("decimal(20,0)")
     df = df.withColumns({"_qi": quarter_index(quarter), "_oi": quarter_index(origin)}).withColumn("k", F.col("_qi") - F.col("_oi"))
     trained = (F.col("k") <= 0) & F.col(target).isNotNull()

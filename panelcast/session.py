@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings that matter at scale; cluster sizing stays with whoever starts the job.
 TUNING = {
@@ -34,3 +36,27 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared if shared else tempfile.mkdtemp(prefix="panelcast-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+_STAGED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def staged(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+    """A stage table: written once per application and source by the executors, then read.
+
+    The lifecycle hands stored tables from step to step, so steps that share a stage do not derive it
+    again from the source tables. The files lie in the shared folder and survive lost executors.
+    """
+    key = (spark.sparkContext.applicationId, source, name)
+    if key not in _STAGED:
+        frame = build()
+        path = scratch_dir(spark, name)
+        writer = frame.write
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+        fields = [f for f in frame.schema.fields if f.name != partition_by]
+        fields += [f for f in frame.schema.fields if f.name == partition_by]
+        _STAGED[key] = (path, StructType(fields))
+    path, schema = _STAGED[key]
+    return spark.read.schema(schema).parquet(path)

@@ -6,13 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelcast.functions.quarters import as_column
 
 
+_KNOWN_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table as it is; the scan is pruned by whatever follows."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table as it is; the scan is pruned by whatever follows.
+
+    The footer is read for the schema once per path and process, not once per use in a plan.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _KNOWN_SCHEMAS:
+        _KNOWN_SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
 
 
 def load_fixture(spark: SparkSession, path: str) -> DataFrame:
