@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["scans", "projections", "joins"]
+SECTIONS = ["scans", "projections", "joins", "aggregations", "windows", "scalars"]
 
 
 def _load() -> None:
