@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["scans", "projections", "joins", "aggregations", "windows", "scalars"]
+SECTIONS = ["scans", "projections", "joins", "aggregations", "windows", "scalars", "streams", "modeling"]
 
 
 def _load() -> None:

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from panelcast.catalog import stages as S
 from panelcast.catalog.registry import register
-from panelcast.config import load_config
+from panelcast.config import SELECT_COLUMNS, load_config
 from panelcast.operators import horizon as H
 from panelcast.operators import params as P
+from panelcast.plans.flagship import champion_by_partition
 from panelcast.session import scratch_dir
 from panelcast.sources import sinks, tables
 
@@ -39,6 +40,23 @@ def customers_by_segment(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+_FLAGSHIP = [f"Q{h}_MAPE" for h in H.HORIZONS]
+register(
+    "flagship_champion",
+    champion_by_partition,
+    f"""SELECT MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, HORIZON_MAPE, {', '.join(_FLAGSHIP)} FROM scores_all
+        WHERE VERSION = 'V_3' AND HORIZON_MAPE > 0
+        QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY HORIZON_MAPE, MODEL_USED) = 1""",
+    {6: "HORIZON_MAPE " + " ".join(_FLAGSHIP)},
+)
+
+_PANEL = [c for c in SELECT_COLUMNS if c != "QUARTER_PARSED"]
+register(
+    "horizon_panel",
+    lambda s, d: S.build_panel_all(s, d).select("VERSION", "PARTITION_COLUMN", *_PANEL),
+    f"SELECT VERSION, PARTITION_COLUMN, {', '.join(_PANEL)} FROM panel_all",
+)
+
 register(
     "scan_latest_version",
     lambda s, d: tables.scan_latest_version(S.panel_all(s, d)).select("VERSION", *KEYS, "BB", "MOF_0_MONTH", "SR_MINUS3_MONTH"),

@@ -80,7 +80,7 @@ register(
     "impute_history_ma",
     lambda s, d: C.impute_history_ma(S.clean(s, d), [P]).select(*KEYS, *[f"BILLING_MOVING_AVERAGE_{n}Q" for n in MOVING_AVERAGE_WINDOWS]),
     _IMPUTE,
-    {3: " ".join(f"BILLING_MOVING_AVERAGE_{n}Q" for n in MOVING_AVERAGE_WINDOWS)},
+    {5: " ".join(f"BILLING_MOVING_AVERAGE_{n}Q" for n in MOVING_AVERAGE_WINDOWS)},
 )
 
 register(

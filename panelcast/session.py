@@ -60,3 +60,8 @@ def staged(spark: SparkSession, name: str, source: str, build: Callable[[], Data
         _STAGED[key] = (path, StructType(fields))
     path, schema = _STAGED[key]
     return spark.read.schema(schema).parquet(path)
+
+
+def staged_location(spark: SparkSession, name: str, source: str) -> tuple[str, StructType]:
+    """Folder and schema of a stage table that was already written, e.g. to stream its files."""
+    return _STAGED[(spark.sparkContext.applicationId, source, name)]
