@@ -136,7 +136,7 @@ def _countdown(spark: SparkSession, d: str) -> DataFrame:
 
 register(
     "overall_mape",
-    lambda s, d: S.window_metrics(s, d).select(P, "MODEL_USED", "BACKTEST_WINDOW", "MAPE", "prediction_count"),
+    lambda s, d: S.build_window_metrics(s, d).select(P, "MODEL_USED", "BACKTEST_WINDOW", "MAPE", "prediction_count"),
     "SELECT PARTITION_COLUMN, MODEL_USED, BACKTEST_WINDOW, MAPE, prediction_count FROM win_metrics",
     {6: "MAPE"},
 )
@@ -161,7 +161,7 @@ register(
 _QS = [f"Q{h}_MAPE" for h in range(1, 7)]
 register(
     "horizon_mape",
-    lambda s, d: S.horizon_scores_all(s, d),
+    lambda s, d: S.build_scores(s, d),
     f"SELECT VERSION, MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, {', '.join(_QS)}, HORIZON_MAPE FROM scores_all",
     {6: " ".join(_QS) + " HORIZON_MAPE"},
 )

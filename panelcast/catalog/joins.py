@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.catalog import stages as S
-from panelcast.catalog.oracle import qlabel
+from panelcast.catalog.oracle import known, qlabel
 from panelcast.catalog.projections import KEYS, K
 from panelcast.catalog.registry import register
 from panelcast.operators import clean as C
@@ -50,8 +50,8 @@ def _payload(spark: SparkSession, d: str) -> DataFrame:
 
 # fixed values: straight lines per partition and regressor, used by several statements
 UNIVARIATE_SQL = " UNION ALL ".join(
-    f"""SELECT PARTITION_COLUMN, '{r}' AS regressor, count(*) AS n, regr_slope(BB, coalesce({r}, 0)) AS coefficient,
-          regr_intercept(BB, coalesce({r}, 0)) AS intercept, avg(coalesce({r}, 0)) AS x_mean
+    f"""SELECT PARTITION_COLUMN, '{r}' AS regressor, count(*) AS n, {known(f'regr_slope(BB, coalesce({r}, 0))')} AS coefficient,
+          {known(f'regr_intercept(BB, coalesce({r}, 0))')} AS intercept, avg(coalesce({r}, 0)) AS x_mean
         FROM split_panel WHERE split = 'train' AND BB IS NOT NULL GROUP BY PARTITION_COLUMN"""
     for r in REGRESSORS
 )

@@ -116,7 +116,7 @@ register(
     f"""SELECT PARTITION_COLUMN, MODEL_USED, avg(abs(BILLING - BILLING_PREDICTED)) AS val_mae, avg({ape('BILLING', 'BILLING_PREDICTED')}) AS val_mape, count(*) AS n_val
         FROM (SELECT *, row_number() OVER (PARTITION BY PARTITION_COLUMN, MODEL_USED ORDER BY qi DESC) AS back FROM fc)
         WHERE back IN (7, 8) AND BILLING IS NOT NULL AND BILLING_PREDICTED IS NOT NULL GROUP BY ALL""",
-    {4: "val_mae", 6: "val_mape"},
+    {6: "val_mae val_mape"},
 )
 
 
@@ -178,7 +178,7 @@ register(
 _QS = [f"Q{h}_MAPE" for h in range(1, 7)]
 register(
     "evaluate_windows",
-    lambda s, d: S.window_metrics(s, d),
+    lambda s, d: S.build_window_metrics(s, d),
     f"""SELECT MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, BACKTEST_WINDOW, WINDOW_START_QUARTER, WINDOW_END_QUARTER, MAPE, prediction_count,
           {', '.join(_QS)}, HORIZON_MAPE FROM win_metrics""",
     {6: "MAPE HORIZON_MAPE " + " ".join(_QS)},

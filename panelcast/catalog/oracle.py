@@ -107,10 +107,15 @@ _MARKS = ", ".join(
 )
 
 
+def known(x: str) -> str:
+    """NULL for what is not a number: DuckDB gives NaN for a fit on a constant regressor."""
+    return f"CASE WHEN isnan({x}) THEN NULL ELSE {x} END"
+
+
 def mean_of(names: list[str]) -> str:
     total = " + ".join(f"coalesce({n}, 0)" for n in names)
-    known = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE 1 END" for n in names)
-    return f"(({total}) / nullif(({known}), 0))"
+    count = " + ".join(f"CASE WHEN {n} IS NULL THEN 0 ELSE 1 END" for n in names)
+    return f"(({total}) / nullif(({count}), 0))"
 
 
 _Q_MAPE = ", ".join(f"avg(CASE WHEN k = {h} THEN ape END) AS Q{h}_MAPE" for h in range(1, 7))
@@ -196,7 +201,7 @@ CTES: dict[str, str] = {
     "champ_all": """
   SELECT VERSION, MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, HORIZON_MAPE FROM scores_all
   WHERE HORIZON_MAPE IS NOT NULL AND HORIZON_MAPE > 0
-  QUALIFY row_number() OVER (PARTITION BY VERSION, PARTITION_COLUMN ORDER BY HORIZON_MAPE, MODEL_USED) = 1""",
+  QUALIFY row_number() OVER (PARTITION BY VERSION, PARTITION_COLUMN ORDER BY round(HORIZON_MAPE, 9), MODEL_USED) = 1""",
     "pred_all": """
   SELECT f.*, strftime(load_ts, 'V_%Y%m%d_%H%M%S') AS PREDICTIONS_VERSION, load_ts AS LOAD_TS, f.ape AS APE_
   FROM fc_all f JOIN champ_all c USING (VERSION, PARTITION_COLUMN, MODEL_USED)
@@ -227,7 +232,7 @@ CTES: dict[str, str] = {
     "champ": """
   SELECT *, BT_SELECTION_SCORE AS selection_score FROM bt_scores
   WHERE MAPE > 0 AND BT_SELECTION_SCORE IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY BT_SELECTION_SCORE, MODEL_USED) = 1""",
+  QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY round(BT_SELECTION_SCORE, 9), MODEL_USED) = 1""",
     "results_all": """
   SELECT s.VERSION, s.MARKET_SEGMENT, s.PARTITION_COLUMN, s.MODEL_USED, s.HORIZON_MAPE AS mape, load_ts AS LOAD_TS,
          'run_' || lower(s.VERSION) AS run_id, 'horizon_panel' AS DATA_TABLE, c.MODEL_USED IS NOT NULL AS is_champion,

@@ -65,7 +65,7 @@ register(
     "ape",
     lambda s, d: S.forecasts(s, d).select(*KEYS, "MODEL_USED", ME.ape("BILLING", "BILLING_PREDICTED").alias("APE")),
     f"SELECT {K}, MODEL_USED, {ape('BILLING', 'BILLING_PREDICTED')} AS APE FROM fc",
-    {9: "APE"},
+    {6: "APE"},
 )
 register(
     "indicator",

@@ -46,7 +46,7 @@ register(
     champion_by_partition,
     f"""SELECT MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, HORIZON_MAPE, {', '.join(_FLAGSHIP)} FROM scores_all
         WHERE VERSION = 'V_3' AND HORIZON_MAPE > 0
-        QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY HORIZON_MAPE, MODEL_USED) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY round(HORIZON_MAPE, 9), MODEL_USED) = 1""",
     {6: "HORIZON_MAPE " + " ".join(_FLAGSHIP)},
 )
 

@@ -1,7 +1,8 @@
 """Stage frames the registered queries start from: panel, cleaned panel, forecasts, scores, champions.
 
-The panel and the forecasts are stage tables (see ``session.staged``), everything else is lazy. The
-``build_*`` functions give the same frames as one lazy plan from the source tables.
+What the lifecycle stores between its steps is a stage table here (see ``session.staged``): panel,
+forecasts, scores, evaluation metrics, predictions. Everything else is lazy. The ``build_*`` functions
+give the plan of a stage itself.
 """
 
 from __future__ import annotations
@@ -80,6 +81,10 @@ def forecasts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def horizon_scores_all(spark: SparkSession, d: str) -> DataFrame:
+    return staged(spark, "scores", d, lambda: build_scores(spark, d), "VERSION")
+
+
+def build_scores(spark: SparkSession, d: str) -> DataFrame:
     """Per snapshot, partition and model: Q1..Q6 errors and their mean."""
     return H.horizon_mape_wide(forecasts_all(spark, d), ["VERSION", "MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"])
 
@@ -103,6 +108,10 @@ def predictions_label(version: str = "VERSION"):
 
 
 def predictions_all(spark: SparkSession, d: str) -> DataFrame:
+    return staged(spark, "predictions", d, lambda: build_predictions(spark, d), "PREDICTIONS_VERSION")
+
+
+def build_predictions(spark: SparkSession, d: str) -> DataFrame:
     """What each snapshot published: the champion's forecasts with their error and load time."""
     best = champions_all(spark, d).select(*SERIES, "MODEL_USED")
     rows = forecasts_all(spark, d).join(best, [*SERIES, "MODEL_USED"])
@@ -111,7 +120,11 @@ def predictions_all(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def window_metrics(spark: SparkSession, d: str, n_windows: int = 3) -> DataFrame:
+def window_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return staged(spark, "eval_metrics", d, lambda: build_window_metrics(spark, d))
+
+
+def build_window_metrics(spark: SparkSession, d: str, n_windows: int = 3) -> DataFrame:
     """Evaluation rows of the newest snapshot, one per partition, model and backtest window."""
     windows = X.backtest_windows(panel(spark, d), n_windows)
     return H.evaluate_windows(forecasts(spark, d), windows, ["MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"])

@@ -257,7 +257,7 @@ register(
 register(
     "topk_params",
     lambda s, d: M.topk_params(_ranked_windows(s, d), 2).select(P, "MODEL_USED", "rank", "val_ape"),
-    """SELECT PARTITION_COLUMN, MODEL_USED, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY HORIZON_MAPE NULLS LAST, MODEL_USED) AS rank, HORIZON_MAPE AS val_ape
+    """SELECT PARTITION_COLUMN, MODEL_USED, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY round(HORIZON_MAPE, 9) NULLS LAST, MODEL_USED) AS rank, HORIZON_MAPE AS val_ape
        FROM bt_scores QUALIFY rank <= 2""",
     {6: "val_ape"},
 )
@@ -267,7 +267,7 @@ def _ranked_windows(spark: SparkSession, d: str) -> DataFrame:
     """The tried settings here are the model families, ranked by their mean error."""
     from pyspark.sql import Window
 
-    order = Window.partitionBy(P).orderBy(F.col("val_ape").asc_nulls_last(), "MODEL_USED")
+    order = Window.partitionBy(P).orderBy(F.round("val_ape", 9).asc_nulls_last(), "MODEL_USED")
     return S.backtest_scores(spark, d).withColumnRenamed("HORIZON_MAPE", "val_ape").withColumn("rank", F.row_number().over(order))
 
 

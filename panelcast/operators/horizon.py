@@ -188,7 +188,9 @@ def select_champion(
     """The model with the lowest score per key; equal scores go to the first name.
 
     The score column is the first candidate that has any value in the whole table. Only models with a
-    valid error compete. ``min_by`` keeps one row per key map-side, so there is no sort.
+    valid error compete. ``min_by`` keeps one row per key map-side, so there is no sort. Scores are
+    averages whose last bits depend on the order of addition, hence they are compared at 9 decimals: a tie
+    stays a tie on every run.
     """
     rivals = metrics.filter(is_valid_metric(metric) & (F.col(metric) > 0))
     candidates = [c for c in (score, *fallbacks) if c in metrics.columns]
@@ -199,7 +201,7 @@ def select_champion(
     scored = rivals.crossJoin(F.broadcast(verdict)).withColumn("selection_score", chosen)
     scored = scored.drop(*[f"_has_{i}" for i in range(len(candidates))]).filter(F.col("selection_score").isNotNull())
     rest = [c for c in scored.columns if c not in key]
-    best = scored.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct("selection_score", model)).alias("_row"))
+    best = scored.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(F.round("selection_score", 9), model)).alias("_row"))
     return best.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 

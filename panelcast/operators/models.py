@@ -316,52 +316,74 @@ def autoreg_forecast(df: DataFrame, fits: DataFrame, keys: Sequence[str], horizo
     )
 
 
-def _huber_fit(x: np.ndarray, y: np.ndarray, epsilon: float = 1.35, rounds: int = 30) -> np.ndarray:
-    """Robust slopes by reweighting: residuals beyond ``epsilon`` scales count linearly."""
-    design = np.column_stack([x, np.ones(len(y))])
-    weights = np.ones(len(y))
-    beta = np.zeros(design.shape[1])
+def _huber_slopes(x: np.ndarray, y: np.ndarray, real: np.ndarray, epsilon: float = 1.35, rounds: int = 30) -> np.ndarray:
+    """Robust slopes of many small regressions at once, by reweighting.
+
+    Shapes are (series, rows, features); ``real`` marks rows that are not padding. Residuals beyond
+    ``epsilon`` scales of their series count linearly.
+    """
+    design = np.concatenate([x, np.ones((*x.shape[:2], 1))], axis=2) * real[:, :, None]
+    jitter = 1e-9 * np.eye(design.shape[2])
+    weights = real.astype(float)
     for _ in range(rounds):
-        root = np.sqrt(weights)[:, None]
-        new = np.linalg.lstsq(design * root, y * root[:, 0], rcond=None)[0]
-        residual = y - design @ new
-        scale = np.median(np.abs(residual)) / 0.6745 or 1.0
-        weights = np.minimum(1.0, epsilon * scale / np.maximum(np.abs(residual), 1e-12))
-        if np.allclose(new, beta, rtol=1e-8, atol=1e-10):
-            break
-        beta = new
-    return beta[:-1]
+        gram = np.einsum("srp,sr,srq->spq", design, weights, design) + jitter
+        beta = np.linalg.solve(gram, np.einsum("srp,sr,sr->sp", design, weights, y)[:, :, None])[:, :, 0]
+        size = np.abs(y - np.einsum("srp,sp->sr", design, beta))
+        scale = np.nanmedian(np.where(real, size, np.nan), axis=1) / 0.6745
+        scale = np.where(scale > 0, scale, 1.0)
+        weights = np.minimum(1.0, epsilon * scale[:, None] / np.maximum(size, 1e-12)) * real
+    return np.abs(beta[:, :-1])
 
 
 def select_features(df: DataFrame, keys: Sequence[str], xs: Sequence[str], n_features: Column, y: str = "BB", split: str = "split") -> DataFrame:
     """Backward elimination on standardised training rows: the weakest regressor goes until n remain.
 
-    The robust fit reweights rows, so this is the one fit that sees rows. They are the training quarters
-    of one series (a few dozen, one per calendar quarter).
+    The robust fit reweights rows, so this is the one fit that sees rows: the training quarters of one
+    series, at most one per calendar quarter. They travel as one array per series and a batch of series
+    is eliminated together.
     """
-    rows = training_rows(df, xs, y, split).withColumn("_keep", n_features).select(*keys, *xs, F.col(y).alias("_y"), "_keep")
+    rows = training_rows(df, xs, y, split).withColumn("_keep", n_features)
+    packed = rows.groupBy(*keys).agg(
+        F.collect_list(F.array(*[F.col(x) for x in xs], F.col(y).cast("double"))).alias("_rows"), F.max("_keep").alias("_keep")
+    )
     schema = T.StructType(
-        [rows.schema[c] for c in keys]
+        [packed.schema[c] for c in keys]
         + [T.StructField("selected", T.ArrayType(T.StringType())), T.StructField("dropped", T.ArrayType(T.StringType()))]
     )
     names = list(xs)
 
-    def eliminate(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[names].to_numpy(dtype=float)
-        spread = x.std(axis=0)
-        x = (x - x.mean(axis=0)) / np.where(spread == 0, 1.0, spread)
-        y_values = pdf["_y"].to_numpy(dtype=float)
-        y_values = (y_values - y_values.mean()) / (y_values.std() or 1.0)
-        left = list(range(len(names)))
-        while len(left) > int(pdf["_keep"].iloc[0]):
-            slopes = np.abs(_huber_fit(x[:, left], y_values))
-            left.pop(int(np.argmin(slopes)))
-        row = {c: [pdf[c].iloc[0]] for c in keys}
-        row["selected"] = [[names[i] for i in left]]
-        row["dropped"] = [[m for i, m in enumerate(names) if i not in left]]
-        return pd.DataFrame(row)
+    def standard(values: np.ndarray, real: np.ndarray) -> np.ndarray:
+        n = real.sum(axis=1)[:, None]
+        mask = real[:, :, None]
+        mean = (values * mask).sum(axis=1) / n
+        centred = (values - mean[:, None, :]) * mask
+        spread = np.sqrt((centred**2).sum(axis=1) / n)
+        return centred / np.where(spread > 0, spread, 1.0)[:, None, :]
+
+    def eliminate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            tables = [np.array(r.tolist(), dtype=float).reshape(-1, len(names) + 1) for r in batch["_rows"]]
+            longest = max(len(t) for t in tables)
+            block = np.zeros((len(tables), longest, len(names) + 1))
+            real = np.zeros((len(tables), longest), dtype=bool)
+            for i, t in enumerate(tables):
+                block[i, : len(t)] = t
+                real[i, : len(t)] = True
+            block = standard(block, real)
+            active = np.ones((len(tables), len(names)), dtype=bool)
+            keep = batch["_keep"].to_numpy(dtype=int)
+            while (too_many := active.sum(axis=1) > keep).any():
+                slopes = _huber_slopes(block[:, :, :-1] * active[:, None, :], block[:, :, -1], real)
+                weakest = np.argmin(np.where(active, slopes, np.inf), axis=1)
+                active[np.flatnonzero(too_many), weakest[too_many]] = False
+            out = batch[list(keys)].copy()
+            out["selected"] = [[n for n, a in zip(names, row) if a] for row in active]
+            out["dropped"] = [[n for n, a in zip(names, row) if not a] for row in active]
+            yield out
 
-    return rows.groupBy(*keys).applyInPandas(eliminate, schema)
+    return packed.mapInPandas(eliminate, schema)
 
 
 def grid_alphas(values: Sequence[float]) -> Column:
@@ -391,7 +413,7 @@ def param_grid_search(
         .groupBy(*keys, "alpha")
         .agg(F.avg(ape(y, "_p")).alias("val_ape"), F.avg(F.abs(F.col(y) - F.col("_p"))).alias("val_mae"))
     )
-    order = W.partitionBy(*keys).orderBy(F.col("val_ape").asc_nulls_last(), F.col("alpha"))
+    order = W.partitionBy(*keys).orderBy(F.round("val_ape", 9).asc_nulls_last(), F.col("alpha"))
     return scored.withColumn("rank", F.row_number().over(order))
 
 
@@ -467,7 +489,7 @@ def train_dispatch(
     skipped = F.lit(False)
     if allowed is not None:
         marks = allowed.select(segment, F.upper("model").alias("MODEL_USED")).distinct().withColumn("_ok", F.lit(True))
-        out = out.join(F.broadcast(marks), [segment, "MODEL_USED"], "left")
+        out = out.join(marks, [segment, "MODEL_USED"], "left")
         skipped = F.col("_ok").isNull()
     return out.withColumns(
         {

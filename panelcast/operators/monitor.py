@@ -125,12 +125,10 @@ def check_summary(records: DataFrame, checks: DataFrame | None = None) -> DataFr
     if checks is not None:
         per = checks.select("check_type").join(per, "check_type", "left").na.fill(0, ["total", "failed"])
     rate = F.when(F.col("total") > 0, F.concat(F.format_string("%.1f", F.try_divide(F.col("failed") * 100.0, F.col("total"))), F.lit("%")))
-    verdict = per.agg((F.sum("failed") > 0).alias("_any"))
-    return (
-        per.withColumns({"passed": F.col("total") - F.col("failed"), "alert_rate": F.coalesce(rate, F.lit("N/A"))})
-        .crossJoin(F.broadcast(verdict))
-        .withColumn("status", F.when(F.col("_any"), "NEEDS_ATTENTION").otherwise("PASS"))
-        .drop("_any")
+    every = W.partitionBy(F.lit(0))  # one row per kind of check
+    status = F.when(F.max("failed").over(every) > 0, "NEEDS_ATTENTION").otherwise("PASS")
+    return per.withColumns(
+        {"passed": F.col("total") - F.col("failed"), "alert_rate": F.coalesce(rate, F.lit("N/A")), "status": status}
     )
 
 
