@@ -85,17 +85,18 @@ def _pair_correlations(complete: DataFrame, columns: Sequence[str], left: Sequen
     """
     firsts = list(left) if left is not None else list(columns[:-1])
     place = {c: i for i, c in enumerate(columns)}
-    cells = F.array(*[F.struct(F.lit(c).alias("a"), F.lit(place[c]).alias("i"), F.col(c).alias("x")) for c in firsts])
-    long = complete.select(*columns, F.explode(cells).alias("_c")).select(*columns, "_c.a", "_c.i", "_c.x")
-    spread = F.stddev_pop("x")
-    moments = long.groupBy("a", "i").agg(
-        *[F.try_divide(F.covar_pop("x", c), spread * F.stddev_pop(c)).alias(c) for c in columns]
+    cells = F.array(*[F.struct(F.lit(place[c]).alias("i"), F.col(c).alias("x")) for c in firsts])
+    long = complete.select(*columns, F.explode(cells).alias("_c")).select(*columns, F.col("_c.i").alias("_i"), F.col("_c.x").alias("_x"))
+    spread = F.stddev_pop("_x")
+    moments = long.groupBy("_i").agg(
+        *[F.try_divide(F.covar_pop("_x", c), spread * F.stddev_pop(c)).alias(f"_r{place[c]}") for c in columns]
     )
-    out = F.array(*[F.struct(F.lit(c).alias("b"), F.lit(place[c]).alias("j"), F.col(c).alias("corr")) for c in columns])
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(i).alias("j"), F.col(f"_r{i}").alias("corr")) for i in range(len(columns))])
     return (
-        moments.select("a", "i", F.explode(out).alias("_o"))
-        .filter(F.col("_o.j") > F.col("i"))
-        .select("a", "_o.b", "_o.corr")
+        moments.select("_i", F.explode(cells).alias("_o"))
+        .filter(F.col("_o.j") > F.col("_i"))
+        .select(names[F.col("_i")].alias("a"), names[F.col("_o.j")].alias("b"), F.col("_o.corr").alias("corr"))
     )
 
 
