@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from panelcast.functions.quarters import as_column
 
 
+def varies(value: Column | str) -> Column:
+    """Whether a group has two different values.
+
+    A spread of 0 is no safe test: merging partial results leaves about 1e-16 for a constant column.
+    """
+    c = as_column(value)
+    return F.min(c) < F.max(c)
+
+
 def safe_corr(left: Column | str, right: Column | str) -> Column:
     """Pearson correlation over the pairs known on both sides; NULL for a constant side.
 
@@ -18,30 +27,28 @@ def safe_corr(left: Column | str, right: Column | str) -> Column:
     a0, b0 = as_column(left), as_column(right)
     both = a0.isNotNull() & b0.isNotNull()
     a, b = F.when(both, a0), F.when(both, b0)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.when(varies(a) & varies(b), F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
 
 
 def sample_skewness(value: Column | str) -> Column:
     """Bias-corrected skewness (needs 3 values and some spread)."""
     c = as_column(value)
     n = F.count(c).cast("double")
-    spread = F.stddev_pop(c) > 0
-    return F.when((n >= 3) & spread, F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
+    return F.when((n >= 3) & varies(c), F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
 def sample_kurtosis(value: Column | str) -> Column:
     """Bias-corrected excess kurtosis (needs 4 values and some spread)."""
     c = as_column(value)
     n = F.count(c).cast("double")
-    spread = F.stddev_pop(c) > 0
-    return F.when((n >= 4) & spread, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6))
+    return F.when((n >= 4) & varies(c), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(c) + 6))
 
 
 def jarque_bera(value: Column | str) -> Column:
     """Normality statistic from population moments."""
     c = as_column(value)
     n = F.count(c).cast("double")
-    return F.when(F.stddev_pop(c) > 0, n / 6 * (F.pow(F.skewness(c), 2) + F.pow(F.kurtosis(c), 2) / 4))
+    return F.when(varies(c), n / 6 * (F.pow(F.skewness(c), 2) + F.pow(F.kurtosis(c), 2) / 4))
 
 
 def fourier_terms(day: Column | str, period_days: float, order: int, anchor: str = "1970-01-01") -> dict[str, Column]:

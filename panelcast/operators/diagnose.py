@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelcast.config import MOVING_AVERAGE_WINDOWS
-from panelcast.functions.stats import jarque_bera, safe_corr, sample_kurtosis, sample_skewness
+from panelcast.functions.stats import jarque_bera, safe_corr, sample_kurtosis, sample_skewness, varies
 from panelcast.operators.clean import moving_average
 from panelcast.operators.ranking import average_ranks, exact_quantiles
 
@@ -89,7 +89,10 @@ def _pair_correlations(complete: DataFrame, columns: Sequence[str], left: Sequen
     long = complete.select(*columns, F.explode(cells).alias("_c")).select(*columns, F.col("_c.i").alias("_i"), F.col("_c.x").alias("_x"))
     spread = F.stddev_pop("_x")
     moments = long.groupBy("_i").agg(
-        *[F.try_divide(F.covar_pop("_x", c), spread * F.stddev_pop(c)).alias(f"_r{place[c]}") for c in columns]
+        *[
+            F.when(varies("_x") & varies(c), F.try_divide(F.covar_pop("_x", c), spread * F.stddev_pop(c))).alias(f"_r{place[c]}")
+            for c in columns
+        ]
     )
     names = F.array(*[F.lit(c) for c in columns])
     cells = F.array(*[F.struct(F.lit(i).alias("j"), F.col(f"_r{i}").alias("corr")) for i in range(len(columns))])

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from panelcast.functions.metrics import clip_negative
 from panelcast.functions.quarters import quarter_index
-from panelcast.functions.stats import exact_cents
+from panelcast.functions.stats import exact_cents, varies
 
 NAIVE_MODELS = ["MEAN4", "SEASONAL_NAIVE", "TREND"]
 
@@ -135,13 +135,18 @@ FIT_FIELDS = [
 
 
 def _matrices(batch: pd.DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stack the triangles of a batch into (rows, k, k) matrices; missing moments count as 0."""
+    """Stack the triangles of a batch into (rows, k, k) matrices; missing moments count as 0.
+
+    So does a variance that is only rounding noise of merged partial results: the column is constant.
+    """
     flat = np.nan_to_num(np.array(batch["cov"].tolist(), dtype=float).reshape(len(batch), -1))
     full = np.zeros((len(batch), k, k))
     upper = np.triu_indices(k)
     full[:, upper[0], upper[1]] = flat
     full[:, upper[1], upper[0]] = flat
     means = np.nan_to_num(np.array(batch["means"].tolist(), dtype=float).reshape(len(batch), k))
+    constant = np.diagonal(full, axis1=1, axis2=2) <= (1e-10 * np.abs(means)) ** 2
+    full[constant[:, :, None] | constant[:, None, :]] = 0.0
     return full, means
 
 
@@ -196,8 +201,8 @@ def univariate_fits(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: st
     )
     return long.groupBy(*keys, "regressor").agg(
         F.count(F.lit(1)).alias("n"),
-        F.regr_slope("_y", "_x").alias("coefficient"),
-        F.regr_intercept("_y", "_x").alias("intercept"),
+        F.when(varies("_x"), F.regr_slope("_y", "_x")).alias("coefficient"),
+        F.when(varies("_x"), F.regr_intercept("_y", "_x")).alias("intercept"),
         F.avg("_x").alias("x_mean"),
     )
 

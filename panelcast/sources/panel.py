@@ -33,20 +33,28 @@ GRAIN = ["MARKET_SEGMENT", "BRAND"]
 
 
 def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: list price, discounted price and charged price, as exact whole numbers."""
-    price = exact_cents("l_extendedprice")
-    keep = 100 - exact_cents("l_discount")
-    charge = 100 + exact_cents("l_tax")
-    as_sum = lambda c: F.sum(c.cast("decimal(18,0)"))
-    return (
+    """Per order: list price, discounted price and charged price, as exact whole numbers.
+
+    The scan side sums 64-bit numbers only, which stays in generated code. The two products are summed as
+    high and low part, so not even an order with a third of all lines could overflow, and put together
+    as decimals once per order.
+    """
+    parts = (
         read_table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", exact_cents("l_extendedprice").alias("p"), (100 - exact_cents("l_discount")).alias("k"), (100 + exact_cents("l_tax")).alias("c"))
+        .selectExpr("l_orderkey", "p AS mof", "p * k AS sellin", "p * k * c AS sr")
         .groupBy("l_orderkey")
         .agg(
-            as_sum(price).alias("mof"),
-            as_sum(price * keep).alias("sellin"),
-            as_sum(price * keep * charge).alias("sr"),
+            F.sum("mof").alias("mof"),
+            *[F.sum(F.expr(e)).alias(n) for n, e in {"d_hi": "sellin div 10000", "d_lo": "sellin % 10000", "s_hi": "sr div 1000000", "s_lo": "sr % 1000000"}.items()],
         )
     )
+    return parts.selectExpr(
+        "l_orderkey",
+        "CAST(mof AS DECIMAL(20,0)) AS mof",
+        "CAST(CAST(d_hi AS DECIMAL(20,0)) * 10000 + d_lo AS DECIMAL(28,0)) AS sellin",
+        "CAST(CAST(s_hi AS DECIMAL(20,0)) * 1000000 + s_lo AS DECIMAL(28,0)) AS sr",
+    )
 
 
 def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
