@@ -108,7 +108,7 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC_COLUMNS
     return _pair_correlations(df.select(*columns).dropna(), list(columns), left)
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ("PARTITION_COLUMN", "QUARTER"), buckets: int = 32, left: Sequence[str] | None = None) -> DataFrame:
+def spearman_matrix(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ("PARTITION_COLUMN", "QUARTER"), buckets: int | None = None, left: Sequence[str] | None = None) -> DataFrame:
     """Pearson over mean ranks. The ranks are global, so they are computed in buckets, see ``ranking``."""
     long = unpivot(df.dropna(subset=list(columns)), columns, ids)
     ranks = average_ranks(long, "column", "value", buckets)
@@ -144,7 +144,7 @@ def _ratios(df: DataFrame, pairs: Sequence[tuple[str, str]], ids: Sequence[str]
     return df.select(*ids, F.explode(cells).alias("c")).select(*ids, "c.ratio", "c.r").filter(F.col("r").isNotNull())
 
 
-def ratio_stability(df: DataFrame, pairs: Sequence[tuple[str, str]] = tuple(RATIO_PAIRS), buckets: int = 32) -> DataFrame:
+def ratio_stability(df: DataFrame, pairs: Sequence[tuple[str, str]] = tuple(RATIO_PAIRS), buckets: int | None = None) -> DataFrame:
     """Mean and spread of column ratios after trimming the outer percent on both sides."""
     long = _ratios(df, pairs)
     limits = exact_quantiles(long, "ratio", "r", [0.01, 0.99], buckets)

@@ -84,12 +84,14 @@ def explain_rows(contributions: DataFrame, fits: DataFrame, champions: DataFrame
     )
 
 
-def permute_features(rows: DataFrame, xs: Sequence[str], ids: Sequence[str], buckets: int = 64, seed: int = 42) -> DataFrame:
+def permute_features(rows: DataFrame, xs: Sequence[str], ids: Sequence[str], buckets: int | None = None, seed: int = 42) -> DataFrame:
     """Each row once as it is and once per feature with that feature taken from another row.
 
     Rows are dealt to buckets of equal size by hash and shifted by one place in hash order there, so no
-    task sees more than its bucket and every value is used exactly once.
+    task sees more than its bucket and every value is used exactly once. The number of buckets follows
+    the number of shuffle partitions.
     """
+    buckets = buckets or 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draw = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))
     ring = W.partitionBy("_bucket").orderBy("_draw", *ids)
     whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

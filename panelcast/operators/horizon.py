@@ -194,12 +194,16 @@ def select_champion(
     """
     rivals = metrics.filter(is_valid_metric(metric) & (F.col(metric) > 0))
     candidates = [c for c in (score, *fallbacks) if c in metrics.columns]
-    verdict = rivals.agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{i}") for i, c in enumerate(candidates)])
-    chosen = F.lit(None).cast("double")
-    for i, c in reversed(list(enumerate(candidates))):
-        chosen = F.when(F.col(f"_has_{i}"), F.col(c)).otherwise(chosen)
-    scored = rivals.crossJoin(F.broadcast(verdict)).withColumn("selection_score", chosen)
-    scored = scored.drop(*[f"_has_{i}" for i in range(len(candidates))]).filter(F.col("selection_score").isNotNull())
+    if len(candidates) == 1:
+        scored = rivals.withColumn("selection_score", F.col(candidates[0]))
+    else:
+        verdict = rivals.agg(*[F.max(F.col(c).isNotNull()).alias(f"_has_{i}") for i, c in enumerate(candidates)])
+        chosen = F.lit(None).cast("double")
+        for i, c in reversed(list(enumerate(candidates))):
+            chosen = F.when(F.col(f"_has_{i}"), F.col(c)).otherwise(chosen)
+        scored = rivals.crossJoin(F.broadcast(verdict)).withColumn("selection_score", chosen)
+        scored = scored.drop(*[f"_has_{i}" for i in range(len(candidates))])
+    scored = scored.filter(F.col("selection_score").isNotNull())
     rest = [c for c in scored.columns if c not in key]
     best = scored.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(F.round("selection_score", 9), model)).alias("_row"))
     return best.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])

@@ -14,18 +14,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def default_buckets(df: DataFrame) -> int:
+    """As many buckets as the cluster shuffles into, within what a literal list of limits can carry."""
+    return min(512, max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def bucket_limits(df: DataFrame, group: str, value: str, buckets: int) -> DataFrame:
     """``buckets - 1`` cut points per group; groups are column names, so this stays tiny."""
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(group).agg(F.percentile_approx(value, probs, 1000).alias("_cuts")).collect()
+    cuts = df.groupBy(group).agg(F.percentile_approx(value, probs, 20 * buckets).alias("_cuts")).collect()
     schema = f"{group} string, _cuts array<double>"
     return df.sparkSession.createDataFrame([(r[group], sorted(set(r["_cuts"]))) for r in cuts], schema)
 
 
-def cumulative_counts(df: DataFrame, group: str, value: str, buckets: int = 32) -> DataFrame:
+def cumulative_counts(df: DataFrame, group: str, value: str, buckets: int | None = None) -> DataFrame:
     """Per group and distinct value: ``cnt`` copies and ``below`` rows with a smaller value."""
     rows = df.filter(F.col(value).isNotNull())
-    limits = bucket_limits(rows, group, value, buckets)
+    limits = bucket_limits(rows, group, value, buckets or default_buckets(df))
     counts = (
         rows.groupBy(group, value)
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -46,13 +51,13 @@ def cumulative_counts(df: DataFrame, group: str, value: str, buckets: int = 32)
     )
 
 
-def average_ranks(df: DataFrame, group: str, value: str, buckets: int = 32) -> DataFrame:
+def average_ranks(df: DataFrame, group: str, value: str, buckets: int | None = None) -> DataFrame:
     """Rank of every distinct value, ties sharing their mean."""
     counts = cumulative_counts(df, group, value, buckets)
     return counts.select(group, value, (F.col("below") + (F.col("cnt") + 1) / 2).alias("avg_rank"))
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], buckets: int = 32) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], buckets: int | None = None) -> DataFrame:
     """Linearly interpolated quantiles ``q_0``, ``q_1``, ... per group, from the cumulative counts."""
     counts = cumulative_counts(df, group, value, buckets)
     picks = []

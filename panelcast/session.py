@@ -16,6 +16,8 @@ TUNING = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # plans here have hundreds of columns; recording a call site for each doubles the time to build them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

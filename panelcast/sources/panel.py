@@ -9,14 +9,11 @@ retry. What is left is one row per series and quarter: a series can never be lon
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.config import MOVING_AVERAGE_WINDOWS
-from panelcast.functions.quarters import date_quarter_index, quarter_label, quarter_start
+from panelcast.functions.quarters import date_quarter_index, quarter_diff, quarter_label, quarter_start
 from panelcast.functions.stats import exact_cents
 from panelcast.sources.tables import read_table
 
@@ -103,67 +100,78 @@ def scenarios(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([*rows, UNPARSEABLE], "VERSION string, cutoff int, origin int")
 
 
-def horizon_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All snapshots of the panel, one row per version, series, origin and quarter."""
-    order = W.partitionBy(*GRAIN).orderBy("qi")
+SERIES_ORDER = f"PARTITION BY {', '.join(GRAIN)} ORDER BY qi"
 
-    def trailing(n: int) -> Column:
-        cents = F.sum(exact_cents("BB").cast("decimal(20,0)")).over(order.rowsBetween(-(n - 1), 0))
-        return cents.cast("double") / (100.0 * n)
 
-    base = base_quarters(spark, sf_dir).withColumns({f"MA_{n}": trailing(n) for n in MOVING_AVERAGE_WINDOWS})
-    history = {f"{s}_LAG{k}": F.lag(s, k).over(order) for s in SIGNALS for k in (1, 4, 5)}
-    history |= {f"MA_{n}_LAG{k}": F.lag(f"MA_{n}", k).over(order) for n in MOVING_AVERAGE_WINDOWS for k in (1, 2, 3)}
-    base = base.withColumns(history).filter(F.col("qi") >= PANEL_START)
+def _trailing(n: int) -> str:
+    """Mean of the last ``n`` quarters over whole cents, so it is exact before the division."""
+    cents = "CAST(floor(BB * 100 + 0.5) AS DECIMAL(20,0))"
+    return f"CAST(sum({cents}) OVER ({SERIES_ORDER} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS DOUBLE) / {100 * n}.0D"
 
-    rows = base.join(F.broadcast(scenarios(spark)), F.col("qi") <= F.col("origin") + MAX_HORIZON)
-    after = F.col("qi") - F.col("cutoff")
-    seen = after <= 0
 
-    def signal_now(s: str) -> Column:
-        return F.when(seen, F.col(s)).otherwise(F.col(f"{s}_LAG4"))
+def _signal_now(s: str) -> str:
+    """Known signal, after the last known quarter the one a year earlier."""
+    return f"IF(qi <= cutoff, {s}, {s}_LAG4)"
+
+
+def _signal_before(s: str) -> str:
+    """The same signal one quarter earlier."""
+    return f"IF(qi <= cutoff + 1, {s}_LAG1, {s}_LAG5)"
+
 
-    def signal_before(s: str) -> Column:
-        return F.when(after <= 1, F.col(f"{s}_LAG1")).otherwise(F.col(f"{s}_LAG5"))
+def _average(n: int) -> str:
+    """Moving average, after the last known quarter its last known value."""
+    later = " ".join(f"WHEN qi = cutoff + {k} THEN MA_{n}_LAG{k}" for k in (1, 2, 3))
+    return f"CASE WHEN qi <= cutoff THEN MA_{n} {later} END"
 
-    def average(n: int) -> Column:
-        value = F.when(seen, F.col(f"MA_{n}"))
-        for k in (1, 2, 3):
-            value = value.when(after == k, F.col(f"MA_{n}_LAG{k}"))
-        return value
 
+def horizon_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots of the panel, one row per version, series, origin and quarter."""
+    lags = {f"{s}_LAG{k}": f"lag({s}, {k}) OVER ({SERIES_ORDER})" for s in SIGNALS for k in (1, 4, 5)}
+    lags |= {f"MA_{n}_LAG{k}": f"lag(MA_{n}, {k}) OVER ({SERIES_ORDER})" for n in MOVING_AVERAGE_WINDOWS for k in (1, 2, 3)}
+    base = (
+        base_quarters(spark, sf_dir)
+        .selectExpr("*", *[f"{_trailing(n)} AS MA_{n}" for n in MOVING_AVERAGE_WINDOWS])
+        .selectExpr("*", *[f"{e} AS {name}" for name, e in lags.items()])
+        .filter(F.col("qi") >= PANEL_START)
+    )
+    rows = base.join(F.broadcast(scenarios(spark)), F.col("qi") <= F.col("origin") + MAX_HORIZON)
     mof_version = F.concat(quarter_label("origin"), F.lit("M1"))
     newest = F.concat(quarter_label("cutoff"), F.lit("M1"))
-    return rows.select(
+    labelled = rows.withColumns(
+        {
+            "QUARTER": quarter_label("qi"),
+            "QUARTER_PARSED": quarter_start("qi").cast("timestamp"),
+            "MOF_VERSION": mof_version,
+            "BB_VERSION": newest,
+        }
+    )
+    return labelled.selectExpr(
         "VERSION",
-        quarter_label("qi").alias("QUARTER"),
-        quarter_start("qi").cast("timestamp").alias("QUARTER_PARSED"),
+        "QUARTER",
+        "QUARTER_PARSED",
         "MARKET_SEGMENT",
         "BRAND",
-        F.concat(F.lit("MOF_"), mof_version).alias("SCENARIO"),
-        F.lit(2.0).alias("VERIFICATION_HORIZON"),
-        F.lit(float(MAX_HORIZON)).alias("PREDICTION_HORIZON"),
-        F.when(seen, F.col("BB")).otherwise(F.lit(0.0)).alias("BB"),
-        *[average(n).alias(f"BILLING_MOVING_AVERAGE_{n}Q") for n in MOVING_AVERAGE_WINDOWS],
-        newest.alias("BB_VERSION"),
-        mof_version.alias("MOF_VERSION"),
-        newest.alias("BB_VERSION_LATEST"),
-        newest.alias("MOF_VERSION_LATEST"),
-        signal_now("MOF").alias("MOF_0_MONTH"),
-        (signal_now("MOF") * 1.1).alias("MOF_PLUS_BUFFER_0_MONTH"),
-        signal_now("SELLIN").alias("SELLIN_0_MONTH"),
-        signal_now("SR").alias("SR_0_MONTH"),
-        signal_before("SELLIN").alias("SELLIN_MINUS3_MONTH"),
-        signal_before("MOF").alias("MOF_MINUS3_MONTH"),
-        signal_before("SR").alias("SR_MINUS3_MONTH"),
-        (signal_before("MOF") * 1.1).alias("MOF_PLUS_BUFFER_MINUS3_MONTH"),
+        "concat('MOF_', MOF_VERSION) AS SCENARIO",
+        "2.0D AS VERIFICATION_HORIZON",
+        f"{MAX_HORIZON}.0D AS PREDICTION_HORIZON",
+        "IF(qi <= cutoff, BB, 0.0D) AS BB",
+        *[f"{_average(n)} AS BILLING_MOVING_AVERAGE_{n}Q" for n in MOVING_AVERAGE_WINDOWS],
+        "BB_VERSION",
+        "MOF_VERSION",
+        "BB_VERSION AS BB_VERSION_LATEST",
+        "BB_VERSION AS MOF_VERSION_LATEST",
+        f"{_signal_now('MOF')} AS MOF_0_MONTH",
+        f"{_signal_now('MOF')} * 1.1D AS MOF_PLUS_BUFFER_0_MONTH",
+        f"{_signal_now('SELLIN')} AS SELLIN_0_MONTH",
+        f"{_signal_now('SR')} AS SR_0_MONTH",
+        f"{_signal_before('SELLIN')} AS SELLIN_MINUS3_MONTH",
+        f"{_signal_before('MOF')} AS MOF_MINUS3_MONTH",
+        f"{_signal_before('SR')} AS SR_MINUS3_MONTH",
+        f"{_signal_before('MOF')} * 1.1D AS MOF_PLUS_BUFFER_MINUS3_MONTH",
     )
 
 
-def countdown_horizon(df: DataFrame, keys: Sequence[str] = ("MOF_VERSION",)) -> DataFrame:
+def countdown_horizon(df: DataFrame, version: str = "MOF_VERSION") -> DataFrame:
     """The other shape of VERIFICATION_HORIZON: 1 at the origin, falling by one per quarter."""
-    from panelcast.functions.quarters import quarter_diff
-
-    return df.withColumn(
-        "VERIFICATION_HORIZON", (1 - quarter_diff("QUARTER", keys[0])).cast("double")
-    )
+    return df.withColumn("VERIFICATION_HORIZON", (1 - quarter_diff("QUARTER", version)).cast("double"))
