@@ -75,3 +75,47 @@ def test_config_file_overlays_defaults(tmp_path):
     assert segment_settings(config, "X")["models"] == ["ridge"] and segment_settings(config, "X")["PREFERRED_MODEL"] == "PROPHET"
     assert config["QUALITY_GATES"] == {"MAX_CHAMPION_MAPE": 50, "MIN_CHAMPION_MAPE": 1.0}
     assert segment_settings(config, "Y")["models"][0] == "prophet"
+
+
+def test_panel_sums_with_a_huge_order_and_a_huge_customer(spark, tmp_path):
+    """One order holds a third of the lines, one customer a third of the orders."""
+    import datetime as dt
+
+    import numpy as np
+    import pandas as pd
+
+    from panelcast.sources.panel import base_quarters
+
+    rng = np.random.default_rng(4)
+    n_orders, n_lines = 3000, 12000
+    orders = pd.DataFrame(
+        {
+            "o_orderkey": np.arange(n_orders),
+            "o_custkey": np.where(rng.random(n_orders) < 0.34, 0, rng.integers(0, 50, n_orders)),
+            "o_totalprice": rng.uniform(1, 500000, n_orders).round(2),
+            "o_orderdate": [dt.datetime(1995, 1, 1) + dt.timedelta(days=int(x)) for x in rng.integers(0, 2400, n_orders)],
+        }
+    )
+    lines = pd.DataFrame(
+        {
+            "l_orderkey": np.where(rng.random(n_lines) < 0.34, 7, rng.integers(0, n_orders, n_lines)),
+            "l_extendedprice": rng.uniform(1, 100000, n_lines).round(2),
+            "l_discount": rng.integers(0, 11, n_lines) / 100,
+            "l_tax": rng.integers(0, 9, n_lines) / 100,
+        }
+    )
+    customers = pd.DataFrame({"c_custkey": np.arange(50), "c_mktsegment": [f"S{i % 3}" for i in range(50)], "c_nationkey": np.arange(50) % 4})
+    for name, frame in (("orders", orders), ("lineitem", lines), ("customer", customers)):
+        spark.createDataFrame(frame).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = base_quarters(spark, str(tmp_path)).toPandas().set_index(["MARKET_SEGMENT", "BRAND", "qi"])
+
+    lines["sr"] = lines.l_extendedprice * (1 - lines.l_discount) * (1 + lines.l_tax)
+    per_order = lines.groupby("l_orderkey")["sr"].sum()
+    orders["sr"] = orders.o_orderkey.map(per_order).fillna(0)
+    orders["qi"] = orders.o_orderdate.dt.year * 4 + orders.o_orderdate.dt.quarter - 1
+    joined = orders.merge(customers, left_on="o_custkey", right_on="c_custkey")
+    joined["BRAND"] = joined.c_nationkey.astype(str)
+    want = joined.groupby(["c_mktsegment", "BRAND", "qi"])[["o_totalprice", "sr"]].sum()
+    for key, row in want.iterrows():
+        assert abs(got.loc[key, "BB"] - row["o_totalprice"]) < 1e-3 and abs(got.loc[key, "SR"] - row["sr"]) < 1e-2
+    assert abs(got["BB"].sum() - want["o_totalprice"].sum()) < 1e-2
