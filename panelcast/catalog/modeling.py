@@ -19,20 +19,47 @@ from panelcast.operators import windows as X
 from panelcast.plans import lifecycle as L
 
 P = "PARTITION_COLUMN"
-FAMILIES = {
+FAMILIES_FULL = {
     "PROPHET": REGRESSOR_COLUMNS,
     "XGBOOST": ["SELLIN_MINUS3_MONTH", "SR_MINUS3_MONTH", "MOF_PLUS_BUFFER_MINUS3_MONTH"],
     "LIGHTGBM": ["BILLING_MOVING_AVERAGE_2Q", "BILLING_MOVING_AVERAGE_4Q"],
 }
+# small enough for a closed form in SQL
+FAMILIES = {
+    "PROPHET": ["SELLIN_MINUS3_MONTH", "BILLING_MOVING_AVERAGE_2Q"],
+    "XGBOOST": ["SELLIN_MINUS3_MONTH"],
+    "LIGHTGBM": ["BILLING_MOVING_AVERAGE_4Q"],
+}
 
 
-def _dispatch(spark: SparkSession, d: str) -> DataFrame:
+def _dispatch(spark: SparkSession, d: str, families: dict[str, list[str]]) -> DataFrame:
     settings = P_.segment_params(S.panel(spark, d).select("MARKET_SEGMENT").distinct(), P_.params_table(spark, QUERY_CONFIG))
     allowed = settings.select("MARKET_SEGMENT", F.explode("models").alias("model"))
-    return M.train_dispatch(S.split_panel(spark, d), [P], FAMILIES, allowed=allowed)
+    return M.train_dispatch(S.split_panel(spark, d), [P], families, allowed=allowed)
+
+
+def _family_sql(model: str, xs: list[str], skipped: str) -> str:
+    """Ridge with penalty 1 on one or two regressors, from covariances."""
+    x, z = xs[0], xs[-1]
+    two = len(xs) == 2
+    return f"""SELECT MARKET_SEGMENT, PARTITION_COLUMN, '{model}' AS MODEL_USED, n, CASE WHEN {skipped} THEN 'SKIPPED' WHEN n < 6 THEN 'Insufficient training data: ' || n || ' rows' END AS error,
+        CASE WHEN NOT ({skipped}) AND n >= 6 THEN {'(xy * (zz + l) - zy * xz) / ((xx + l) * (zz + l) - xz * xz)' if two else 'xy / (xx + l)'} END AS first_coefficient,
+        CASE WHEN NOT ({skipped}) AND n >= 6 THEN {'(zy * (xx + l) - xy * xz) / ((xx + l) * (zz + l) - xz * xz)' if two else 'xy / (xx + l)'} END AS last_coefficient
+      FROM (SELECT MARKET_SEGMENT, PARTITION_COLUMN, count(*) AS n, 1.0::DOUBLE / count(*) AS l, var_pop({x}) AS xx, var_pop({z}) AS zz, covar_pop({x}, {z}) AS xz,
+              covar_pop({x}, BB) AS xy, covar_pop({z}, BB) AS zy FROM split_panel WHERE split = 'train' AND BB IS NOT NULL GROUP BY ALL)"""
 
 
-register("train_dispatch", lambda s, d: _dispatch(s, d).select("MARKET_SEGMENT", P, "MODEL_USED", "n", "sse", "error"))
+_SKIPPED = {"PROPHET": "MARKET_SEGMENT = 'MACHINERY'", "XGBOOST": "MARKET_SEGMENT = 'MACHINERY'", "LIGHTGBM": "MARKET_SEGMENT IN ('MACHINERY', 'BUILDING')"}
+register(
+    "train_dispatch",
+    lambda s, d: _dispatch(s, d, FAMILIES).select(
+        "MARKET_SEGMENT", P, "MODEL_USED", "n", "error",
+        F.col("coefficients")[0].alias("first_coefficient"), F.element_at("coefficients", -1).alias("last_coefficient"),
+    ),
+    " UNION ALL ".join(_family_sql(m, xs, _SKIPPED[m]) for m, xs in FAMILIES.items()),
+    {5: "first_coefficient last_coefficient"},
+)
+register("train_dispatch_full", lambda s, d: _dispatch(s, d, FAMILIES_FULL).select("MARKET_SEGMENT", P, "MODEL_USED", "n", "sse", "error"))
 
 _SINGLE = ["SELLIN_MINUS3_MONTH"]
 register(
@@ -100,9 +127,22 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
 
 register("select_features", _features)
 
+ALPHAS = [0.0, 0.1, 1.0, 10.0, 1e3, 1e6, 1e9, 1e12]
 register(
     "param_grid_search",
-    lambda s, d: M.topk_params(M.param_grid_search(S.split_panel(s, d), [P], REGRESSOR_COLUMNS, [0.0, 0.1, 1.0, 10.0, 1e3, 1e6, 1e9, 1e12]), 10),
+    lambda s, d: M.topk_params(M.param_grid_search(S.split_panel(s, d), [P], _SINGLE, [1e3, 1e12, 1e13, 1e14]), 10),
+    f"""WITH st AS (SELECT PARTITION_COLUMN, count(*) AS n, covar_pop(BB, SELLIN_MINUS3_MONTH) AS xy, var_pop(SELLIN_MINUS3_MONTH) AS xx, avg(BB) AS yb,
+            avg(SELLIN_MINUS3_MONTH) AS xb FROM split_panel WHERE split = 'train' AND BB IS NOT NULL GROUP BY PARTITION_COLUMN),
+          fits AS (SELECT PARTITION_COLUMN, alpha, n, yb, xb, xy / (xx + alpha / n) AS b FROM st CROSS JOIN (VALUES (1e3), (1e12), (1e13), (1e14)) g(alpha)),
+          sc AS (SELECT v.PARTITION_COLUMN, f.alpha, v.BB AS y, CASE WHEN f.n >= 3 THEN greatest(f.yb - f.b * f.xb + f.b * v.SELLIN_MINUS3_MONTH, 0.0) END AS p
+            FROM split_panel v JOIN fits f USING (PARTITION_COLUMN) WHERE v.split = 'val' AND v.BB IS NOT NULL),
+          a AS (SELECT PARTITION_COLUMN, alpha, avg({ape('y', 'p')}) AS val_ape, avg(abs(y - p)) AS val_mae FROM sc GROUP BY ALL)
+        SELECT *, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY round(val_ape, 9) NULLS LAST, alpha) AS rank FROM a""",
+    {4: "val_mae", 6: "val_ape"},
+)
+register(
+    "param_grid_search_full",
+    lambda s, d: M.topk_params(M.param_grid_search(S.split_panel(s, d), [P], REGRESSOR_COLUMNS, ALPHAS), 10),
 )
 
 

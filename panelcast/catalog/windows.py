@@ -283,6 +283,8 @@ register(
 register(
     "sample_series_rows",
     lambda s, d: X.sample_series_rows(S.panel(s, d).select(*KEYS, "BB"), [P], [P, "QUARTER"], 5),
+    f"""SELECT {K}, BB FROM panel
+        QUALIFY row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY md5(PARTITION_COLUMN || '|' || QUARTER || '|42'), PARTITION_COLUMN, QUARTER) <= 5""",
 )
 
 

@@ -199,6 +199,6 @@ def sample_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: in
 
 def sample_series_rows(df: DataFrame, keys: Sequence[str], identity: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """At most ``n`` rows per series, picked by a seeded hash of the row's identity."""
-    draw = F.xxhash64(*[F.col(c) for c in identity], F.lit(seed))
+    draw = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in identity], F.lit(str(seed))))
     window = W.partitionBy(*keys).orderBy(draw, *identity)
     return df.withColumn("_place", F.row_number().over(window)).filter(F.col("_place") <= n).drop("_place")
