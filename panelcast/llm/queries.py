@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from panelcast.llm.fmindex import OP9_SQL, op9_decontamination
 from panelcast.llm.packing import op10_packing
+from panelcast.llm.simhash import op8_simhash
 from panelcast.llm.tokenfiles import op7_token_files
+from panelcast.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op7_token_files": op7_token_files,
+    "op8_simhash": op8_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_decontamination": OP9_SQL,
+}
