@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from panelcast.llm.fmindex import OP9_SQL, op9_decontamination
 from panelcast.llm.packing import op10_packing
+from panelcast.llm.secrets import OP2_SQL, op2_secrets
 from panelcast.llm.simhash import op8_simhash
 from panelcast.llm.tokenfiles import op7_token_files
 from panelcast.llm.toxicity import op4_toxicity
 
 QUERIES = {
+    "op2_secrets": op2_secrets,
     "op4_toxicity": op4_toxicity,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
@@ -16,5 +18,6 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {
+    "op2_secrets": OP2_SQL,
     "op9_decontamination": OP9_SQL,
 }
