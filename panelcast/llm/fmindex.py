@@ -285,7 +285,7 @@ ms AS (SELECT DISTINCT m FROM bw),
 dw AS (SELECT rid, i, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM d, ms, unnest(range(1, len(w) - m + 2)) t(i) WHERE len(w) >= m),
 occ AS (SELECT rid, i, dw.m, item_id FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
 hit AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + m)) AS p FROM occ) GROUP BY rid),
-it AS (SELECT rid, count(*) AS n, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY rid)
+it AS (SELECT rid, count(*) AS n, string_agg(s, ',' ORDER BY s) AS l FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS s FROM occ WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(it.n, 0) AS BIGINT) AS n_items,
        sha256(coalesce(l, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)

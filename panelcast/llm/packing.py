@@ -142,7 +142,9 @@ def pack(
         yield packer.batch()
 
     def merge(level: int, last: bool):
-        def run(key: tuple, rows):
+        import pandas as pd
+
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             packer = Packer(int(key[0]), level, length, windows, most_padding, keep_ids)
             rows = rows.sort_values(["sequence_id", "offset"], kind="stable")
             doc_ids = [None if d is None or d != d else int(d) for d in rows["doc_id"].astype(object)]
@@ -155,7 +157,7 @@ def pack(
                 window.append((doc_id, int(start), np.frombuffer(ids, "<u4"), int(total)))
             packer.add(window)
             packer.pour() if last else packer.leave()
-            return packer.batch().to_pandas(types_mapper=lambda t: __import__("pandas").Int64Dtype() if t == pa.int64() else None)
+            return packer.batch().to_pandas(types_mapper=lambda t: pd.Int64Dtype() if t == pa.int64() else None)
 
         return run
 

@@ -43,7 +43,7 @@ def _looks_live(value: Column) -> Column:
 def candidates(rows: DataFrame, owner: list[str]) -> DataFrame:
     """Placed matches that pass, with the secret's value."""
     each = placed(rows, *owner).withColumn("value", F.when(F.col("kind") == 0, _assigned()).otherwise(F.col("match")))
-    return each.filter((F.col("kind") != 0) | (F.length("value") >= ASSIGN_LENGTH)).filter((F.col("kind") != 3) | _looks_live(F.col("value"))).drop("match")
+    return each.filter((F.col("kind") != 0) | (F.length("value") >= ASSIGN_LENGTH)).filter((F.col("kind") != 3) | _looks_live(F.col("value"))).drop("match", "before", "after")
 
 
 def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:

@@ -202,6 +202,19 @@ def near_duplicates(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return fps.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row of each component: the smallest ``doc_id`` (null before all), the first in the files among equal ids.
+
+    ``docs`` is read from files: rows are numbered by their place in the scan, fingerprints and numbers are stored, and only the second
+    scan carries texts.
+    """
+    number = F.monotonically_increasing_id().alias("__uid")
+    rows = stored(spark, with_fingerprints(docs.select("doc_id", "text", number)).drop("text"), "simhash")
+    classes = near_duplicates(spark, rows).select("fp", "root")
+    kept = rows.join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "__uid")).alias("first")).select(F.col("first.__uid").alias("__uid"))
+    return docs.select("*", number).join(stored(spark, kept, "kept"), "__uid", "left_semi").select(*docs.columns)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     rows = stored(spark, with_fingerprints(docs).drop("text"), "simhash")

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from panelcast.llm.shared import stored
 
 
-def scanned(spark: SparkSession, docs: DataFrame, patterns: dict[str, str], *, text: str = "text", number: str = "__uid") -> DataFrame:
+def scanned(spark: SparkSession, docs: DataFrame, patterns: dict[str, str], *, text: str = "text", number: str = "__uid", context: tuple[int, int] = (0, 0)) -> DataFrame:
     """All columns of ``docs`` but the text, a number for each row, and ``found``: per kind (by place) its matches with the gap before each.
 
-    The step is stored: texts are scanned once, and what follows works on matches.
+    With ``context``, a match also has that many characters before and behind it (from the gaps between matches of its kind). The step is stored: texts
+    are scanned once, and what follows works on matches. ``docs`` is read from files: the number is the place of a row in the scan.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.withColumn(number, F.monotonically_increasing_id()).withColumn("__text", body)
@@ -24,16 +25,18 @@ def scanned(spark: SparkSession, docs: DataFrame, patterns: dict[str, str], *, t
     parts = []
     for k, p in enumerate(patterns.values()):
         some = F.size(f"__m{k}") > 0
-        gaps = F.transform(F.split("__text", p, -1), F.length)
-        pairs = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(f"__m{k}")).alias("g"), F.col(f"__m{k}").alias("m")), lambda x: F.struct(F.lit(k).alias("kind"), x["g"].alias("gap"), x["m"].alias("match")))
-        parts.append(F.when(some, pairs).otherwise(F.array().cast("array<struct<kind: int, gap: int, match: string>>")))
+        pieces = F.split("__text", p, -1)
+        around = [F.transform(pieces, F.length), F.transform(pieces, lambda x: F.right(x, F.lit(context[0]))), F.slice(F.transform(pieces, lambda x: F.left(x, F.lit(context[1]))), 2, F.size(f"__m{k}"))]
+        zipped = F.arrays_zip(*(F.slice(a, 1, F.size(f"__m{k}")).alias(c) for a, c in zip(around, "gba")), F.col(f"__m{k}").alias("m"))
+        pairs = F.transform(zipped, lambda x: F.struct(F.lit(k).alias("kind"), x["g"].alias("gap"), x["m"].alias("match"), x["b"].alias("before"), x["a"].alias("after")))
+        parts.append(F.when(some, pairs).otherwise(F.array().cast("array<struct<kind: int, gap: int, match: string, before: string, after: string>>")))
     kept = [c for c in docs.columns if c != text]
     return stored(spark, rows.select(*kept, number, F.concat(*parts).alias("found")), "spans")
 
 
 def placed(rows: DataFrame, *kept: str, number: str = "__uid") -> DataFrame:
-    """One row per match: number, kept columns, kind, match, start, end."""
-    each = rows.select(number, *kept, F.posexplode("found").alias("i", "f")).select(number, *kept, "i", F.col("f.kind").alias("kind"), F.col("f.gap").alias("gap"), F.col("f.match").alias("match"))
+    """One row per match: number, kept columns, kind, match, before, after, start, end."""
+    each = rows.select(number, *kept, F.posexplode("found").alias("i", "f")).select(number, *kept, "i", *(F.col(f"f.{c}").alias(c) for c in ("kind", "gap", "match", "before", "after")))
     size = F.length("match")
     before = Window.partitionBy(number, "kind").orderBy("i")
     return each.withColumn("end", F.sum(F.col("gap") + size).over(before)).withColumn("start", F.col("end") - size).drop("i", "gap")
@@ -49,7 +52,6 @@ def sql_matches(kinds: dict[str, str]) -> str:
     """DuckDB: the table ``m`` (rid, kind, i, v, s, e) of all matches by RE2, from a table ``d`` with rid and t."""
     parts = " UNION ALL ".join(f"SELECT rid, {k} AS kind, regexp_extract_all(t, '{p}') AS ms, string_split_regex(t, '{p}') AS gs FROM d" for k, p in enumerate(kinds.values()))
     return f"""f AS ({parts}),
-u AS (SELECT rid, kind, unnest(range(1, len(ms) + 1)) AS i, ms, gs FROM f),
-m AS (SELECT rid, kind, i, ms[i] AS v,
-        sum(length(gs[i]) + length(ms[i])) OVER w - length(ms[i]) AS s, sum(length(gs[i]) + length(ms[i])) OVER w AS e
+u AS (SELECT rid, kind, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS v, unnest(gs[1:len(ms)]) AS g FROM f),
+m AS (SELECT rid, kind, i, v, sum(length(g) + length(v)) OVER w - length(v) AS s, sum(length(g) + length(v)) OVER w AS e
       FROM u WINDOW w AS (PARTITION BY rid, kind ORDER BY i))"""
