@@ -39,13 +39,11 @@ register(
 
 
 def _dq_input(spark: SparkSession, d: str) -> DataFrame:
-    """The panel with the flaws real inputs have: unknown targets, a regressor gap, a short series, minus signs."""
+    """The panel with the flaws real inputs have: unknown targets, a regressor gap, minus signs. No row is left out."""
     rows = S.clean(spark, d)
     brand = F.col("BRAND").cast("int")
     return (
-        rows.filter((brand != 7) | (F.col("QUARTER") >= "2000Q4"))
-        .filter((brand != 8) | (F.col("QUARTER") >= "1999Q1"))
-        .withColumn("SR_MINUS3_MONTH", F.when((brand != 3) | (F.col("QUARTER") != "1998Q2"), F.col("SR_MINUS3_MONTH")))
+        rows.withColumn("SR_MINUS3_MONTH", F.when((brand != 3) | (F.col("QUARTER") != "1998Q2"), F.col("SR_MINUS3_MONTH")))
         .withColumn("BB", F.when((brand == 5) & (F.col("QUARTER") < "1998Q1"), -F.col("BB")).otherwise(F.col("BB")))
     )
 
@@ -54,7 +52,9 @@ def _dq_input(spark: SparkSession, d: str) -> DataFrame:
 DQ_INPUT = """SELECT * REPLACE (
     CASE WHEN NOT (CAST(BRAND AS INTEGER) = 3 AND QUARTER = '1998Q2') THEN SR_MINUS3_MONTH END AS SR_MINUS3_MONTH,
     CASE WHEN CAST(BRAND AS INTEGER) = 5 AND QUARTER < '1998Q1' THEN -BB ELSE BB END AS BB)
-  FROM clean WHERE (CAST(BRAND AS INTEGER) <> 7 OR QUARTER >= '2000Q4') AND (CAST(BRAND AS INTEGER) <> 8 OR QUARTER >= '1999Q1')"""
+  FROM clean"""
+# gates that some origins of the panel do not reach, whose series are shorter
+MIN_PERIODS, MIN_TRAIN_ROWS = 22, 14
 _FIRST_BAD = "CASE " + " ".join(f"WHEN count(*) FILTER (WHERE {r} IS NULL) > 0 THEN '{r}'" for r in REGRESSOR_COLUMNS) + " END"
 _BAD_NULLS = "CASE " + " ".join(
     f"WHEN count(*) FILTER (WHERE {r} IS NULL) > 0 THEN count(*) FILTER (WHERE {r} IS NULL)" for r in REGRESSOR_COLUMNS
@@ -88,25 +88,25 @@ register(
 )
 register(
     "dq_min_periods",
-    lambda s, d: Q.dq_min_periods(_profile(s, d)),
-    f"SELECT PARTITION_COLUMN, n_rows FROM ({DQ_PROFILE}) WHERE n_rows < 6",
+    lambda s, d: Q.dq_min_periods(_profile(s, d), MIN_PERIODS),
+    f"SELECT PARTITION_COLUMN, n_rows FROM ({DQ_PROFILE}) WHERE n_rows < {MIN_PERIODS}",
 )
 register(
     "dq_train_rows",
-    lambda s, d: Q.dq_train_rows(_profile(s, d)),
-    f"""SELECT PARTITION_COLUMN, n_rows - val_h - pred_h AS train_rows, val_h, pred_h FROM ({DQ_PROFILE}) WHERE n_rows - val_h - pred_h < 6""",
+    lambda s, d: Q.dq_train_rows(_profile(s, d), MIN_TRAIN_ROWS),
+    f"""SELECT PARTITION_COLUMN, n_rows - val_h - pred_h AS train_rows, val_h, pred_h FROM ({DQ_PROFILE}) WHERE n_rows - val_h - pred_h < {MIN_TRAIN_ROWS}""",
 )
 DQ_REASON = f"""SELECT PARTITION_COLUMN, CASE
     WHEN null_targets > 0 THEN 'Null values in BB (' || null_targets || ' nulls)'
     WHEN bad_name IS NOT NULL THEN 'Null values in regressor ' || bad_name || ' (' || bad_nulls || ' nulls)'
-    WHEN n_rows < 6 THEN 'Only ' || n_rows || ' periods (min: 6)'
-    WHEN n_rows - val_h - pred_h < 6 THEN 'Only ' || (n_rows - val_h - pred_h) || ' training rows after split (val=' || val_h || ', pred=' || pred_h || ', min: 6)'
+    WHEN n_rows < {MIN_TRAIN_ROWS} THEN 'Only ' || n_rows || ' periods (min: {MIN_TRAIN_ROWS})'
+    WHEN n_rows - val_h - pred_h < {MIN_TRAIN_ROWS} THEN 'Only ' || (n_rows - val_h - pred_h) || ' training rows after split (val=' || val_h || ', pred=' || pred_h || ', min: {MIN_TRAIN_ROWS})'
     END AS reason FROM ({DQ_PROFILE})"""
 
 
 def _dq_report(spark: SparkSession, d: str) -> DataFrame:
     profile = _profile(spark, d)
-    report = Q.dq_report(profile)
+    report = Q.dq_report(profile, minimum=MIN_TRAIN_ROWS)
     return report.crossJoin(F.broadcast(Q.dq_summary(profile, report)))
 
 
@@ -343,7 +343,7 @@ def _collect_errors(spark: SparkSession, d: str) -> DataFrame:
             F.lit(stage).alias("stage"), F.col(P).alias("partition"), model.alias("model_type"), F.lit(severity).alias("severity"), message.alias("message")
         )
 
-    gate = note(Q.dq_report(_profile(spark, d)), "data_quality", F.lit("N/A"), "error", F.col("reason"))
+    gate = note(Q.dq_report(_profile(spark, d), minimum=MIN_TRAIN_ROWS), "data_quality", F.lit("N/A"), "error", F.col("reason"))
     results = S.model_results(spark, d).filter((F.col("VERSION") == S.LATEST) & F.col("error").isNotNull())
     training = note(results, "training", F.col("MODEL_USED"), "error", F.col("error"))
     sanity = note(_sanity_report(spark, d), "prediction_sanity_check", F.col("MODEL_USED"), "warning", F.col("issue"))
@@ -394,7 +394,7 @@ register(
     {6: "corr"},
 )
 
-SPEARMAN_COLUMNS = ["BB", *REGRESSOR_COLUMNS, "MOF_0_MONTH", "SR_0_MONTH"]
+SPEARMAN_COLUMNS = NUM
 _RANKS = ", ".join(
     f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0::DOUBLE AS {c}" for c in SPEARMAN_COLUMNS
 )
@@ -580,11 +580,11 @@ def _matrix(spark: SparkSession, d: str) -> DataFrame:
 register(
     "coefficient_matrix",
     _matrix,
-    f"""WITH m AS (SELECT PARTITION_COLUMN, coalesce(max(coefficient) FILTER (WHERE regressor = 'SELLIN_MINUS3_MONTH'), 0) AS SELLIN_MINUS3_MONTH,
-            coalesce(max(coefficient) FILTER (WHERE regressor = 'SR_MINUS3_MONTH'), 0) AS SR_MINUS3_MONTH FROM ({UNIVARIATE_SQL}) GROUP BY PARTITION_COLUMN)
-        SELECT *, greatest(abs(SELLIN_MINUS3_MONTH), abs(SR_MINUS3_MONTH)) AS max_abs,
-          row_number() OVER (ORDER BY greatest(abs(SELLIN_MINUS3_MONTH), abs(SR_MINUS3_MONTH)) DESC, PARTITION_COLUMN) <= 5 AS in_top FROM m""",
-    {6: "SELLIN_MINUS3_MONTH SR_MINUS3_MONTH max_abs"},
+    f"""WITH m AS (SELECT PARTITION_COLUMN, {', '.join(f"coalesce(max(coefficient) FILTER (WHERE regressor = '{r}'), 0) AS {r}" for r in REGRESSORS)}
+            FROM ({UNIVARIATE_SQL}) GROUP BY PARTITION_COLUMN),
+          t AS (SELECT *, greatest({', '.join(f'abs({r})' for r in REGRESSORS)}) AS max_abs FROM m)
+        SELECT *, row_number() OVER (ORDER BY max_abs DESC, PARTITION_COLUMN) <= 5 AS in_top FROM t""",
+    {6: " ".join(REGRESSORS) + " max_abs"},
 )
 
 register(

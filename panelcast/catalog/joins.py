@@ -9,6 +9,7 @@ from panelcast.catalog import stages as S
 from panelcast.catalog.oracle import known, qlabel
 from panelcast.catalog.projections import KEYS, K
 from panelcast.catalog.registry import register
+from panelcast.config import REGRESSOR_COLUMNS
 from panelcast.operators import clean as C
 from panelcast.operators import horizon as H
 from panelcast.operators import joins as J
@@ -18,7 +19,7 @@ from panelcast.operators import params as P
 from panelcast.operators import windows as X
 
 
-REGRESSORS = ["SELLIN_MINUS3_MONTH", "SR_MINUS3_MONTH"]
+REGRESSORS = list(REGRESSOR_COLUMNS)
 
 
 def _partitions(spark: SparkSession, d: str) -> DataFrame:
@@ -76,7 +77,7 @@ register(
     "join_future_regressors",
     _future,
     f"""SELECT PARTITION_COLUMN, QUARTER, {_FILL} FROM (
-          SELECT c.PARTITION_COLUMN, {qlabel('c.qi')} AS QUARTER, c.qi, p.SELLIN_MINUS3_MONTH, p.SR_MINUS3_MONTH
+          SELECT c.PARTITION_COLUMN, {qlabel('c.qi')} AS QUARTER, c.qi, {', '.join('p.' + r for r in REGRESSORS)}
           FROM (SELECT PARTITION_COLUMN, unnest(range(min(qi), max(qi) + 4)) AS qi FROM panel GROUP BY PARTITION_COLUMN) c
           LEFT JOIN panel p ON p.PARTITION_COLUMN = c.PARTITION_COLUMN AND p.qi = c.qi)
         WINDOW w AS (PARTITION BY PARTITION_COLUMN ORDER BY qi ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),

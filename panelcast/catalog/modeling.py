@@ -80,7 +80,7 @@ register(
 
 
 def _trend_seasonal(spark: SparkSession, d: str) -> DataFrame:
-    fits, rows, xs = M.fit_trend_seasonal(S.split_panel(spark, d), [P], ["SELLIN_MINUS3_MONTH", "SR_MINUS3_MONTH"])
+    fits, rows, xs = M.fit_trend_seasonal(S.split_panel(spark, d), [P], REGRESSOR_COLUMNS)
     return L.capped(M.score_models(rows, fits, [P], xs), [P]).select(*KEYS, "split", "BILLING_PREDICTED")
 
 
@@ -91,7 +91,7 @@ def _trees(spark: SparkSession, d: str) -> DataFrame:
     rows = M.pooled_features(S.split_panel(spark, d), REGRESSOR_COLUMNS)
     parts = []
     for kind in ("gbt", "forest"):
-        model = M.fit_pooled_trees(rows, REGRESSOR_COLUMNS, kind, max_iter=5)
+        model = M.fit_pooled_trees(rows, REGRESSOR_COLUMNS, kind)
         scored = model.transform(rows.filter(F.col("split") != "train"))
         parts.append(scored.select(*KEYS, F.lit(kind.upper()).alias("MODEL_USED"), "label", "BILLING_PREDICTED"))
     return parts[0].unionByName(parts[1])
@@ -183,18 +183,25 @@ def _metrics_row(spark: SparkSession, d: str) -> DataFrame:
 register("train_metrics_row", _metrics_row)
 
 
+_VALUE = "CASE {r} " + " ".join(f"WHEN '{r}' THEN p.{r}" for r in REGRESSORS) + " END"
+_VALUE_P, _VALUE_U = _VALUE.replace("{r}", "p.regressor"), _VALUE.replace("{r}", "u.regressor")
+
+
 def _score(spark: SparkSession, d: str) -> DataFrame:
+    """One model for each regressor, in one pass: the regressor is part of the key."""
     rows = S.split_panel(spark, d)
-    fits = M.univariate_fits(rows, [P], _SINGLE).filter(F.col("coefficient").isNotNull())
-    payload = fits.select(P, "intercept", F.array("coefficient").alias("coefficients"))
-    return M.score_models(rows, payload, [P], _SINGLE).select(*KEYS, "split", "BILLING_PREDICTED")
+    fits = M.univariate_fits(rows, [P], REGRESSORS).filter(F.col("coefficient").isNotNull())
+    payload = fits.select(P, "regressor", "intercept", F.array("coefficient").alias("coefficients"))
+    long = rows.select(*KEYS, "split", F.explode(M.regressor_pairs(REGRESSORS)).alias("r")).select(*KEYS, "split", F.col("r.name").alias("regressor"), F.col("r.value").alias("x"))
+    return M.score_models(long, payload, [P, "regressor"], ["x"]).select(*KEYS, "regressor", "split", "BILLING_PREDICTED")
 
 
 register(
     "score_models",
     _score,
-    f"""SELECT p.PARTITION_COLUMN, p.QUARTER, p.split, greatest(u.intercept + u.coefficient * coalesce(p.SELLIN_MINUS3_MONTH, 0), 0.0) AS BILLING_PREDICTED
-        FROM split_panel p JOIN ({UNIVARIATE_SQL}) u ON u.PARTITION_COLUMN = p.PARTITION_COLUMN AND u.regressor = 'SELLIN_MINUS3_MONTH' AND u.coefficient IS NOT NULL""",
+    f"""SELECT p.PARTITION_COLUMN, p.QUARTER, p.split, p.regressor, CASE WHEN u.coefficient IS NOT NULL THEN greatest(u.intercept + u.coefficient * coalesce({_VALUE_P}, 0), 0.0) END AS BILLING_PREDICTED
+        FROM (SELECT * FROM split_panel CROSS JOIN (VALUES {', '.join(f"('{r}')" for r in REGRESSORS)}) r(regressor)) p
+        LEFT JOIN ({UNIVARIATE_SQL}) u ON u.PARTITION_COLUMN = p.PARTITION_COLUMN AND u.regressor = p.regressor AND u.coefficient IS NOT NULL""",
     {2: "BILLING_PREDICTED"},
 )
 
@@ -230,7 +237,7 @@ register(
     "linear_contributions",
     lambda s, d: E.linear_contributions(S.split_panel(s, d), _fits(s, d), REGRESSORS),
     f"""SELECT *, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY mean_abs DESC NULLS LAST, regressor) AS rank FROM (
-          SELECT u.PARTITION_COLUMN, u.regressor, avg(abs(u.coefficient * (coalesce(CASE u.regressor WHEN 'SELLIN_MINUS3_MONTH' THEN p.SELLIN_MINUS3_MONTH ELSE p.SR_MINUS3_MONTH END, 0) - u.x_mean))) AS mean_abs
+          SELECT u.PARTITION_COLUMN, u.regressor, avg(abs(u.coefficient * (coalesce({_VALUE_U}, 0) - u.x_mean))) AS mean_abs
           FROM split_panel p JOIN ({UNIVARIATE_SQL}) u USING (PARTITION_COLUMN) GROUP BY ALL)""",
     {2: "mean_abs"},
 )
@@ -241,9 +248,9 @@ def _fits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _permutation(spark: SparkSession, d: str) -> DataFrame:
-    xs = ["SELLIN_MINUS3_MONTH", "SR_MINUS3_MONTH", "BILLING_MOVING_AVERAGE_2Q", "BILLING_MOVING_AVERAGE_4Q"]
+    xs = list(REGRESSOR_COLUMNS)
     rows = M.pooled_features(S.split_panel(spark, d), xs)
-    model = M.fit_pooled_trees(rows, xs, "forest", max_iter=5)
+    model = M.fit_pooled_trees(rows, xs, "forest")
     return E.permutation_importance(model.transform(E.permute_features(rows, xs, KEYS)))
 
 
@@ -263,7 +270,7 @@ register(
 
 def _explain(spark: SparkSession, d: str) -> DataFrame:
     fits = _fits(spark, d)
-    return E.explain_rows(E.linear_contributions(S.split_panel(spark, d), fits, REGRESSORS), fits, S.champions(spark, d))
+    return E.explain_rows(E.linear_contributions(S.split_panel(spark, d), fits, REGRESSORS), fits, S.champions(spark, d), "LINEAR")
 
 
 register("explain_rows", _explain)

@@ -5,11 +5,6 @@ from __future__ import annotations
 import re
 
 from panelcast.config import MOVING_AVERAGE_WINDOWS
-from panelcast.sources.panel import CALENDAR_END, CALENDAR_START, ORIGIN_OFFSETS, PANEL_START, SNAPSHOTS, UNPARSEABLE
-
-_SNAPSHOT_ROWS = ", ".join(
-    f"('{v}', {cut}, {cut - off})" for v, cut in SNAPSHOTS.items() for off in ORIGIN_OFFSETS
-) + f", ('{UNPARSEABLE[0]}', {UNPARSEABLE[1]}, {UNPARSEABLE[2]})"
 
 
 def qlabel(index: str) -> str:
@@ -133,16 +128,21 @@ CTES: dict[str, str] = {
          sum({cents('o_totalprice')}) AS bb, sum(mof) AS mof, sum(sellin) AS sellin, sum(sr) AS sr
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN line_sums ON l_orderkey = o_orderkey
   GROUP BY ALL""",
+    "cal": """
+  SELECT min(year(o_orderdate) * 4 + quarter(o_orderdate) - 1) AS lo, max(year(o_orderdate) * 4 + quarter(o_orderdate) - 1) - 1 AS newest FROM orders""",
     "base": f"""
   SELECT s.MARKET_SEGMENT, s.BRAND, q.qi,
          coalesce(CAST(bb AS DOUBLE), 0) / 100.0 AS BB, coalesce(CAST(mof AS DOUBLE), 0) / 100.0 AS MOF,
          coalesce(CAST(sellin AS DOUBLE), 0) / 10000.0 AS SELLIN, coalesce(CAST(sr AS DOUBLE), 0) / 1000000.0 AS SR
   FROM (SELECT DISTINCT MARKET_SEGMENT, BRAND FROM sums) s
-  CROSS JOIN (SELECT CAST(range AS INTEGER) AS qi FROM range({CALENDAR_START}, {CALENDAR_END + 1})) q
+  CROSS JOIN (SELECT CAST(unnest(range(lo, newest + 4)) AS INTEGER) AS qi FROM cal) q
   LEFT JOIN sums ON sums.MARKET_SEGMENT = s.MARKET_SEGMENT AND sums.BRAND = s.BRAND AND sums.qi = q.qi""",
     "base_ma": f"SELECT *, {_MA} FROM base",
     "base_lags": f"SELECT *, {_LAGS} FROM base_ma",
-    "scen": f"SELECT * FROM (VALUES {_SNAPSHOT_ROWS}) t(VERSION, cutoff, origin)",
+    "scen": """
+  SELECT VERSION, CAST(newest - back AS INTEGER) AS cutoff, CAST(newest - back - off AS INTEGER) AS origin
+  FROM cal, (VALUES ('V_1', 4), ('V_2', 2), ('V_3', 0)) v(VERSION, back), (VALUES (8), (7), (6), (5), (3)) o(off)
+  UNION ALL SELECT 'bad', CAST(newest AS INTEGER), CAST(lo AS INTEGER) FROM cal""",
     "panel_all": f"""
   SELECT *, concat_ws('_', MARKET_SEGMENT, BRAND, SCENARIO) AS PARTITION_COLUMN FROM (
   SELECT VERSION, qi, origin, cutoff, qi - origin AS k, {qlabel('qi')} AS QUARTER,
@@ -155,7 +155,7 @@ CTES: dict[str, str] = {
          {_now('SELLIN')} AS SELLIN_0_MONTH, {_now('SR')} AS SR_0_MONTH,
          {_before('SELLIN')} AS SELLIN_MINUS3_MONTH, {_before('MOF')} AS MOF_MINUS3_MONTH, {_before('SR')} AS SR_MINUS3_MONTH,
          ({_before('MOF')}) * 1.1::DOUBLE AS MOF_PLUS_BUFFER_MINUS3_MONTH
-  FROM base_lags JOIN scen ON qi <= origin + 6 WHERE qi >= {PANEL_START})""",
+  FROM base_lags JOIN scen ON qi <= origin + 6 WHERE qi >= (SELECT lo + 4 FROM cal))""",
     "panel": "SELECT * FROM panel_all WHERE VERSION = 'V_3'",
     "clean_all": """
   SELECT * EXCLUDE (BB), nullif(BB, 0) AS BB_RAW, nullif(BB, 0) IS NOT NULL AS is_actual,
@@ -171,8 +171,8 @@ CTES: dict[str, str] = {
          CASE WHEN count(BB) OVER (PARTITION BY VERSION, PARTITION_COLUMN ORDER BY qi ROWS 3 PRECEDING) = 4
               THEN CAST(sum({cents('BB')}) OVER (PARTITION BY VERSION, PARTITION_COLUMN ORDER BY qi ROWS 3 PRECEDING) AS DOUBLE) / 400.0
          END AS m4
-  FROM (SELECT *, qi - {PANEL_START} + 1 AS t_,
-               CASE WHEN k <= 0 AND BB IS NOT NULL THEN qi - {PANEL_START} + 1 END AS x,
+  FROM (SELECT *, qi - (SELECT lo + 4 FROM cal) + 1 AS t_,
+               CASE WHEN k <= 0 AND BB IS NOT NULL THEN qi - (SELECT lo + 4 FROM cal) + 1 END AS x,
                CASE WHEN k <= 0 AND BB IS NOT NULL THEN {cents('BB')} END AS y FROM clean_all)
   WINDOW s AS (PARTITION BY VERSION, PARTITION_COLUMN)""",
     "fc_slope": """
@@ -219,7 +219,7 @@ CTES: dict[str, str] = {
   SELECT *, {_HORIZON_MAPE} AS HORIZON_MAPE FROM (
     SELECT MARKET_SEGMENT, PARTITION_COLUMN, MODEL_USED, BACKTEST_WINDOW, WINDOW_START_QUARTER, WINDOW_END_QUARTER,
            avg(ape) AS MAPE, CAST(count(ape) AS DOUBLE) AS prediction_count, {_Q_MAPE}
-    FROM fc JOIN bt_windows ON QUARTER BETWEEN WINDOW_START_QUARTER AND WINDOW_END_QUARTER GROUP BY ALL)""",
+    FROM fc JOIN bt_windows ON QUARTER BETWEEN WINDOW_START_QUARTER AND WINDOW_END_QUARTER WHERE k <> 0 AND k <= 6 GROUP BY ALL)""",
     "bt_scores": """
   SELECT *, BT_MEAN_HORIZON_MAPE AS HORIZON_MAPE, BT_MEAN_HORIZON_MAPE * (1 + BT_CV * 0.5) AS BT_SELECTION_SCORE FROM (
     SELECT *, coalesce(BT_STD_HORIZON_MAPE / nullif(BT_MEAN_HORIZON_MAPE, 0), 0) AS BT_CV FROM (

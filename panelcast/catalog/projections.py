@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelcast.catalog import stages as S
 from panelcast.catalog.registry import register
 from panelcast.catalog.scans import QUERY_CONFIG
-from panelcast.config import REGRESSOR_COLUMNS
+from panelcast.config import DEMAND_SIGNALS, REGRESSOR_COLUMNS
 from panelcast.functions.metrics import clip_negative, zero_to_null
 from panelcast.operators import clean as C
 from panelcast.operators import horizon as H
@@ -186,16 +186,16 @@ register(
 
 
 def _null_ape(spark: SparkSession, d: str) -> DataFrame:
-    rows = H.add_indicators(S.forecasts(spark, d).withColumn("APE", H.ape("BILLING", "BILLING_PREDICTED")), ["MOF"])
+    rows = H.add_indicators(S.forecasts(spark, d).withColumn("APE", H.ape("BILLING", "BILLING_PREDICTED")))
     plain = C.null_ape_missing_indicator(rows)
-    strict = C.null_ape_missing_indicator(plain.withColumn("APE_STRICT", F.col("APE")), "APE_STRICT", ["INDICATOR_MOF_REFERENCED"])
+    strict = C.null_ape_missing_indicator(plain.withColumn("APE_STRICT", F.col("APE")), "APE_STRICT", [f"INDICATOR_{c}_REFERENCED" for c in DEMAND_SIGNALS])
     return strict.select(*KEYS, "MODEL_USED", "APE", "APE_STRICT")
 
 
 register(
     "null_ape_missing_indicator",
     _null_ape,
-    f"""SELECT {K}, MODEL_USED, ape AS APE, CASE WHEN INDICATOR_MOF_REFERENCED IS NOT NULL THEN ape END AS APE_STRICT FROM fc_ind""",
+    f"""SELECT {K}, MODEL_USED, ape AS APE, CASE WHEN {' AND '.join(f'INDICATOR_{c}_REFERENCED IS NOT NULL' for c in DEMAND_SIGNALS)} THEN ape END AS APE_STRICT FROM fc_ind""",
     {6: "APE APE_STRICT"},
 )
 

@@ -72,20 +72,17 @@ register(
     lambda s, d: S.forecasts(s, d).select(*KEYS, "MODEL_USED", *[ME.indicator("BILLING_PREDICTED", c).alias(f"I_{c}") for c in DEMAND_SIGNALS]),
     f"SELECT {K}, MODEL_USED, {', '.join(f'''{indicator('BILLING_PREDICTED', c)} AS I_{c}''' for c in DEMAND_SIGNALS)} FROM fc",
 )
-_A, _B = "INDICATOR_SR_REFERENCED", "INDICATOR_FORECASTED_SR_REFERENCED"
+_MARKS = [c for c in H.indicator_columns() if c.startswith(("VALIDATION", "DIRECTIONAL"))]
 register(
     "verification_columns",
-    lambda s, d: H.add_indicators(S.forecasts(s, d), ["SR"]).select(
-        *KEYS, "MODEL_USED", "VALIDATION_DISTANCE_SR_REFERENCED", "DIRECTIONAL_CORRECTNESS_SR_REFERENCED"
-    ),
-    f"SELECT {K}, MODEL_USED, {distance(_A, _B)} AS VALIDATION_DISTANCE_SR_REFERENCED, {direction(_A, _B)} AS DIRECTIONAL_CORRECTNESS_SR_REFERENCED FROM fc_ind",
+    lambda s, d: H.add_indicators(S.forecasts(s, d)).select(*KEYS, "MODEL_USED", *_MARKS),
+    f"SELECT {K}, MODEL_USED, {', '.join(_MARKS)} FROM fc_ind",
 )
 
-_EVAL = [c for c in H.indicator_columns() if c.startswith(("VALIDATION", "DIRECTIONAL"))]
 register(
     "evaluate_predictions",
-    lambda s, d: H.evaluate_predictions(S.forecasts(s, d), [*KEYS[:1], "MODEL_USED"]).select(*KEYS, "MODEL_USED", "APE", *_EVAL),
-    f"SELECT {K}, MODEL_USED, ape AS APE, {', '.join(_EVAL)} FROM fc_ind WHERE k NOT IN (0, 5, 6)",
+    lambda s, d: H.evaluate_predictions(S.forecasts(s, d), [*KEYS[:1], "MODEL_USED"]).select(*KEYS, "MODEL_USED", "APE", *_MARKS),
+    f"SELECT {K}, MODEL_USED, ape AS APE, {', '.join(_MARKS)} FROM fc_ind WHERE k NOT IN (0, 5, 6)",
     {6: "APE"},
 )
 

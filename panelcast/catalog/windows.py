@@ -54,7 +54,7 @@ _MA = ", ".join(
 )
 register(
     "moving_average",
-    lambda s, d: C.moving_average(S.clean(s, d), [P]).select(*KEYS, *[f"MA_{n}Q" for n in MOVING_AVERAGE_WINDOWS]),
+    lambda s, d: C.moving_average(S.clean(s, d), [P], money=True).select(*KEYS, *[f"MA_{n}Q" for n in MOVING_AVERAGE_WINDOWS]),
     f"SELECT {K}, {_MA} FROM clean",
 )
 
@@ -97,16 +97,12 @@ register(
 )
 
 
-def _short(spark: SparkSession, d: str) -> DataFrame:
-    return S.panel(spark, d).filter((F.col("BRAND").cast("int") < 20) | (F.col("QUARTER") >= "1999Q4"))
-
-
 register(
     "min_rows_guard",
-    lambda s, d: X.min_rows_guard(_short(s, d), [P]),
+    lambda s, d: X.min_rows_guard(S.panel_all(s, d), ["VERSION", P]),
     """SELECT *, val_h + pred_h + 1 AS min_rows, CASE WHEN n_rows < val_h + pred_h + 1 THEN 'Insufficient training data: ' || n_rows || ' rows, need at least '
          || (val_h + pred_h + 1) || ' (val=' || val_h || ', pred=' || pred_h || ')' END AS error
-       FROM (SELECT PARTITION_COLUMN, count(*) AS n_rows, 2 AS val_h, 6 AS pred_h FROM panel WHERE CAST(BRAND AS INTEGER) < 20 OR QUARTER >= '1999Q4' GROUP BY ALL)""",
+       FROM (SELECT VERSION, PARTITION_COLUMN, count(*) AS n_rows, 2 AS val_h, 6 AS pred_h FROM panel_all GROUP BY ALL)""",
 )
 
 
@@ -219,7 +215,7 @@ register(
 _MASKED_COLUMNS = H.indicator_columns()
 # fixed values: training rows lie before the median distance, test rows at or after the origin + 1
 _MASK_BASE = """SELECT f.*, 1 - f.k AS vh, h.v FROM fc f JOIN (SELECT PARTITION_COLUMN, trunc(median(CAST(1 - k AS DOUBLE))) AS v FROM panel GROUP BY PARTITION_COLUMN) h
-  USING (PARTITION_COLUMN) WHERE f.MODEL_USED = 'TREND'"""
+  USING (PARTITION_COLUMN)"""
 _MASKED = ", ".join(
     f"CASE WHEN vh <= v THEN {s} END AS m_{s}, CASE WHEN vh <= v AND vh > 0 THEN {indicator('BILLING', s)} END AS INDICATOR_{s}_REFERENCED,"
     f" CASE WHEN vh <= v THEN {indicator('BILLING_PREDICTED', s)} END AS INDICATOR_FORECASTED_{s}_REFERENCED"
@@ -235,15 +231,15 @@ _MASKED_MARKS = ", ".join(
 def _mask(spark: SparkSession, d: str) -> DataFrame:
     from panelcast.sources.panel import countdown_horizon
 
-    rows = countdown_horizon(S.forecasts(spark, d).filter(F.col("MODEL_USED") == "TREND"))
-    return H.add_indicators(rows, keys=[P]).select(*KEYS, *DEMAND_SIGNALS, *_MASKED_COLUMNS)
+    rows = countdown_horizon(S.forecasts(spark, d))
+    return H.add_indicators(rows, keys=[P, "MODEL_USED"]).select(*KEYS, "MODEL_USED", *DEMAND_SIGNALS, *_MASKED_COLUMNS)
 
 
 _MASK_OUT = ", ".join([f"m_{s} AS {s}" for s in DEMAND_SIGNALS] + _MASKED_COLUMNS)
 register(
     "mask_by_horizon",
     _mask,
-    f"SELECT {K}, {_MASK_OUT} FROM (SELECT *, {_MASKED_MARKS} FROM (SELECT *, {_MASKED} FROM ({_MASK_BASE})))",
+    f"SELECT {K}, MODEL_USED, {_MASK_OUT} FROM (SELECT *, {_MASKED_MARKS} FROM (SELECT *, {_MASKED} FROM ({_MASK_BASE})))",
 )
 
 # --- top-k -------------------------------------------------------------------------------------------
@@ -305,11 +301,11 @@ register(
 
 def _union(spark: SparkSession, d: str) -> DataFrame:
     rows = S.forecasts(spark, d).select(*KEYS, "MODEL_USED", "BILLING_PREDICTED")
-    flat, line = rows.filter(F.col("MODEL_USED") == "MEAN4"), rows.filter(F.col("MODEL_USED") == "TREND")
-    return flat.select("BILLING_PREDICTED", "MODEL_USED", *KEYS).unionByName(line).select(*rows.columns)
+    flat, season, line = (rows.filter(F.col("MODEL_USED") == m) for m in ("MEAN4", "SEASONAL_NAIVE", "TREND"))
+    return flat.select("BILLING_PREDICTED", "MODEL_USED", *KEYS).unionByName(season).unionByName(line).select(*rows.columns)
 
 
-register("union_predictions", _union, f"SELECT {K}, MODEL_USED, BILLING_PREDICTED FROM fc WHERE MODEL_USED IN ('MEAN4', 'TREND')")
+register("union_predictions", _union, f"SELECT {K}, MODEL_USED, BILLING_PREDICTED FROM fc")
 
 register(
     "distinct_partitions",

@@ -50,15 +50,21 @@ def fill_cascade(df: DataFrame, columns: Sequence[str], keys: Sequence[str], ord
 
 def moving_average(
     df: DataFrame, keys: Sequence[str], order: str = "QUARTER_PARSED", target: str = "BB", prefix: str = "MA_",
-    windows: Sequence[int] = tuple(MOVING_AVERAGE_WINDOWS),
+    windows: Sequence[int] = tuple(MOVING_AVERAGE_WINDOWS), money: bool = False,
 ) -> DataFrame:
-    """Trailing means including the current row; short at the start of a series."""
+    """Trailing means including the current row; short at the start of a series.
+
+    With ``money`` the target holds whole cents, and sums are exact; any other target is averaged as it is.
+    """
     series = _series(keys, order)
     out = {}
     for n in windows:
         frame = series.rowsBetween(-(n - 1), 0)
-        cents = F.sum(exact_cents(target).cast("decimal(20,0)")).over(frame).cast("double")
-        out[f"{prefix}{n}Q"] = F.try_divide(cents, F.count(target).over(frame) * F.lit(100.0))
+        if money:
+            cents = F.sum(exact_cents(target).cast("decimal(20,0)")).over(frame).cast("double")
+            out[f"{prefix}{n}Q"] = F.try_divide(cents, F.count(target).over(frame) * F.lit(100.0))
+        else:
+            out[f"{prefix}{n}Q"] = F.avg(target).over(frame)
     return df.withColumns(out)
 
 

@@ -66,8 +66,8 @@ def component_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def explain_rows(contributions: DataFrame, fits: DataFrame, champions: DataFrame, handler: str = "linear", key: str = "PARTITION_COLUMN") -> DataFrame:
-    """One row per model: kind, champion flag, and its importances and coefficients as JSON."""
+def explain_rows(contributions: DataFrame, fits: DataFrame, champions: DataFrame, model: str, handler: str = "linear", key: str = "PARTITION_COLUMN") -> DataFrame:
+    """One row per fit of ``model``: kind, whether it is its partition's champion and with what error, and its importances and coefficients as JSON."""
 
     def as_json(name: str, value: str):
         entries = F.sort_array(F.collect_list(F.struct(F.col(name), F.round(F.col(value), 6).alias("_v"))))
@@ -75,33 +75,40 @@ def explain_rows(contributions: DataFrame, fits: DataFrame, champions: DataFrame
 
     importances = contributions.groupBy(key).agg(as_json("regressor", "mean_abs").alias("feature_importances"))
     coefficients = fits.groupBy(key).agg(as_json("regressor", "coefficient").alias("regressor_coefficients"))
-    marks = champions.select(key, F.col("MODEL_USED").alias("champion_model"), F.col("HORIZON_MAPE").alias("mape"))
+    marks = champions.filter(F.col("MODEL_USED") == model).select(key, F.col("HORIZON_MAPE").alias("mape"), F.lit(True).alias("_won"))
     return (
         importances.join(coefficients, key, "full_outer")
         .join(marks, key, "left")
-        .withColumns({"handler_type": F.lit(handler), "is_champion": F.coalesce(F.col("champion_model") == "TREND", F.lit(False))})
-        .drop("champion_model")
+        .withColumns({"MODEL_USED": F.lit(model), "handler_type": F.lit(handler), "is_champion": F.coalesce("_won", F.lit(False))})
+        .drop("_won")
     )
 
 
 def permute_features(rows: DataFrame, xs: Sequence[str], ids: Sequence[str], buckets: int | None = None, seed: int = 42) -> DataFrame:
     """Each row once as it is and once per feature with that feature taken from another row.
 
-    Rows are dealt to buckets of equal size by hash and shifted by one place in hash order there, so no
-    task sees more than its bucket and every value is used exactly once. The number of buckets follows
-    the number of shuffle partitions.
+    All rows stand on one ring in the order of a hash, and every feature moves by one place, so each value is used exactly once and only a single row keeps
+    its own. Tasks get ranges of the hash; the last row of a range takes the first row of the next range that has any. The number of ranges follows the number
+    of shuffle partitions and does not change the result.
     """
     buckets = buckets or 8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     draw = F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))
     ring = W.partitionBy("_bucket").orderBy("_draw", *ids)
-    whole = ring.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    dealt = rows.withColumn("_draw", draw).withColumn("_bucket", F.pmod(F.xxhash64("_draw"), F.lit(buckets)))
-    dealt = dealt.withColumns({f"_p_{x}": F.coalesce(F.lead(x, 1).over(ring), F.first(x).over(whole)) for x in xs})
+    share = F.shiftrightunsigned("_draw", 32)  # the upper half, 0 to 2**32 - 1
+    dealt = rows.withColumn("_draw", draw).withColumn("_bucket", (share * buckets / (1 << 32)).cast("long"))
+    values = F.struct(*[F.col(x) for x in xs])
+    # one row per range: a few thousand at most, whatever the table holds
+    firsts = dealt.groupBy("_bucket").agg(F.min_by(values, F.struct("_draw", *ids)).alias("_first"))
+    around = W.orderBy("_bucket")
+    next_first = F.coalesce(F.lead("_first", 1).over(around), F.first("_first").over(around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    dealt = dealt.join(firsts.select("_bucket", next_first.alias("_next")), "_bucket")
+    dealt = dealt.withColumn("_last", F.lead(F.lit(1), 1).over(ring).isNull())
+    dealt = dealt.withColumns({f"_p_{x}": F.when(F.col("_last"), F.col(f"_next.{x}")).otherwise(F.lead(x, 1).over(ring)) for x in xs})
     variants = F.explode(F.array(F.lit("none"), *[F.lit(x) for x in xs]))
     return (
         dealt.withColumn("permuted", variants)
         .withColumns({x: F.when(F.col("permuted") == x, F.col(f"_p_{x}")).otherwise(F.col(x)) for x in xs})
-        .drop("_draw", "_bucket", *[f"_p_{x}" for x in xs])
+        .drop("_draw", "_bucket", "_next", "_last", *[f"_p_{x}" for x in xs])
     )
 
 

@@ -81,6 +81,8 @@ def backfill_from_q2(
     scope: Sequence[str] = (), horizon: str = "k",
 ) -> DataFrame:
     """Q+3 and Q+4 rows without an actual take the Q+2 actual of the same quarter and segment."""
+    from panelcast.operators.windows import salted, salted_lookup
+
     on = [*scope, *keys]
     donors = (
         df.filter(F.col(horizon) == 2)
@@ -89,9 +91,10 @@ def backfill_from_q2(
     )
     needs = F.col(horizon).isin(3, 4) & (F.col(actual).isNull() | (F.col(actual) == 0))
     return (
-        df.join(donors, on, "left")
+        salted(df)
+        .join(salted_lookup(donors), [*on, "_salt"], "left")
         .withColumn(actual, F.when(needs, F.col("_donor")).otherwise(F.col(actual)))
-        .drop("_donor")
+        .drop("_donor", "_salt")
     )
 
 
@@ -139,18 +142,19 @@ def mean_of_columns(names: Sequence[str]) -> Column:
 
 def evaluate_windows(
     df: DataFrame, windows: DataFrame, keys: Sequence[str], start: int = 1, end: int = 6,
-    actual: str = "BILLING", predicted: str = "BILLING_PREDICTED",
+    actual: str = "BILLING", predicted: str = "BILLING_PREDICTED", max_horizon: int = 6,
 ) -> DataFrame:
     """One row per key and backtest window: overall error, per-horizon errors, number of scored rows.
 
-    ``df`` carries ``k``. In-sample rows count in MAPE only. A single aggregation serves all windows.
+    ``df`` carries ``k``. The origin quarter itself (k = 0) and quarters beyond ``max_horizon`` are no forecasts and never count; in-sample rows
+    count in MAPE only. A single aggregation serves all windows.
     """
     from panelcast.operators.windows import window_quarters_join
 
     error = ape(actual, predicted)
     bounds = ["BACKTEST_WINDOW", "WINDOW_START_QUARTER", "WINDOW_END_QUARTER"]
     return (
-        window_quarters_join(df, windows)
+        window_quarters_join(df.filter((F.col("k") != 0) & (F.col("k") <= max_horizon)), windows)
         .groupBy(*keys, *bounds)
         .agg(
             F.avg(error).alias("MAPE"),

@@ -219,10 +219,10 @@ def linear_score(xs: Sequence[str], coefficients: str = "coefficients", intercep
 
 
 def score_models(df: DataFrame, fits: DataFrame, keys: Sequence[str], xs: Sequence[str]) -> DataFrame:
-    """Attach each series' coefficients and apply them; a failed fit gives no prediction."""
+    """Attach each series' coefficients and apply them; a series without a fit, or with a failed one, keeps its rows without a prediction."""
     payload = fits.select(*keys, "intercept", "coefficients")
     return (
-        df.join(payload, list(keys))
+        df.join(payload, list(keys), "left")
         .withColumn("BILLING_PREDICTED", clip_negative(linear_score(xs)))
         .drop("intercept", "coefficients")
     )
@@ -231,7 +231,7 @@ def score_models(df: DataFrame, fits: DataFrame, keys: Sequence[str], xs: Sequen
 # --- model families ----------------------------------------------------------------------------------
 
 
-def trend_seasonal_features(df: DataFrame, day: str = "QUARTER_PARSED", quarter: str = "QUARTER", period: float = 91.3125, order: int = 2) -> tuple[DataFrame, list[str]]:
+def trend_seasonal_features(df: DataFrame, day: str = "QUARTER_PARSED", quarter: str = "QUARTER", period: float = 91.3125, order: int = 5) -> tuple[DataFrame, list[str]]:
     from panelcast.functions.stats import fourier_terms
 
     terms = fourier_terms(day, period, order)
@@ -291,11 +291,14 @@ def autoreg_select(df: DataFrame, keys: Sequence[str], target: str = "BB", order
     rest = [c for c in fits.columns if c not in keys]
     rank = F.struct(F.col("aic").isNull(), "aic", "ar_order")
     best = fits.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    # a series without a single complete row stays, with an error
+    every = df.groupBy(*keys).agg(F.count(target).alias("_known")).join(best, list(keys), "left")
+    missing = F.when(F.col("_row").isNull(), F.lit("Insufficient training data: 0 rows")).otherwise(F.col("_row.error"))
+    return every.select(*keys, *[(missing if c == "error" else F.col(f"_row.{c}")).alias(c) for c in rest])
 
 
 def autoreg_forecast(df: DataFrame, fits: DataFrame, keys: Sequence[str], horizon: int = 6, target: str = "BB", order_by: str = "QUARTER_PARSED", max_order: int = 4) -> DataFrame:
-    """Recursive forecasts ``step`` = 1..horizon from the last values of each series."""
+    """Recursive forecasts ``step`` = 1..horizon from the last values of each series; a series without a usable fit has steps without a prediction."""
     known = df.filter(F.col(target).isNotNull())
     recent = known.withColumn(
         "_back", F.row_number().over(W.partitionBy(*keys).orderBy(F.col(order_by).desc()))
@@ -312,11 +315,14 @@ def autoreg_forecast(df: DataFrame, fits: DataFrame, keys: Sequence[str], horizo
 
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("_tail"), advance)
     usable = fits.filter(F.col("error").isNull()).select(*keys, "coefficients", "intercept", "ar_order")
+    fitted = F.col("coefficients").isNotNull() & (F.size("_tail") >= F.col("ar_order"))
+    steps = F.when(fitted, F.reverse(F.slice(path, 1, horizon))).otherwise(F.array_repeat(F.lit(None).cast("double"), horizon))
     return (
-        tail.join(usable, list(keys))
-        .filter(F.size("_tail") >= F.col("ar_order"))
-        .withColumn("_path", path)
-        .select(*keys, F.posexplode(F.reverse(F.slice("_path", 1, horizon))).alias("step", "BILLING_PREDICTED"))
+        df.select(*keys)
+        .distinct()
+        .join(tail, list(keys), "left")
+        .join(usable, list(keys), "left")
+        .select(*keys, F.posexplode(steps).alias("step", "BILLING_PREDICTED"))
         .withColumn("step", F.col("step") + 1)
     )
 
@@ -518,7 +524,7 @@ def pooled_features(df: DataFrame, xs: Sequence[str], segment: str = "MARKET_SEG
     )
 
 
-def fit_pooled_trees(rows: DataFrame, xs: Sequence[str], kind: str = "gbt", segment: str = "MARKET_SEGMENT", max_iter: int = 10, max_depth: int = 4, seed: int = 42):
+def fit_pooled_trees(rows: DataFrame, xs: Sequence[str], kind: str = "gbt", segment: str = "MARKET_SEGMENT", max_iter: int = 40, max_depth: int = 4, seed: int = 42):
     """Boosted trees or a forest over all series at once, with the segment as a categorical feature."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -530,7 +536,7 @@ def fit_pooled_trees(rows: DataFrame, xs: Sequence[str], kind: str = "gbt", segm
     if kind == "gbt":
         tree = GBTRegressor(maxIter=max_iter, maxDepth=max_depth, stepSize=0.1, subsamplingRate=0.8, seed=seed, validationIndicatorCol="is_val")
     else:
-        tree = RandomForestRegressor(numTrees=max_iter * 2, maxDepth=max_depth + 2, minInstancesPerNode=2, seed=seed)
+        tree = RandomForestRegressor(numTrees=max_iter, maxDepth=max_depth + 2, minInstancesPerNode=2, seed=seed)
     return Pipeline(stages=[indexer, assembler, tree.setPredictionCol("BILLING_PREDICTED")]).fit(train)
 
 

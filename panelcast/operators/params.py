@@ -29,7 +29,8 @@ def segment_params(df: DataFrame, params: DataFrame, segment: str = "MARKET_SEGM
     """Attach each row's segment settings, those of ``general`` where the segment has none."""
     fields = [c for c in params.columns if c != segment]
     own = params.filter(F.col(segment) != "general").select(segment, *[F.col(c).alias(f"_own_{c}") for c in fields])
-    general = params.filter(F.col(segment) == "general").select(*[F.col(c).alias(f"_gen_{c}") for c in fields])
+    # an aggregate has one row even if ``general`` is not configured, so no segment is lost
+    general = params.filter(F.col(segment) == "general").agg(*[F.first(c).alias(f"_gen_{c}") for c in fields])
     return (
         df.join(F.broadcast(own), segment, "left")
         .crossJoin(F.broadcast(general))

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 
 def default_buckets(df: DataFrame) -> int:
-    """As many buckets as the cluster shuffles into, within what a literal list of limits can carry."""
-    return min(512, max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """As many buckets as the cluster shuffles into."""
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def bucket_limits(df: DataFrame, group: str, value: str, buckets: int) -> DataFrame:

@@ -123,24 +123,38 @@ def window_quarters_join(df: DataFrame, windows: DataFrame, quarter: str = "QUAR
     )
 
 
+SALTS = 32
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """Rows with a place among ``SALTS``, whatever their key."""
+    return df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
+
+
+def salted_lookup(lookup: DataFrame) -> DataFrame:
+    """A lookup of few rows, once for each place."""
+    return lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def infer_origin_quarter(
     df: DataFrame, max_horizon: int = 6, keys: Sequence[str] = (), version: str = "MOF_VERSION", quarter: str = "QUARTER"
 ) -> DataFrame:
     """``ORIGIN_QUARTER`` from the label, or ``max_horizon`` before the last quarter of the version.
 
-    The lookup has one row per version label and is joined, not windowed: a version may hold any share
-    of all rows.
+    The lookup has one row per version label and is joined, not windowed. A version may hold any share of all rows, so rows are dealt
+    over ``SALTS`` copies of the lookup.
     """
     last = df.groupBy(*keys, version).agg(F.max(quarter).alias("_last"))
     inferred = last.withColumn("_inferred", quarter_label(quarter_index("_last") - max_horizon)).drop("_last")
-    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, version)]
-    condition = on[0]
-    for extra in on[1:]:
-        condition = condition & extra
+    condition = F.col("a._salt") == F.col("b._salt")
+    for c in (*keys, version):
+        condition = condition & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     return (
-        df.alias("a")
-        .join(inferred.alias("b"), condition, "left")
+        salted(df)
+        .alias("a")
+        .join(salted_lookup(inferred).alias("b"), condition, "left")
         .select("a.*", F.col("b._inferred").alias("_inferred"))
+        .drop("_salt")
         .withColumn(
             "ORIGIN_QUARTER",
             F.when(origin_has_quarter(version), origin_quarter(version)).otherwise(F.col("_inferred")),

@@ -98,17 +98,27 @@ def diagnose(panel: DataFrame) -> DataFrame:
 def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequence[str] = tuple(REGRESSOR_COLUMNS)) -> DataFrame:
     """One configured model per series and no competition.
 
-    PROPHET means trend, seasonality and regressors, every other choice a regression on the adjusted
-    regressors. Both are fitted from the same rows; the segment's setting picks the one that counts.
+    PROPHET means trend, seasonality and regressors; XGBOOST and LIGHTGBM a regression on the adjusted regressors. Both are fitted from the same rows with all
+    regressors; the segment's setting picks the one that counts. Rows of a segment with another setting stay, without a prediction and with an ``error``.
     """
     key = ["PARTITION_COLUMN"]
     rows = C.zero_regressor_fill(C.adjust_regressors(split_rows, regressors), regressors)
-    fits, featured, xs = M.fit_trend_seasonal(rows, key, list(regressors)[:3])
+    fits, featured, xs = M.fit_trend_seasonal(rows, key, list(regressors))
     trend = M.score_models(featured, fits, key, xs).withColumn("MODEL_USED", F.lit("PROPHET"))
     plain = M.score_models(rows, M.fit_ridge(rows, key, regressors), key, regressors).withColumn("MODEL_USED", F.lit("XGBOOST"))
     both = trend.select(*plain.columns).unionByName(plain)
     settings = segment_params(both, params.select("MARKET_SEGMENT", "preferred_model"))
-    chosen = capped(settings.filter(F.col("MODEL_USED") == F.col("preferred_model")), key)
+    setting = F.upper("preferred_model")
+    known = F.coalesce(setting.isin("PROPHET", "XGBOOST", "LIGHTGBM"), F.lit(False))
+    fitted = F.when(setting == "PROPHET", "PROPHET").otherwise("XGBOOST")
+    picked = settings.filter(F.col("MODEL_USED") == fitted).withColumns(
+        {
+            "MODEL_USED": F.coalesce(setting, F.lit("N/A")),
+            "BILLING_PREDICTED": F.when(known, F.col("BILLING_PREDICTED")),
+            "error": F.when(~known, F.concat(F.lit("Unknown model: "), F.coalesce("preferred_model", F.lit("none")))),
+        }
+    )
+    chosen = capped(picked, key)
     out = chosen.withColumn("BILLING", F.col("BB_RAW")).withColumn("APE", ape("BB_RAW", "BILLING_PREDICTED"))
     return C.remove_unwanted_rows(out.drop("BB", "preferred_model"), key)
 

@@ -17,18 +17,27 @@ from panelcast.functions.quarters import date_quarter_index, quarter_diff, quart
 from panelcast.functions.stats import exact_cents
 from panelcast.sources.tables import read_table
 
-# fixed values: calendar of the derived panel, as quarter indexes (year * 4 + quarter - 1)
-CALENDAR_START = 7980  # 1995Q1, four quarters of history that the panel itself does not show
-PANEL_START = 7984  # 1996Q1
-CALENDAR_END = 8008  # 2002Q1, last quarter any scenario reaches
-SNAPSHOTS = {"V_1": 8001, "V_2": 8003, "V_3": 8005}  # last known quarter of each snapshot
+# how snapshots and origins lie in the calendar, which itself comes from the orders (``calendar``)
+SNAPSHOTS = {"V_1": 4, "V_2": 2, "V_3": 0}  # last known quarter of each snapshot = newest complete quarter minus this
 ORIGIN_OFFSETS = [8, 7, 6, 5, 3]  # forecast origin = last known quarter minus this
 MAX_HORIZON = 6
-UNPARSEABLE = ("bad", 8005, 7980)  # a snapshot whose VERSION has no number
+HISTORY = 4  # first quarters of the calendar, which lagged signals need and the panel does not show
+UNPARSEABLE = "bad"  # a snapshot whose VERSION has no number
 SIGNALS = ["MOF", "SELLIN", "SR"]
 GRAIN = ["MARKET_SEGMENT", "BRAND"]
 
 
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: first quarter, newest complete quarter, and last quarter that any scenario reaches, as quarter indexes (year * 4 + quarter - 1).
+
+    A quarter is complete once a later one has orders.
+    """
+    quarters = read_table(spark, sf_dir, "orders").select(date_quarter_index("o_orderdate").alias("qi"))
+    ends = quarters.agg(F.min("qi").alias("first_qi"), (F.max("qi") - 1).alias("newest_qi"))
+    reach = MAX_HORIZON - min(ORIGIN_OFFSETS)
+    return ends.withColumn("last_qi", F.greatest(F.col("newest_qi") + 1, F.col("newest_qi") + reach))
+
+
 def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: list price, discounted price and charged price, as exact whole numbers.
 
@@ -55,7 +64,7 @@ def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target and signals per series and quarter, every quarter of the calendar present."""
+    """Target and signals per series and quarter, every quarter from the first order to the end of the calendar present."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", date_quarter_index("o_orderdate").alias("qi"), exact_cents("o_totalprice").alias("bb")
     )
@@ -82,11 +91,12 @@ def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("qi", F.struct("bb", "mof", "sellin", "sr")))).alias("known")
     )
     number = lambda name, scale: F.coalesce(F.col("known")[F.col("qi")][name].cast("double"), F.lit(0.0)) / scale
-    return wide.select(
-        *GRAIN, "known", F.explode(F.sequence(F.lit(CALENDAR_START), F.lit(CALENDAR_END))).alias("qi")
-    ).select(
+    spread = wide.crossJoin(F.broadcast(calendar(spark, sf_dir)))  # one row
+    return spread.select(*GRAIN, "known", "first_qi", "newest_qi", F.explode(F.sequence("first_qi", "last_qi")).alias("qi")).select(
         *GRAIN,
         "qi",
+        "first_qi",
+        "newest_qi",
         number("bb", 100.0).alias("BB"),
         number("mof", 100.0).alias("MOF"),
         number("sellin", 10000.0).alias("SELLIN"),
@@ -94,10 +104,11 @@ def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scenarios(spark: SparkSession) -> DataFrame:
-    """Snapshot x forecast origin; a handful of fixed rows."""
-    rows = [(v, cut, cut - off) for v, cut in SNAPSHOTS.items() for off in ORIGIN_OFFSETS]
-    return spark.createDataFrame([*rows, UNPARSEABLE], "VERSION string, cutoff int, origin int")
+def scenarios(base: DataFrame) -> DataFrame:
+    """Every row with each snapshot and forecast origin (a handful, from configuration) that reaches its quarter."""
+    each = [F.struct(F.lit(v).alias("VERSION"), (F.col("newest_qi") - back).alias("cutoff"), (F.col("newest_qi") - back - off).alias("origin")) for v, back in SNAPSHOTS.items() for off in ORIGIN_OFFSETS]
+    each.append(F.struct(F.lit(UNPARSEABLE).alias("VERSION"), F.col("newest_qi").alias("cutoff"), F.col("first_qi").alias("origin")))
+    return base.withColumn("s", F.explode(F.array(*each))).select("*", "s.*").drop("s").filter(F.col("qi") <= F.col("origin") + MAX_HORIZON)
 
 
 SERIES_ORDER = f"PARTITION BY {', '.join(GRAIN)} ORDER BY qi"
@@ -133,9 +144,9 @@ def horizon_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_quarters(spark, sf_dir)
         .selectExpr("*", *[f"{_trailing(n)} AS MA_{n}" for n in MOVING_AVERAGE_WINDOWS])
         .selectExpr("*", *[f"{e} AS {name}" for name, e in lags.items()])
-        .filter(F.col("qi") >= PANEL_START)
+        .filter(F.col("qi") >= F.col("first_qi") + HISTORY)
     )
-    rows = base.join(F.broadcast(scenarios(spark)), F.col("qi") <= F.col("origin") + MAX_HORIZON)
+    rows = scenarios(base)
     mof_version = F.concat(quarter_label("origin"), F.lit("M1"))
     newest = F.concat(quarter_label("cutoff"), F.lit("M1"))
     labelled = rows.withColumns(

@@ -111,11 +111,16 @@ def write_versioned(df: DataFrame, path: str, version_col: str, max_records: int
 
 
 def append_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Append to a catalog table in its own schema, creating it on the first run."""
+    """Append to a catalog table, creating it on the first run. Columns that only the batch has are added to the table."""
     if spark.catalog.tableExists(table):
         target = spark.table(table).schema
-        aligned = align_to_schema(df, target).select(*[f.name for f in target.fields if f.name])
-        aligned.write.mode("append").saveAsTable(table)
+        aligned = align_to_schema(df, target)
+        known = {name.lower() for name in target.names}
+        new = [f for f in aligned.schema.fields if f.name.lower() not in known]
+        if new:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        aligned.select(*target.names, *[f.name for f in new]).write.mode("append").saveAsTable(table)
     else:
         align_to_schema(df, T.StructType([])).write.saveAsTable(table)
 

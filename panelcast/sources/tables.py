@@ -9,20 +9,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelcast.functions.quarters import as_column
+from panelcast.session import file_state
 
 
-_KNOWN_SCHEMAS: dict[str, StructType] = {}
+_KNOWN_SCHEMAS: dict[str, tuple[str, StructType]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A source table as it is; the scan is pruned by whatever follows.
 
-    The footer is read for the schema once per path and process, not once per use in a plan.
+    The footer is read for the schema once per state of the file, not once per use in a plan.
     """
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _KNOWN_SCHEMAS:
-        _KNOWN_SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
+    state = file_state(spark, path)
+    known = _KNOWN_SCHEMAS.get(path)
+    if known is None or known[0] != state:
+        known = _KNOWN_SCHEMAS[path] = (state, spark.read.parquet(path).schema)
+    return spark.read.schema(known[1]).parquet(path)
 
 
 def load_fixture(spark: SparkSession, path: str) -> DataFrame:
@@ -86,8 +89,8 @@ def next_table_version(spark: SparkSession, table: str, version_col: str, first:
     return next_version_label(spark.table(table), version_col, first).first()[0]
 
 
-def derive_scenario(df: DataFrame, min_valid: int = 5) -> DataFrame:
-    """Keep SCENARIO where the table has at least ``min_valid`` usable labels, else build it.
+def derive_scenario(df: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """Keep SCENARIO where at least a share ``min_share`` of the table's rows has a usable label, else build it.
 
     The whole column decides (a one-row aggregate), not an unordered sample of it.
     """
@@ -101,7 +104,7 @@ def derive_scenario(df: DataFrame, min_valid: int = 5) -> DataFrame:
         & F.col("SCENARIO").contains("_QUARTER_")
         & ~F.col("SCENARIO").contains("XXXX-XX-XX")
     )
-    verdict = df.agg((F.count_if(usable) >= min_valid).alias("_keep"))
+    verdict = df.agg((F.count_if(usable) >= F.greatest(F.count(F.lit(1)) * min_share, F.lit(1))).alias("_keep"))
     return (
         df.crossJoin(F.broadcast(verdict))
         .withColumn("SCENARIO", F.when(F.col("_keep"), F.col("SCENARIO")).otherwise(built))

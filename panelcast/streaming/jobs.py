@@ -31,7 +31,10 @@ def stream_files(spark: SparkSession, folder: str, schema: StructType, pattern:
 def run_available(
     stream: DataFrame, sink: str, checkpoint: str, mode: str = "update", transform: Callable[[DataFrame], DataFrame] | None = None
 ) -> None:
-    """Process everything that has arrived and stop."""
+    """Process everything that has arrived and stop. The sink has the result's schema even if nothing arrived."""
+    spark = stream.sparkSession
+    nothing = spark.createDataFrame([], stream.schema)
+    (transform(nothing) if transform is not None else nothing).limit(0).write.mode("overwrite").parquet(f"{sink}/batch_id=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform is not None else batch
@@ -65,9 +68,23 @@ def error_counts(errors: DataFrame, time: str = "timestamp", keys: Sequence[str]
     )
 
 
-def quarter_rollup(orders: DataFrame, customers: DataFrame, delay: str = "4000 days") -> DataFrame:
-    """Target per segment and quarter from single orders, each order counted once."""
-    once = orders.withWatermark("o_orderdate", delay).dropDuplicatesWithinWatermark(["o_orderkey"])
+def quarter_rollup(orders: DataFrame, customers: DataFrame, delay: str = "120 days") -> DataFrame:
+    """Target per segment and quarter from single orders, each order counted once.
+
+    The state holds the keys of orders within ``delay`` of the newest one. Older orders that arrive in a later batch are not in
+    the stream's result; ``merge_late`` adds them.
+    """
+    return _rolled_up(orders.withWatermark("o_orderdate", delay).dropDuplicatesWithinWatermark(["o_orderkey"]), customers)
+
+
+def merge_late(rollup: DataFrame, late: DataFrame, counted: DataFrame, customers: DataFrame) -> DataFrame:
+    """A stored rollup with late orders added, in batch: those whose key is not among the ``counted`` orders, each once."""
+    new = dedupe_first(late, ["o_orderkey"], ["o_orderdate"]).join(counted.select("o_orderkey").distinct(), "o_orderkey", "left_anti")
+    both = rollup.unionByName(_rolled_up(new, customers).select(*rollup.columns))
+    return both.groupBy("MARKET_SEGMENT", "qi").agg(F.sum("cents").alias("cents"), F.sum("n_orders").alias("n_orders"))
+
+
+def _rolled_up(once: DataFrame, customers: DataFrame) -> DataFrame:
     segments = customers.select("c_custkey", F.col("c_mktsegment").alias("MARKET_SEGMENT"))
     return (
         once.select("o_custkey", date_quarter_index("o_orderdate").alias("qi"), exact_cents("o_totalprice").alias("cents"))

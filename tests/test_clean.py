@@ -153,10 +153,18 @@ def test_versions_compare_as_numbers(spark):
 def test_scenario_is_kept_only_if_usable(spark):
     good = [("2020Q1", "2020Q1M1", f"MOF_2020Q1M1_QUARTER_{i}") for i in range(5)]
     bad = [("2020Q1", "2020Q1M1", None)] * 30
-    kept = tables.derive_scenario(spark.createDataFrame(bad + good, "QUARTER string, MOF_VERSION string, SCENARIO string"))
+    schema = "QUARTER string, MOF_VERSION string, SCENARIO string"
+    built = tables.derive_scenario(spark.createDataFrame(bad + good, schema))  # a few usable labels do not speak for a large table
+    assert built.filter("SCENARIO = 'MOF_2020Q1M1'").count() == 35
+    kept = tables.derive_scenario(spark.createDataFrame(bad[:5] + good, schema))
     assert kept.filter("SCENARIO = 'MOF_2020Q1M1'").count() == 0
-    built = tables.derive_scenario(spark.createDataFrame(bad + good[:4], "QUARTER string, MOF_VERSION string, SCENARIO string"))
-    assert built.filter("SCENARIO = 'MOF_2020Q1M1'").count() == 34
+    assert tables.derive_scenario(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_moving_average_keeps_small_targets(spark):
+    df = spark.createDataFrame([("p", 1, 0.001), ("p", 2, 0.003)], "PARTITION_COLUMN string, t int, BB double")
+    got = C.moving_average(df, ["PARTITION_COLUMN"], "t").orderBy("t").collect()
+    assert abs(got[1]["MA_2Q"] - 0.002) < 1e-12
 
 
 def test_partition_key_skips_nulls(spark):

@@ -111,7 +111,7 @@ def test_autoregression_recovers_the_process(spark):
         y.append(20 + 1.2 * y[-1] - 0.5 * y[-2] + rng.normal(0, 0.01))
     df = spark.createDataFrame([("p", i, float(v)) for i, v in enumerate(y)] + [("tiny", 0, 1.0), ("tiny", 1, 2.0)], "PARTITION_COLUMN string, t int, BB double")
     fits = {r["PARTITION_COLUMN"]: r for r in M.autoreg_select(df, ["PARTITION_COLUMN"], order_by="t").collect()}
-    assert fits["p"]["ar_order"] >= 2 and "tiny" not in fits
+    assert fits["p"]["ar_order"] >= 2 and fits["tiny"]["error"].startswith("Insufficient") and fits["tiny"]["coefficients"] is None
     fit = fits["p"]
     state = y[::-1]
     want = []
@@ -121,6 +121,9 @@ def test_autoregression_recovers_the_process(spark):
         state = [nxt, *state]
     best = M.autoreg_select(df, ["PARTITION_COLUMN"], order_by="t")
     got = M.autoreg_forecast(df, best, ["PARTITION_COLUMN"], 3, order_by="t").orderBy("step").collect()
+    tiny = [r for r in got if r["PARTITION_COLUMN"] == "tiny"]
+    assert [(r["step"], r["BILLING_PREDICTED"]) for r in tiny] == [(1, None), (2, None), (3, None)]
+    got = [r for r in got if r["PARTITION_COLUMN"] == "p"]
     assert [r["step"] for r in got] == [1, 2, 3] and np.allclose([r["BILLING_PREDICTED"] for r in got], want, rtol=1e-9)
 
 
@@ -135,7 +138,10 @@ def test_pooled_models_predict(spark, data):
 
 def test_permutation_uses_every_value_once(spark, data):
     df = spark.createDataFrame(data)
-    out = E.permute_features(df, ["x1", "x2"], ["PARTITION_COLUMN", "i"], buckets=4)
+    by_buckets = [E.permute_features(df, ["x1", "x2"], ["PARTITION_COLUMN", "i"], buckets=b) for b in (1, 4, 1600)]
+    rows = [sorted(map(tuple, o.collect())) for o in by_buckets]
+    assert rows[0] == rows[1] == rows[2]  # the ring does not depend on how it is dealt out
+    out = by_buckets[1]
     assert out.count() == len(data) * 3
     moved = out.filter("permuted = 'x1'")
     assert sorted(r["x1"] for r in moved.collect()) == sorted(data["x1"])
@@ -149,3 +155,18 @@ def test_contributions_are_exact_for_a_line(spark):
     fits = M.univariate_fits(df, ["PARTITION_COLUMN"], ["x"])
     row = E.linear_contributions(df, fits, ["x"]).first()
     assert abs(row["mean_abs"] - 3.0 * np.abs(np.arange(10) - 4.5).mean()) < 1e-9
+
+
+def test_score_keeps_series_without_a_fit(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "PARTITION_COLUMN string, x double")
+    fits = spark.createDataFrame([("a", 1.0, [2.0])], "PARTITION_COLUMN string, intercept double, coefficients array<double>")
+    got = {r["PARTITION_COLUMN"]: r["BILLING_PREDICTED"] for r in M.score_models(rows, fits, ["PARTITION_COLUMN"], ["x"]).collect()}
+    assert got == {"a": 3.0, "b": None}
+
+
+def test_explanation_marks_only_its_own_model(spark):
+    fits = spark.createDataFrame([("p", "x", 2.0), ("q", "x", 3.0)], "PARTITION_COLUMN string, regressor string, coefficient double")
+    shares = fits.withColumnRenamed("coefficient", "mean_abs")
+    best = spark.createDataFrame([("p", "LINEAR", 5.0), ("q", "TREND", 4.0)], "PARTITION_COLUMN string, MODEL_USED string, HORIZON_MAPE double")
+    got = {r["PARTITION_COLUMN"]: (r["is_champion"], r["mape"]) for r in E.explain_rows(shares, fits, best, "LINEAR").collect()}
+    assert got == {"p": (True, 5.0), "q": (False, None)}
