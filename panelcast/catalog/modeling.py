@@ -269,8 +269,11 @@ register(
 
 
 def _explain(spark: SparkSession, d: str) -> DataFrame:
-    fits = _fits(spark, d)
-    return E.explain_rows(E.linear_contributions(S.split_panel(spark, d), fits, REGRESSORS), fits, S.champions(spark, d), "LINEAR")
+    """The fitted rival of the lifecycle, explained on the quarters it was trained on."""
+    rows = S.clean(spark, d)
+    fits = M.coefficient_rows(M.ridge_to_origin(rows, [P], REGRESSOR_COLUMNS), [P], REGRESSOR_COLUMNS)
+    seen = rows.filter(F.col("QUARTER") <= F.col("ORIGIN_QUARTER"))
+    return E.explain_rows(E.linear_contributions(seen, fits, REGRESSOR_COLUMNS), fits, S.champions(spark, d), "RIDGE")
 
 
 register("explain_rows", _explain)

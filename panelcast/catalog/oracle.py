@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from panelcast.config import MOVING_AVERAGE_WINDOWS
+from panelcast.config import MOVING_AVERAGE_WINDOWS, REGRESSOR_COLUMNS
 
 
 def qlabel(index: str) -> str:
@@ -113,6 +113,41 @@ def mean_of(names: list[str]) -> str:
     return f"(({total}) / nullif(({count}), 0))"
 
 
+_XS = list(REGRESSOR_COLUMNS)
+_N = len(_XS)
+_ALPHA = 0.1
+
+
+def _ridge_ctes() -> dict[str, str]:
+    """Ridge on standardised regressors per series: moments, then Gauss-Jordan elimination, one step for each regressor."""
+    pairs = [(i, j) for i in range(_N) for j in range(i + 1, _N)]
+    moments = ", ".join(
+        [f"avg(x{i}) AS m{i}, var_pop(x{i}) AS v{i}, covar_pop(x{i}, BB) AS y{i}" for i in range(_N)] + [f"covar_pop(x{i}, x{j}) AS c{i}_{j}" for i, j in pairs]
+    )
+    values = ", ".join(f"coalesce({x}, 0) AS x{i}" for i, x in enumerate(_XS))
+    flat = ", ".join(f"v{i} <= (1e-10 * abs(m{i})) ** 2 AS z{i}" for i in range(_N))
+    cells = [f"1.0::DOUBLE + CASE WHEN z{i} THEN 0 ELSE {_ALPHA} END AS a{i}_{i}, CASE WHEN z{i} THEN 0 ELSE y{i} / sqrt(v{i}) END AS b{i}" for i in range(_N)]
+    for i, j in pairs:
+        cells += [f"CASE WHEN z{i} OR z{j} THEN 0 ELSE c{i}_{j} / sqrt(v{i} * v{j}) END AS a{p}_{q}" for p, q in ((i, j), (j, i))]
+    keep = "VERSION, PARTITION_COLUMN, n, my, " + ", ".join(f"m{i}, v{i}, z{i}" for i in range(_N))
+    out = {
+        "rg_moments": f"""
+  SELECT VERSION, PARTITION_COLUMN, count(*) AS n, avg(BB) AS my, {moments}
+  FROM (SELECT *, {values} FROM clean_all WHERE k <= 0 AND BB IS NOT NULL) GROUP BY ALL""",
+        "rg_0": f"SELECT {keep}, {', '.join(cells)} FROM (SELECT *, {flat} FROM rg_moments)",
+    }
+    for s in range(_N):
+        step = [f"b{i} - a{i}_{s} * b{s} / a{s}_{s} AS b{i}" if i != s else f"b{s}" for i in range(_N)]
+        step += [f"a{i}_{j}" if i == s else f"0.0::DOUBLE AS a{i}_{j}" if j == s else f"a{i}_{j} - a{i}_{s} * a{s}_{j} / a{s}_{s} AS a{i}_{j}" for i in range(_N) for j in range(_N)]
+        out[f"rg_{s + 1}"] = f"SELECT {keep}, {', '.join(step)} FROM rg_{s}"
+    betas = ", ".join(f"CASE WHEN z{i} THEN 0 ELSE b{i} / a{i}_{i} / sqrt(v{i}) END AS beta{i}" for i in range(_N))
+    level = " - ".join(["my", *(f"beta{i} * m{i}" for i in range(_N))])
+    out["rg_fits"] = f"SELECT *, {level} AS intercept_ FROM (SELECT {keep}, {betas} FROM rg_{_N})"
+    return out
+
+
+_RIDGE = " + ".join(["r.intercept_", *(f"r.beta{i} * coalesce(w.{x}, 0)" for i, x in enumerate(_XS))])
+
 _Q_MAPE = ", ".join(f"avg(CASE WHEN k = {h} THEN ape END) AS Q{h}_MAPE" for h in range(1, 7))
 _HORIZON_MAPE = mean_of([f"Q{h}_MAPE" for h in range(1, 7)])
 
@@ -183,10 +218,13 @@ CTES: dict[str, str] = {
          max(CASE WHEN k = 0 THEN m4 END) OVER (PARTITION BY VERSION, PARTITION_COLUMN) AS last_m4,
          lag(m4, 1) OVER w AS prev_m4, lag(BB, 4) OVER w AS y4, lag(BB, 8) OVER w AS y8
   FROM fc_slope WINDOW w AS (PARTITION BY VERSION, PARTITION_COLUMN ORDER BY qi)""",
-    "fc_raw": """
+    **_ridge_ctes(),
+    "fc_raw": f"""
   SELECT *, 'MEAN4' AS MODEL_USED, CASE WHEN k > 0 THEN last_m4 ELSE prev_m4 END AS f FROM fc_wide
   UNION ALL SELECT *, 'SEASONAL_NAIVE', CASE WHEN k > 4 THEN y8 ELSE y4 END FROM fc_wide
-  UNION ALL SELECT *, 'TREND', (level_ + slope * CAST(t_ AS DOUBLE)) / 100.0 FROM fc_wide""",
+  UNION ALL SELECT *, 'TREND', (level_ + slope * CAST(t_ AS DOUBLE)) / 100.0 FROM fc_wide
+  UNION ALL SELECT w.*, 'RIDGE', CASE WHEN r.n >= 6 THEN round(greatest({_RIDGE}, 0), 2) END
+  FROM fc_wide w LEFT JOIN rg_fits r ON r.VERSION = w.VERSION AND r.PARTITION_COLUMN = w.PARTITION_COLUMN""",
     "fc_all": f"""
   SELECT *, {ape('BILLING', 'BILLING_PREDICTED')} AS ape FROM (
     SELECT * EXCLUDE (f), BB_RAW AS BILLING, CASE WHEN f < 0 THEN 0.0 ELSE f END AS BILLING_PREDICTED,

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.config import BRAND_KEY_COLUMNS
+from panelcast.config import BRAND_KEY_COLUMNS, REGRESSOR_COLUMNS
 from panelcast.functions.quarters import origin_quarter
 from panelcast.operators import clean as C
 from panelcast.operators import horizon as H
@@ -63,8 +63,10 @@ def split_panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def forecast_rows(rows: DataFrame) -> DataFrame:
-    """Three forecasts per row; ``BILLING`` is what was really observed."""
-    return C.standard_renames(M.naive_forecasts(rows, SERIES).drop("BB").withColumnRenamed("BB_RAW", "BB"))
+    """Three closed-form forecasts and a fitted one per row; ``BILLING`` is what was really observed."""
+    every = M.naive_forecasts(rows, SERIES)
+    every = every.unionByName(M.ridge_forecasts(rows, SERIES, REGRESSOR_COLUMNS).select(*every.columns))
+    return C.standard_renames(every.drop("BB").withColumnRenamed("BB_RAW", "BB"))
 
 
 def build_forecasts(spark: SparkSession, d: str) -> DataFrame:

@@ -301,8 +301,8 @@ register(
 
 def _union(spark: SparkSession, d: str) -> DataFrame:
     rows = S.forecasts(spark, d).select(*KEYS, "MODEL_USED", "BILLING_PREDICTED")
-    flat, season, line = (rows.filter(F.col("MODEL_USED") == m) for m in ("MEAN4", "SEASONAL_NAIVE", "TREND"))
-    return flat.select("BILLING_PREDICTED", "MODEL_USED", *KEYS).unionByName(season).unionByName(line).select(*rows.columns)
+    flat, season, line, fitted = (rows.filter(F.col("MODEL_USED") == m) for m in ("MEAN4", "SEASONAL_NAIVE", "TREND", "RIDGE"))
+    return flat.select("BILLING_PREDICTED", "MODEL_USED", *KEYS).unionByName(season).unionByName(line).unionByName(fitted).select(*rows.columns)
 
 
 register("union_predictions", _union, f"SELECT {K}, MODEL_USED, BILLING_PREDICTED FROM fc")

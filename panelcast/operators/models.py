@@ -159,8 +159,11 @@ def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("nij,nj->ni", inverse, b / scale) / scale
 
 
-def solve_ridge(stats: DataFrame, keys: Sequence[str], n_features: int, alpha: Column | float = 1.0, min_rows: int = 3) -> DataFrame:
-    """Ridge fit per row of ``covariance_stats``; too few rows give an error row, not an exception."""
+def solve_ridge(stats: DataFrame, keys: Sequence[str], n_features: int, alpha: Column | float = 1.0, min_rows: int = 3, relative: bool = False) -> DataFrame:
+    """Ridge fit per row of ``covariance_stats``; too few rows give an error row, not an exception.
+
+    With ``relative`` the penalty is in units of each regressor's variance, as if all were standardised.
+    """
     schema = T.StructType([stats.schema[c] for c in keys] + FIT_FIELDS)
     k = n_features + 1
     ready = stats.withColumn("_alpha", alpha if isinstance(alpha, Column) else F.lit(float(alpha)))
@@ -173,7 +176,10 @@ def solve_ridge(stats: DataFrame, keys: Sequence[str], n_features: int, alpha: C
             n = batch["n"].to_numpy(dtype=float)
             lam = batch["_alpha"].to_numpy(dtype=float) / n
             xx, xy, yy = cov[:, :-1, :-1], cov[:, :-1, -1], cov[:, -1, -1]
-            beta = _solve(xx + lam[:, None, None] * np.eye(k - 1), xy)
+            if relative:
+                beta = _solve(xx + (lam * n)[:, None, None] * xx * np.eye(k - 1), xy)
+            else:
+                beta = _solve(xx + lam[:, None, None] * np.eye(k - 1), xy)
             fitted = np.einsum("ni,nij,nj->n", beta, xx, beta)
             sse = np.maximum(n * (yy - 2 * np.einsum("ni,ni->n", beta, xy) + fitted), 0.0)
             short = n < min_rows
@@ -193,6 +199,29 @@ def fit_ridge(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "B
     return solve_ridge(covariance_stats(training_rows(df, xs, y, split), keys, xs, y), keys, len(xs), alpha)
 
 
+def ridge_to_origin(
+    df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "BB", quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER", alpha: float = 0.1, min_rows: int = 6,
+) -> DataFrame:
+    """One fit per series on all regressors, from its quarters up to the origin; ``means`` are those of the regressors and the target."""
+    rows = df.filter(quarter_index(quarter) <= quarter_index(origin))
+    stats = covariance_stats(training_rows(rows, xs, y, None), keys, xs, y)
+    fits = solve_ridge(stats, keys, len(xs), alpha, min_rows, relative=True)
+    return fits.join(stats.select(*keys, "means"), list(keys))
+
+
+def ridge_forecasts(df: DataFrame, keys: Sequence[str], xs: Sequence[str], quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER") -> DataFrame:
+    """The fitted rival of ``naive_forecasts``, in whole cents; series whose fit failed keep their rows without a prediction."""
+    rows = df.withColumn("k", quarter_index(quarter) - quarter_index(origin))
+    scored = score_models(rows, ridge_to_origin(df, keys, xs, quarter=quarter, origin=origin), keys, xs)
+    return scored.withColumns({"MODEL_USED": F.lit("RIDGE"), "BILLING_PREDICTED": F.round("BILLING_PREDICTED", 2)})
+
+
+def coefficient_rows(fits: DataFrame, keys: Sequence[str], xs: Sequence[str]) -> DataFrame:
+    """Fits in long form: a row per regressor with its coefficient and mean."""
+    cells = F.array(*[F.struct(F.lit(x).alias("regressor"), F.col("coefficients")[i].alias("coefficient"), F.col("means")[i].alias("x_mean")) for i, x in enumerate(xs)])
+    return fits.filter(F.col("coefficients").isNotNull()).select(*keys, "n", "intercept", F.explode(cells).alias("c")).select(*keys, "n", "intercept", "c.*")
+
+
 def univariate_fits(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "BB", split: str | None = "split") -> DataFrame:
     """One straight line per group and regressor, long form; JVM-only."""
     rows = training_rows(df, xs, y, split)

@@ -170,3 +170,29 @@ def test_explanation_marks_only_its_own_model(spark):
     best = spark.createDataFrame([("p", "LINEAR", 5.0), ("q", "TREND", 4.0)], "PARTITION_COLUMN string, MODEL_USED string, HORIZON_MAPE double")
     got = {r["PARTITION_COLUMN"]: (r["is_champion"], r["mape"]) for r in E.explain_rows(shares, fits, best, "LINEAR").collect()}
     assert got == {"p": (True, 5.0), "q": (False, None)}
+
+
+def test_fitted_rival_learns_up_to_the_origin_only(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for p in range(3):
+        for i in range(24):
+            x = rng.normal(size=2) * [1.0, 1e6]
+            # after the origin the law changes; the fit must not see it
+            y = 10 + 2 * x[0] + 3e-6 * x[1] if i < 16 else 1000.0
+            rows.append((f"p{p}", f"{2000 + i // 4}Q{i % 4 + 1}", "2003Q4", float(x[0]), float(x[1]), float(y)))
+    rows += [("short", f"2003Q{q}", "2003Q4", 1.0, float(q), 5.0) for q in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "PARTITION_COLUMN string, QUARTER string, ORIGIN_QUARTER string, a double, b double, BB double")
+    fits = {r["PARTITION_COLUMN"]: r for r in M.ridge_to_origin(df, ["PARTITION_COLUMN"], ["a", "b"], alpha=0.1).collect()}
+    assert fits["short"]["error"].startswith("Insufficient") and fits["short"]["coefficients"] is None
+    for p in range(3):
+        own = np.array([r[3:] for r in rows if r[0] == f"p{p}" and r[1] <= "2003Q4"])
+        x, y = own[:, :2], own[:, 2]
+        z = (x - x.mean(0)) / x.std(0)
+        beta = np.linalg.solve(z.T @ z / len(z) + 0.1 * np.eye(2), z.T @ (y - y.mean()) / len(z)) / x.std(0)
+        assert np.allclose(fits[f"p{p}"]["coefficients"], beta, rtol=1e-9)
+    out = M.ridge_forecasts(df, ["PARTITION_COLUMN"], ["a", "b"])
+    assert out.count() == len(rows) and out.filter("PARTITION_COLUMN = 'short' and BILLING_PREDICTED is not null").count() == 0
+    assert out.filter("PARTITION_COLUMN <> 'short' and BILLING_PREDICTED is null").count() == 0
+    long = M.coefficient_rows(M.ridge_to_origin(df, ["PARTITION_COLUMN"], ["a", "b"]), ["PARTITION_COLUMN"], ["a", "b"])
+    assert long.count() == 6 and long.filter("regressor = 'a' and abs(x_mean) > 2").count() == 0
