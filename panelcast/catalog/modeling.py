@@ -13,6 +13,7 @@ from panelcast.catalog.registry import register
 from panelcast.catalog.scans import QUERY_CONFIG
 from panelcast.config import REGRESSOR_COLUMNS
 from panelcast.operators import explain as E
+from panelcast.operators import horizon as H
 from panelcast.operators import models as M
 from panelcast.operators import params as P_
 from panelcast.operators import windows as X
@@ -210,15 +211,15 @@ def _inference(spark: SparkSession, d: str) -> DataFrame:
     published = L.run_inference(
         S.forecasts(spark, d), S.champions(spark, d), F.lit(S.NOW).cast("timestamp_ntz"), S.DATA_TABLE, S.LATEST
     )
-    return published.select(*KEYS, "MODEL_USED", "MODEL_VERSION", "PREDICTIONS_VERSION", "BILLING", "BILLING_PREDICTED", "APE", "DATA_TABLE", "DATA_VERSION")
+    return published.select(*KEYS, "MODEL_USED", "MODEL_VERSION", "PREDICTIONS_VERSION", "BILLING", "BILLING_PREDICTED", "APE", "DATA_TABLE", "DATA_VERSION", *H.indicator_columns())
 
 
 register(
     "run_inference",
     _inference,
     f"""SELECT f.PARTITION_COLUMN, f.QUARTER, f.MODEL_USED, 'V_3' AS MODEL_VERSION, 'V_20010725_120000' AS PREDICTIONS_VERSION, f.BILLING, f.BILLING_PREDICTED,
-          f.ape AS APE, 'horizon_panel' AS DATA_TABLE, 'V_3' AS DATA_VERSION
-        FROM fc f JOIN champ c ON c.PARTITION_COLUMN = f.PARTITION_COLUMN AND c.MODEL_USED = f.MODEL_USED WHERE f.k <> 0""",
+          f.ape AS APE, 'horizon_panel' AS DATA_TABLE, 'V_3' AS DATA_VERSION, {', '.join('f.' + c for c in H.indicator_columns())}
+        FROM fc_ind f JOIN champ c ON c.PARTITION_COLUMN = f.PARTITION_COLUMN AND c.MODEL_USED = f.MODEL_USED WHERE f.k <> 0""",
     {6: "APE"},
 )
 

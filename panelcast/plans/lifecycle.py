@@ -1,4 +1,7 @@
-"""The stages of the forecast lifecycle as compositions of operators, from panel to monitoring."""
+"""The stages of the forecast lifecycle as compositions of operators, from panel to monitoring.
+
+Thresholds come from the configuration (``config.load_config``), by default the shipped one.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelcast.config import BRAND_KEY_COLUMNS, REGRESSOR_COLUMNS
+from panelcast.config import BRAND_KEY_COLUMNS, DEFAULTS, REGRESSOR_COLUMNS
 from panelcast.functions.metrics import ape
 from panelcast.operators import clean as C
 from panelcast.operators import diagnose as D
@@ -32,9 +35,9 @@ def load_panel(table: DataFrame, columns: Sequence[str] | None = None, keys: Seq
     return C.impute_history_ma(rows, ["PARTITION_COLUMN"]) if impute else rows
 
 
-def gate(panel: DataFrame, minimum: int = 6) -> tuple[DataFrame, DataFrame]:
+def gate(panel: DataFrame, config: dict = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """Clean series and the report of what was removed."""
-    report = Q.dq_report(Q.dq_profile(panel), minimum=minimum)
+    report = Q.dq_report(Q.dq_profile(panel), minimum=config["DATA_QUALITY"]["MIN_TRAIN_PERIODS"])
     return C.dq_exclude(panel, report), report
 
 
@@ -63,29 +66,57 @@ def train(panel: DataFrame, families: dict[str, Sequence[str]], allowed: DataFra
     return M.train_dispatch(X.split_train_val_test(panel, ["PARTITION_COLUMN"]), ["PARTITION_COLUMN"], families, allowed=allowed)
 
 
-def evaluate(forecasts: DataFrame, n_windows: int = 3, stride: int = 1, penalty: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def evaluate(forecasts: DataFrame, n_windows: int = 3, stride: int = 1, config: dict = DEFAULTS) -> tuple[DataFrame, DataFrame]:
     """Backtest metrics per window and the champion per series. ``forecasts`` carries ``k`` and the actuals."""
+    rule = config["EVALUATION"]
+    start, end = rule["horizon_range"]
     windows = X.backtest_windows(forecasts, n_windows, stride)
-    metrics = H.evaluate_windows(forecasts, windows, ["MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"])
-    scores = H.backtest_aggregate(metrics, ["MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"], penalty)
+    metrics = H.evaluate_windows(forecasts, windows, ["MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"], start, end, max_horizon=end)
+    scores = H.backtest_aggregate(metrics, ["MARKET_SEGMENT", "PARTITION_COLUMN", "MODEL_USED"], rule["BACKTEST"]["stability_penalty"])
     return metrics, H.select_champion(scores)
 
 
+def implausible_champions(champions: DataFrame, config: dict = DEFAULTS) -> DataFrame:
+    """Champions outside the error range of the quality gates, with the reason."""
+    rule = config["QUALITY_GATES"]
+    return H.quality_gate_flags(champions, low=rule["MIN_CHAMPION_MAPE"], high=rule["MAX_CHAMPION_MAPE"])
+
+
 def run_inference(forecasts: DataFrame, champions: DataFrame, now: Column, data_table: str, data_version: str, max_horizon: int = 6) -> DataFrame:
-    """The champions' predictions, stamped and ready to append. Series without a champion are left out
-    here and reported by ``coverage_missing``."""
+    """The champions' predictions with error, indicators, distances and directions, stamped and ready to append. Series without a champion
+    are left out here and reported by ``coverage_missing``, champions without a prediction by ``failed_champions``."""
     best = champions.select("PARTITION_COLUMN", "MODEL_USED")
-    rows = forecasts.join(best, ["PARTITION_COLUMN", "MODEL_USED"]).withColumns(
-        {"APE": ape("BILLING", "BILLING_PREDICTED"), "MODEL_VERSION": F.lit(data_version)}
-    )
+    rows = forecasts.join(best, ["PARTITION_COLUMN", "MODEL_USED"]).withColumn("MODEL_VERSION", F.lit(data_version))
+    rows = H.add_indicators(rows.withColumn("APE", ape("BILLING", "BILLING_PREDICTED")))
     rows = C.remove_unwanted_rows(rows, ["PARTITION_COLUMN"], max_horizon)
     return sinks.stamp_batch(rows, now, DATA_TABLE=data_table, DATA_VERSION=data_version)
 
 
-def monitor(predictions: DataFrame, actuals: DataFrame, champions: DataFrame, models: DataFrame, now: Column, data_version: str) -> DataFrame:
+def failed_champions(forecasts: DataFrame, champions: DataFrame) -> DataFrame:
+    """Champions that predict nothing after the origin, as findings for the error log."""
+    predicted = forecasts.filter((F.col("k") > 0) & F.col("BILLING_PREDICTED").isNotNull()).select("PARTITION_COLUMN", "MODEL_USED").distinct()
+    return champions.join(predicted, ["PARTITION_COLUMN", "MODEL_USED"], "left_anti").select(
+        F.lit("inference").alias("stage"), F.col("PARTITION_COLUMN").alias("partition"), F.col("MODEL_USED").alias("model_type"),
+        F.lit("error").alias("severity"), F.lit("No prediction for the champion").alias("message"),
+    )
+
+
+def check_predictions(published: DataFrame, config: dict = DEFAULTS) -> DataFrame:
+    """Implausible predictions, one row per partition and issue."""
+    rule = config["PREDICTION_SANITY_CHECKS"]
+    checks = Q.sanity_checks(
+        published, extreme=rule["EXTREME_APE_THRESHOLD"], min_unique=rule["FLAT_MIN_UNIQUE_VALUES"],
+        min_direction=rule["MIN_DIRECTIONAL_CORRECTNESS"], max_distance=rule["MAX_VALIDATION_DISTANCE"],
+    )
+    return Q.sanity_report(checks)
+
+
+def monitor(predictions: DataFrame, actuals: DataFrame, champions: DataFrame, models: DataFrame, now: Column, data_version: str, config: dict = DEFAULTS) -> DataFrame:
     """All monitoring records of a refresh."""
-    backtest = MO.backtest_against_estimates(predictions, actuals, champions)
-    return MO.monitoring_records(backtest, MO.model_staleness(models, now), data_version)
+    rule = config["MONITORING"]
+    days = rule["STALENESS"]["MAX_MODEL_AGE_DAYS"]
+    backtest = MO.backtest_against_estimates(predictions, actuals, champions, rule["BACKTEST_ACTUALS"]["MAPE_RATIO_ALERT_THRESHOLD"])
+    return MO.monitoring_records(backtest, MO.model_staleness(models, now, days), data_version, days)
 
 
 def diagnose(panel: DataFrame) -> DataFrame:
@@ -124,5 +155,5 @@ def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequen
 
 
 __all__ = [
-    "capped", "diagnose", "evaluate", "gate", "legacy_forecast", "load_panel", "monitor", "run_inference", "train", "training_record",
+    "capped", "check_predictions", "diagnose", "evaluate", "failed_champions", "gate", "implausible_champions", "legacy_forecast", "load_panel", "monitor", "run_inference", "train", "training_record",
 ]

@@ -119,3 +119,34 @@ def test_rollup_state_is_bounded_and_an_empty_stream_gives_an_empty_table(spark,
     jobs.run_available(jobs.quarter_rollup(frame, customers), str(tmp_path / "out"), str(tmp_path / "c1"))
     rows = jobs.read_updates(spark, str(tmp_path / "out"), ["MARKET_SEGMENT", "qi"]).collect()
     assert sum(r["n_orders"] for r in rows) <= 120
+
+
+def test_a_threshold_of_the_file_changes_the_result(spark, sf_dir, tmp_path):
+    from panelcast.config import load_config
+
+    path = tmp_path / "c.yaml"
+    path.write_text(
+        "QUALITY_GATES:\n  MAX_CHAMPION_MAPE: 12\nMONITORING:\n  STALENESS:\n    MAX_MODEL_AGE_DAYS: 3\nDATA_QUALITY:\n  MIN_TRAIN_PERIODS: 14\n"
+        "PREDICTION_SANITY_CHECKS:\n  EXTREME_APE_THRESHOLD: 5\nEVALUATION:\n  BACKTEST:\n    stability_penalty: 5.0\n"
+    )
+    strict = load_config(str(path))
+    forecasts, panel_rows = S.forecasts(spark, sf_dir), S.clean(spark, sf_dir)
+    best = L.evaluate(forecasts)[1]
+    other = L.evaluate(forecasts, config=strict)[1]
+    assert best.agg(F.sum("selection_score")).first()[0] < other.agg(F.sum("selection_score")).first()[0]
+    assert L.implausible_champions(best).filter("gate_reason = 'above_max'").count() < L.implausible_champions(best, strict).filter("gate_reason = 'above_max'").count()
+    assert L.gate(panel_rows)[1].count() < L.gate(panel_rows, strict)[1].count()
+    now = F.lit(S.NOW).cast("timestamp_ntz")
+    published = L.run_inference(forecasts, best, now, "t", "V_3")
+    assert L.check_predictions(published).count() < L.check_predictions(published, strict).count()
+    args = (S.predictions_all(spark, sf_dir), S.panel(spark, sf_dir), best, S.model_results(spark, sf_dir), now, "V_3")
+    stale = [L.monitor(*args, config=c).filter("check_type = 'model_staleness' and is_alert").count() for c in (load_config(), strict)]
+    assert stale[0] < stale[1]
+    assert {"INDICATOR_MOF_REFERENCED", "DIRECTIONAL_CORRECTNESS_SR_REFERENCED"} <= set(published.columns)
+
+
+def test_champions_without_a_prediction_are_findings(spark):
+    schema = "PARTITION_COLUMN string, MODEL_USED string, k int, BILLING_PREDICTED double"
+    forecasts = spark.createDataFrame([("a", "RIDGE", 1, None), ("b", "RIDGE", 1, 2.0), ("c", "RIDGE", 0, 2.0)], schema)
+    best = spark.createDataFrame([("a", "RIDGE"), ("b", "RIDGE"), ("c", "RIDGE")], "PARTITION_COLUMN string, MODEL_USED string")
+    assert sorted(r["partition"] for r in L.failed_champions(forecasts, best).collect()) == ["a", "c"]
