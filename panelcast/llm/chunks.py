@@ -25,6 +25,8 @@ from panelcast.llm.shared import SPACES, U64, code_points_before, documents, joi
 
 REACH = 16
 WINDOW_BYTES = 32
+#: longer chunks are looked through for minima that tie
+LONG = 4 * REACH
 GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
 _LAST = U64((1 << 64) - 1)
 
@@ -50,13 +52,30 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         least = np.minimum(least[:-reach], least[reach:])
         reach *= 2
     here = h[place]
-    end = np.flatnonzero((here < least[place - REACH]) & (here <= least[np.minimum(place + 1, len(least) - 1)])) + 1
+    before, behind = least[place - REACH], least[np.minimum(place + 1, len(least) - 1)]
+    end = np.flatnonzero((here < before) & (here <= behind)) + 1
+    end = np.unique(np.concatenate([end, _cuts_of_repeats(np.flatnonzero((here == before) & (here <= behind)) + 1, end, offsets)]))
     for _ in range(3):  # not within a character
         inside = (end < n) & ((data[np.minimum(end, n - 1)] & 0xC0) == 0x80)
         end = end + inside
     return np.unique(np.concatenate([end, offsets[1:][np.diff(offsets) > 0]]))
 
 
+def _cuts_of_repeats(ties: np.ndarray, end: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Text that repeats itself has equal minima and no smallest one: there, every minimum far enough from the cut before it is a cut,
+    so such text falls into equal chunks however long it is."""
+    known = np.unique(np.concatenate([end, offsets]))
+    at = np.searchsorted(known, ties, side="right") - 1
+    gap = known[np.minimum(at + 1, len(known) - 1)] - known[at]
+    out, last = [], -1
+    for t, left in zip(ties[gap > LONG].tolist(), known[at][gap > LONG].tolist()):
+        last = max(last, left)
+        if t - last > 2 * REACH:
+            out.append(t)
+            last = t
+    return np.array(out, np.int64)
+
+
 def chunk_rows(docs: DataFrame) -> DataFrame:
     """One row per chunk: uid (the row), doc_id, number, start, end (code points), words that begin in it, digest, and whether the row had it before."""
 
@@ -105,22 +124,31 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int = 15) -> DataFrame:
     """One row per repeated passage: uid, doc_id, start, end, n_words, n_chunks, and the ids of the documents that had its chunks first.
 
-    ``docs`` is read from files: rows are known by their place in the scan.
+    A document is named if it had ``least_words`` words of the passage first. A run put together from shorter pieces of several documents, say of a line that
+    many have, is a passage only if it is three times as long; it names them all. A document that repeats itself names only itself and is not ``across``. ``docs`` is read from files: rows
+    are known by their place in the scan.
     """
     chunks = chunk_rows(docs)
     held = chunks.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last"), F.min_by("doc_id", "uid").alias("first_id"))
     copied = chunks.join(held.filter("last > first").drop("last"), "digest", "left").filter("again or first < uid")
     copied = copied.withColumn("first_id", F.when(F.col("first") < F.col("uid"), F.col("first_id")).otherwise(F.col("doc_id")))
     order = Window.partitionBy("uid").orderBy("number")
-    runs = copied.withColumn("run", F.col("number") - F.row_number().over(order)).groupBy("uid", "doc_id", "run")
-    found = runs.agg(
+    runs = copied.withColumn("run", F.col("number") - F.row_number().over(order)).groupBy("uid", "doc_id", "run", "first_id")
+    pieces = runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count("*").alias("chunks"))
+    # null ids are named too
+    named = lambda rows: F.array_sort(F.transform(rows, lambda x: x["id"]))
+    found = pieces.groupBy("uid", "doc_id", "run").agg(
         F.min("start").cast("long").alias("start"),
         F.max("end").cast("long").alias("end"),
         F.sum("words").alias("n_words"),
-        F.count("*").alias("n_chunks"),
-        F.array_sort(F.collect_set("first_id")).alias("first_doc_ids"),
+        F.sum("chunks").alias("n_chunks"),
+        F.collect_list(F.struct(F.col("first_id").alias("id"), "words")).alias("holders"),
     )
-    return found.filter(F.col("n_words") >= least_words).drop("run")
+    main = F.filter("holders", lambda x: x["words"] >= least_words)
+    found = found.filter((F.size(main) > 0) | (F.col("n_words") >= 3 * least_words))
+    return found.withColumn("first_doc_ids", F.when(F.size(main) > 0, named(main)).otherwise(named(F.col("holders")))).withColumn(
+        "across", F.size(F.filter("first_doc_ids", lambda i: ~i.eqNullSafe(F.col("doc_id")))) > 0
+    ).drop("run", "holders")
 
 
 def without(docs: DataFrame, passages: DataFrame) -> DataFrame:

@@ -116,6 +116,16 @@ def test_cuts_resist_shifts():
     assert {e for e in cut(body) if 64 < e < 3900} == {e for e in shifted if 64 < e < 3900}
 
 
+def test_repeating_text_falls_into_equal_chunks(spark, tmp_path):
+    rng = random.Random(9)
+    other = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    rows = [(1, other() + "\n" + "Der " * 200), (2, "Der " * 77 + other()), (3, other()), (4, "ç le " * 90), (5, other() + " ç le" * 60)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = chunks.repeated_passages(spark, spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()
+    across = {r.doc_id for r in found if r.across} | {i for r in found if r.across for i in r.first_doc_ids}
+    assert across == {1, 2, 4, 5}
+
+
 def test_awkward_rows_of_chunks(spark, edge_dir, edge):
     got = queries.QUERIES["op1_chunks"](spark, edge_dir).collect()
     texts = defaultdict(list)
