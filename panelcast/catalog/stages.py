@@ -64,8 +64,7 @@ def split_panel(spark: SparkSession, d: str) -> DataFrame:
 
 def forecast_rows(rows: DataFrame) -> DataFrame:
     """Three closed-form forecasts and a fitted one per row; ``BILLING`` is what was really observed."""
-    every = M.naive_forecasts(rows, SERIES)
-    every = every.unionByName(M.ridge_forecasts(rows, SERIES, REGRESSOR_COLUMNS).select(*every.columns))
+    every = M.naive_forecasts(M.ridge_forecasts(rows, SERIES, REGRESSOR_COLUMNS), SERIES, rivals=["RIDGE"])
     return C.standard_renames(every.drop("BB").withColumnRenamed("BB_RAW", "BB"))
 
 

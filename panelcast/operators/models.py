@@ -28,14 +28,15 @@ NAIVE_MODELS = ["MEAN4", "SEASONAL_NAIVE", "TREND"]
 
 def naive_forecasts(
     df: DataFrame, keys: Sequence[str], target: str = "BB", quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER",
-    season: int = 4, order_by: str = "QUARTER_PARSED",
+    season: int = 4, order_by: str = "QUARTER_PARSED", rivals: Sequence[str] = (),
 ) -> DataFrame:
     """Three forecasts for every quarter of a series, trained on quarters up to the origin.
 
     MEAN4 repeats the mean of the last four training quarters, SEASONAL_NAIVE the same quarter of the
     last known year, TREND a straight line. Inside the training range MEAN4 and SEASONAL_NAIVE are
     one-step forecasts and TREND is the fitted line. Sums are over whole cents, thus exact. Expects one row
-    per calendar quarter. All windows share the series key: one shuffle, one sort.
+    per calendar quarter. All windows share the series key: one shuffle, one sort. ``rivals`` names columns with forecasts of other models; they
+    become rows of the model with the column's name.
     """
     series = W.partitionBy(*keys)
     order = series.orderBy(order_by)
@@ -69,8 +70,9 @@ def naive_forecasts(
         "TREND": (level + slope * F.col("_t").cast("double")) / 100.0,
     }
     df = df.withColumns({f"_f_{m}": clip_negative(c) for m, c in forecasts.items()})
-    options = F.array(*[F.struct(F.lit(m).alias("m"), F.col(f"_f_{m}").alias("p")) for m in NAIVE_MODELS])
-    helpers = ["_qi", "_oi", "_t", "_m4", "_n", "_sx", "_sxx", "_sy", "_sxy", "_o", *[f"_f_{m}" for m in NAIVE_MODELS]]
+    predicted = {m: f"_f_{m}" for m in NAIVE_MODELS} | {m: m for m in rivals}
+    options = F.array(*[F.struct(F.lit(m).alias("m"), F.col(c).alias("p")) for m, c in predicted.items()])
+    helpers = ["_qi", "_oi", "_t", "_m4", "_n", "_sx", "_sxx", "_sy", "_sxy", "_o", *predicted.values()]
     return (
         df.withColumn("_o", F.explode(options))
         .withColumns({"MODEL_USED": F.col("_o.m"), "BILLING_PREDICTED": F.col("_o.p")})
@@ -209,11 +211,10 @@ def ridge_to_origin(
     return fits.join(stats.select(*keys, "means"), list(keys))
 
 
-def ridge_forecasts(df: DataFrame, keys: Sequence[str], xs: Sequence[str], quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER") -> DataFrame:
-    """The fitted rival of ``naive_forecasts``, in whole cents; series whose fit failed keep their rows without a prediction."""
-    rows = df.withColumn("k", quarter_index(quarter) - quarter_index(origin))
-    scored = score_models(rows, ridge_to_origin(df, keys, xs, quarter=quarter, origin=origin), keys, xs)
-    return scored.withColumns({"MODEL_USED": F.lit("RIDGE"), "BILLING_PREDICTED": F.round("BILLING_PREDICTED", 2)})
+def ridge_forecasts(df: DataFrame, keys: Sequence[str], xs: Sequence[str], quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER", name: str = "RIDGE") -> DataFrame:
+    """A column with the forecasts of a fit up to the origin, in whole cents; series whose fit failed keep their rows without one."""
+    scored = score_models(df, ridge_to_origin(df, keys, xs, quarter=quarter, origin=origin), keys, xs)
+    return scored.withColumn(name, F.round("BILLING_PREDICTED", 2)).drop("BILLING_PREDICTED")
 
 
 def coefficient_rows(fits: DataFrame, keys: Sequence[str], xs: Sequence[str]) -> DataFrame:

@@ -192,7 +192,7 @@ def test_fitted_rival_learns_up_to_the_origin_only(spark):
         beta = np.linalg.solve(z.T @ z / len(z) + 0.1 * np.eye(2), z.T @ (y - y.mean()) / len(z)) / x.std(0)
         assert np.allclose(fits[f"p{p}"]["coefficients"], beta, rtol=1e-9)
     out = M.ridge_forecasts(df, ["PARTITION_COLUMN"], ["a", "b"])
-    assert out.count() == len(rows) and out.filter("PARTITION_COLUMN = 'short' and BILLING_PREDICTED is not null").count() == 0
-    assert out.filter("PARTITION_COLUMN <> 'short' and BILLING_PREDICTED is null").count() == 0
+    assert out.count() == len(rows) and out.filter("PARTITION_COLUMN = 'short' and RIDGE is not null").count() == 0
+    assert out.filter("PARTITION_COLUMN <> 'short' and RIDGE is null").count() == 0
     long = M.coefficient_rows(M.ridge_to_origin(df, ["PARTITION_COLUMN"], ["a", "b"]), ["PARTITION_COLUMN"], ["a", "b"])
     assert long.count() == 6 and long.filter("regressor = 'a' and abs(x_mean) > 2").count() == 0
