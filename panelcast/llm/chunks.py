@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.shared import SPACES, U64, code_points_before, documents, joined_rows, mixed, slices, utf8
+from panelcast.llm.shared import SPACES, U64, code_points_before, documents, joined_rows, mixed, numbered, slices, utf8
 
 REACH = 16
 WINDOW_BYTES = 32
@@ -117,8 +117,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "number", "start", "end", "words", "digest", "again"])
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return numbered.mapInArrow(run, "uid long, doc_id long, number int, start int, end int, words int, digest long, again boolean")
+    known = numbered(docs.select("doc_id", "text"), "__uid").select(F.col("__uid").alias("uid"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return known.mapInArrow(run, "uid long, doc_id long, number int, start int, end int, words int, digest long, again boolean")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int = 15) -> DataFrame:
@@ -126,7 +126,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int
 
     A document is named if it had ``least_words`` words of the passage first. A run put together from shorter pieces of several documents, say of a line that
     many have, is a passage only if it is three times as long; it names them all. A document that repeats itself names only itself and is not ``across``. ``docs`` is read from files: rows
-    are known by their place in the scan.
+    are known by their place in the files.
     """
     chunks = chunk_rows(docs)
     held = chunks.groupBy("digest").agg(F.min("uid").alias("first"), F.max("uid").alias("last"), F.min_by("doc_id", "uid").alias("first_id"))
@@ -154,7 +154,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int
 def without(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` without their repeated passages; read from the same files as for ``repeated_passages``."""
     spans = passages.groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    joined = docs.withColumn("uid", F.monotonically_increasing_id()).join(spans, "uid", "left")
+    joined = numbered(docs, "__uid").join(spans.withColumnRenamed("uid", "__uid"), "__uid", "left")
     count = F.size("__spans")
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda x: x["end"]))
     ends = F.concat(F.transform("__spans", lambda x: x["start"]), F.array(F.length("text").cast("long")))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, runs, slices, span_hashes, utf8
+from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, numbered, runs, slices, span_hashes, utf8
 
 WINDOW = 13
 SAMPLE_RATE = 8
@@ -236,20 +236,21 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     if blocks == 1:
         found = find_windows(spark, docs, [tuple(r) for r in items.collect()], prefix=prefix, window=window)
     else:
-        # a document's hits of all blocks meet under the row's number in the scan, which is the same in every scan of the same files
-        names, number = docs.columns, "__row"
-        numbered = docs.select(F.monotonically_increasing_id().alias(number), F.col("text").alias("text"))
+        # a document's hits of all blocks meet under the row's place in the files, which is the same in every scan
+        names, number = docs.columns, "__uid"
+        known = numbered(docs, number)
+        slim = known.select(number, "text")
         parts = []
         for k in range(blocks):
             own = [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()]
-            parts.append(find_windows(spark, numbered, own, window=window).select(number, "n_words", "items", "spans"))
+            parts.append(find_windows(spark, slim, own, window=window).select(number, "n_words", "items", "spans"))
         union = parts[0]
         for p in parts[1:]:
             union = union.unionByName(p)
         merged = union.groupBy(number).agg(
             F.max("n_words").alias(prefix + "n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(prefix + "items"), F.flatten(F.collect_list("spans")).alias("__all")
         )
-        whole = docs.withColumn(number, F.monotonically_increasing_id()).join(merged, number).drop(number)
+        whole = known.join(merged, number).drop(number)
         found = _counted(whole, prefix).select(*names, *(prefix + c for c in ("n_words", "n_hit", "items", "spans")))
     n_hit, n_words = F.col(prefix + "n_hit"), F.col(prefix + "n_words")
     return found.withColumn(prefix + "contaminated", (n_hit > 0) & (20 * n_hit >= n_words))

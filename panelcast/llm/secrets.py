@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.shared import documents
+from panelcast.llm.shared import documents, numbered
 from panelcast.llm.spans import listed, placed, scanned, sql_matches
 
 _KEYWORDS = "password|passwd|secret|token|api_?key"
@@ -56,9 +56,9 @@ def ownership(found: DataFrame, owner: str, repository: list[str]) -> DataFrame:
 def secret_spans(spark: SparkSession, docs: DataFrame, *, owner: str = "source", repository: tuple[str, ...] = ("lang",), shared_owners: int = 3) -> tuple[DataFrame, DataFrame]:
     """Scanned rows, and their spans: __uid, kind (place in ``KINDS``), start, end, value, n_owners, n_repositories, shared, live.
 
-    A repository is an owner with the repository columns.
+    A repository is an owner with the repository columns. Rows of ``docs`` that have a ``__uid`` keep it.
     """
-    slim = docs.select(*dict.fromkeys(["doc_id", owner, *repository, "text"]))
+    slim = docs.select(*dict.fromkeys(["doc_id", owner, *repository, "text", *(c for c in docs.columns if c == "__uid")]))
     rows = scanned(spark, slim, PATTERNS)
     found = candidates(rows, [owner, *repository])
     counts = ownership(found, owner, list(repository)).select("value", "n_owners", "n_repositories")
@@ -91,10 +91,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redacted(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with every span replaced by a mark, one for copied examples and one for all others; ``n_chars`` follows where there is such a column.
 
-    Matching again by value would miss positions, so the texts are joined with their spans by the number of the row in the scan. Overlapping spans are merged.
+    Matching again by value would miss positions, so the texts are joined with their spans by the place of the row in the files that ``docs`` is read from. Overlapping spans are merged.
     """
-    numbered = docs.withColumn("__uid", F.monotonically_increasing_id())
-    _, spans = secret_spans(spark, docs, **settings)
+    known = numbered(docs, "__uid")
+    _, spans = secret_spans(spark, known, **settings)
     # merge overlapping spans: a new group starts where no earlier span reaches
     order = Window.partitionBy("__uid").orderBy("start", "kind")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -107,7 +107,7 @@ def redacted(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
     cut = lambda a, n: F.substring(F.col("text"), (a + 1).cast("int"), n.cast("int"))
     body = F.transform("__pieces", lambda x: F.concat(cut(x["from"], x["start"] - x["from"]), mark(x)))
     tail = F.substring(F.col("text"), (F.element_at("__pieces", -1)["end"] + 1).cast("int"), F.length("text"))
-    joined = numbered.join(pieces, "__uid", "left")
+    joined = known.join(pieces, "__uid", "left")
     clean = joined.withColumn("text", F.when(F.col("__pieces").isNull(), F.col("text")).otherwise(F.concat(F.array_join(body, ""), tail)))
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.when(F.col("__pieces").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelcast.session import scratch_dir
@@ -31,6 +31,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, read from files, with a number for each row: the place of its file in path order, then its own place in the file.
+
+    Unlike ``monotonically_increasing_id`` it is the same in every scan of the same files, however they are cut and packed into partitions. A frame
+    that is no plain read of files raises an error. One row per file is broadcast.
+    """
+    paths = docs.select(F.col("_metadata.file_path").alias("__file")).distinct()
+    places = paths.select("__file", F.row_number().over(Window.orderBy("__file")).cast("long").alias("__place"))
+    rows = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return rows.join(F.broadcast(places), "__file").select(*docs.columns, (F.shiftleft("__place", 40) + F.col("__row")).alias(name))
+
+
 def range_bounds(df: DataFrame, key, parts: int) -> list[int]:
     """First keys of at most ``parts`` ranges of about as many rows each, all of them values of the column; the first is its minimum.
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.components import components
-from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, runs, slices, stored, utf8
+from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, numbered, runs, slices, stored, utf8
 
 WORDS = 4
 BITS = 4
@@ -205,14 +205,14 @@ def near_duplicates(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of each component: the smallest ``doc_id`` (null before all), the first in the files among equal ids.
 
-    ``docs`` is read from files: rows are numbered by their place in the scan, fingerprints and numbers are stored, and only the second
+    ``docs`` is read from files: rows are numbered by their place in the files, fingerprints and numbers are stored, and only the second
     scan carries texts.
     """
-    number = F.monotonically_increasing_id().alias("__uid")
-    rows = stored(spark, with_fingerprints(docs.select("doc_id", "text", number)).drop("text"), "simhash")
+    known = numbered(docs, "__uid")
+    rows = stored(spark, with_fingerprints(known.select("doc_id", "text", "__uid")).drop("text"), "simhash")
     classes = near_duplicates(spark, rows).select("fp", "root")
     kept = rows.join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "__uid")).alias("first")).select(F.col("first.__uid").alias("__uid"))
-    return docs.select("*", number).join(stored(spark, kept, "kept"), "__uid", "left_semi").select(*docs.columns)
+    return known.join(stored(spark, kept, "kept"), "__uid", "left_semi").select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

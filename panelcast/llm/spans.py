@@ -17,10 +17,11 @@ def scanned(spark: SparkSession, docs: DataFrame, patterns: dict[str, str], *, t
     """All columns of ``docs`` but the text, a number for each row, and ``found``: per kind (by place) its matches with the gap before each.
 
     With ``context``, a match also has that many characters before and behind it (from the gaps between matches of its kind). The step is stored: texts
-    are scanned once, and what follows works on matches. ``docs`` is read from files: the number is the place of a row in the scan.
+    are scanned once, and what follows works on matches. The number holds for the stored step only, unless ``docs`` brings a column of that name.
     """
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.withColumn(number, F.monotonically_increasing_id()).withColumn("__text", body)
+    known = docs if number in docs.columns else docs.withColumn(number, F.monotonically_increasing_id())
+    rows = known.withColumn("__text", body)
     rows = rows.withColumns({f"__m{k}": F.regexp_extract_all("__text", F.lit(p), F.lit(0)) for k, p in enumerate(patterns.values())})
     parts = []
     for k, p in enumerate(patterns.values()):
@@ -30,7 +31,7 @@ def scanned(spark: SparkSession, docs: DataFrame, patterns: dict[str, str], *, t
         zipped = F.arrays_zip(*(F.slice(a, 1, F.size(f"__m{k}")).alias(c) for a, c in zip(around, "gba")), F.col(f"__m{k}").alias("m"))
         pairs = F.transform(zipped, lambda x: F.struct(F.lit(k).alias("kind"), x["g"].alias("gap"), x["m"].alias("match"), x["b"].alias("before"), x["a"].alias("after")))
         parts.append(F.when(some, pairs).otherwise(F.array().cast("array<struct<kind: int, gap: int, match: string, before: string, after: string>>")))
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, number)]
     return stored(spark, rows.select(*kept, number, F.concat(*parts).alias("found")), "spans")
 
 

@@ -651,6 +651,46 @@ def test_pipeline_on_awkward_and_empty_tables(spark, edge_dir, empty_dir, edge):
     assert corpus_pipeline.run(spark, empty_dir).collect() == []
 
 
+def test_rows_keep_their_numbers_when_files_are_cut_anew(spark, tmp_path, monkeypatch):
+    """Between the scans of a step the files are packed into other partitions, as when executors come and go."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    passage = prose(60)
+    texts = [prose(60) + (f' password = "abcDEF{i}23456789"' if i % 3 else "") + (f" {passage} {prose(20)}" if i % 4 == 0 else "") for i in range(40)]
+    rows = [(i, t, "en", f"s{i}") for i, t in enumerate([*texts, *texts[:20]])]
+    for k, part in enumerate((rows[:10], rows[10:15], rows[15:40], rows[40:])):
+        spark.createDataFrame(part, "doc_id long, text string, lang string, source string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+
+    def packed_into(parts):
+        spark.conf.set("spark.sql.files.minPartitionNum", parts)
+
+    def then_cut_anew(f):
+        def g(*a, **b):
+            out = f(*a, **b)
+            packed_into(64)
+            return out
+
+        return g
+
+    monkeypatch.setattr(simhash, "stored", then_cut_anew(simhash.stored))
+    monkeypatch.setattr(spans, "stored", then_cut_anew(spans.stored))
+    try:
+        packed_into(1)
+        assert docs.rdd.getNumPartitions() == 1
+        assert sorted(r.doc_id for r in simhash.deduplicated(spark, docs).collect()) == list(range(40))
+        packed_into(1)
+        clean = {r.doc_id: r.text for r in secrets.redacted(spark, docs).collect()}
+        assert clean == {r[0]: re.sub('password = "abcDEF[0-9]+', "[SECRET]", r[1]) for r in rows}
+        packed_into(1)
+        expected = {r.doc_id: r.text for r in chunks.without(docs, chunks.repeated_passages(spark, docs)).collect()}
+        passages = simhash.stored(spark, chunks.repeated_passages(spark, docs), "passages")
+        assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() > 1
+        assert {r.doc_id: r.text for r in chunks.without(docs, passages).collect()} == expected
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_positions_of_matches(spark, tmp_path):
     texts = ["", "ab", "xxabyabab", "éab😀ab", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/t")
