@@ -40,9 +40,7 @@ def _rollup(spark: SparkSession, d: str) -> DataFrame:
     schema = tables.read_table(spark, d, "orders").schema
     orders = jobs.stream_files(spark, d, schema, "orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
     folder = scratch_dir(spark, "rollup")
-    rollup = jobs.quarter_rollup(orders, tables.read_table(spark, d, "customer"))
-    jobs.run_available(rollup, f"{folder}/out", f"{folder}/checkpoint")
-    rows = jobs.read_updates(spark, f"{folder}/out", ["MARKET_SEGMENT", "qi"])
+    rows = jobs.rollup_available(orders, tables.read_table(spark, d, "customer"), f"{folder}/out", f"{folder}/checkpoint")
     return rows.select(
         "MARKET_SEGMENT", quarter_label(F.col("qi").cast("int")).alias("QUARTER"), (F.col("cents").cast("double") / 100).alias("BB"), "n_orders"
     )

@@ -72,16 +72,44 @@ def quarter_rollup(orders: DataFrame, customers: DataFrame, delay: str = "120 da
     """Target per segment and quarter from single orders, each order counted once.
 
     The state holds the keys of orders within ``delay`` of the newest one. Older orders that arrive in a later batch are not in
-    the stream's result; ``merge_late`` adds them.
+    the stream's result: where orders may come late, run ``rollup_available``, which has no limit.
     """
     return _rolled_up(orders.withWatermark("o_orderdate", delay).dropDuplicatesWithinWatermark(["o_orderkey"]), customers)
 
 
+def rollup_available(orders: DataFrame, customers: DataFrame, sink: str, checkpoint: str) -> DataFrame:
+    """Roll up all orders that have arrived, each key once, whatever their dates and however they fall into batches and runs; the result so far.
+
+    Each batch stores its new keys and what they add to the rollup, in folders of its own. New are the keys that no batch before has stored, so a
+    retried batch writes the same again. There is no state in memory; the stored keys grow with the orders.
+    """
+    spark = orders.sparkSession
+    nothing = spark.createDataFrame([], orders.schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        once = dedupe_first(batch, ["o_orderkey"], ["o_orderdate"])
+        if batch_id >= 0:
+            stored = spark.read.option("basePath", f"{sink}/keys").parquet(f"{sink}/keys")
+            before = stored.filter(F.col("batch_id") < batch_id).select(F.col("o_orderkey").alias("_known"))
+            once = once.join(before, F.col("o_orderkey").eqNullSafe(F.col("_known")), "left_anti")
+        once.select("o_orderkey").write.mode("overwrite").parquet(f"{sink}/keys/batch_id={batch_id}")
+        _rolled_up(once, customers).write.mode("overwrite").parquet(f"{sink}/added/batch_id={batch_id}")
+
+    write(nothing, -1)
+    query = orders.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return _summed(spark.read.option("basePath", f"{sink}/added").parquet(f"{sink}/added"))
+
+
 def merge_late(rollup: DataFrame, late: DataFrame, counted: DataFrame, customers: DataFrame) -> DataFrame:
     """A stored rollup with late orders added, in batch: those whose key is not among the ``counted`` orders, each once."""
     new = dedupe_first(late, ["o_orderkey"], ["o_orderdate"]).join(counted.select("o_orderkey").distinct(), "o_orderkey", "left_anti")
     both = rollup.unionByName(_rolled_up(new, customers).select(*rollup.columns))
-    return both.groupBy("MARKET_SEGMENT", "qi").agg(F.sum("cents").alias("cents"), F.sum("n_orders").alias("n_orders"))
+    return _summed(both)
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("MARKET_SEGMENT", "qi").agg(F.sum("cents").alias("cents"), F.sum("n_orders").alias("n_orders"))
 
 
 def _rolled_up(once: DataFrame, customers: DataFrame) -> DataFrame:

@@ -121,6 +121,27 @@ def test_rollup_state_is_bounded_and_an_empty_stream_gives_an_empty_table(spark,
     assert sum(r["n_orders"] for r in rows) <= 120
 
 
+def test_rollup_over_batches_and_runs_loses_no_late_order(spark, tmp_path):
+    schema = "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp"
+    customers = spark.createDataFrame([(1, "A")], "c_custkey long, c_mktsegment string")
+    src, out, checkpoint = (str(tmp_path / n) for n in ("src", "out", "checkpoint"))
+
+    def arrive(*years):
+        for year in years:
+            rows = [(year * 100 + i, 1, 1.25, dt.datetime(year, 1 + i, 1)) for i in range(12)] + [(7, 1, 1.25, dt.datetime(2000, 1, 1)), (None, 1, 1.25, dt.datetime(2000, 1, 1))]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        frame = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+        return {r["qi"]: (int(r["cents"]), r["n_orders"]) for r in jobs.rollup_available(frame, customers, out, checkpoint).collect()}
+
+    def whole(*years):
+        # the orders with key 7 and without a key come in every file and count once
+        return {4 * y + q: (375, 3) if (y, q) != (2000, 0) else (625, 5) for y in years for q in range(4)}
+
+    assert arrive(2004, 2000, 1997) == whole(2004, 2000, 1997)
+    assert arrive(1995, 2003) == whole(2004, 2000, 1997, 1995, 2003)
+    assert arrive() == whole(2004, 2000, 1997, 1995, 2003)
+
+
 def test_a_threshold_of_the_file_changes_the_result(spark, sf_dir, tmp_path):
     from panelcast.config import load_config
 
