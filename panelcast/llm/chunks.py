@@ -124,8 +124,8 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int = 15) -> DataFrame:
     """One row per repeated passage: uid, doc_id, start, end, n_words, n_chunks, and the ids of the documents that had its chunks first.
 
-    A document is named if it had ``least_words`` words of the passage first. A run put together from shorter pieces of several documents, say of a line that
-    many have, is a passage only if it is three times as long; it names them all. A document that repeats itself names only itself and is not ``across``. ``docs`` is read from files: rows
+    The run's own length decides, whoever had its chunks first: the halves of a passage may each stand in another document before. A document is named if it
+    had ``least_words`` words of the passage first; if none had so many, all that had chunks of it are. A document that repeats itself names only itself and is not ``across``. ``docs`` is read from files: rows
     are known by their place in the files.
     """
     chunks = chunk_rows(docs)
@@ -145,7 +145,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, *, least_words: int
         F.collect_list(F.struct(F.col("first_id").alias("id"), "words")).alias("holders"),
     )
     main = F.filter("holders", lambda x: x["words"] >= least_words)
-    found = found.filter((F.size(main) > 0) | (F.col("n_words") >= 3 * least_words))
+    found = found.filter(F.col("n_words") >= least_words)
     return found.withColumn("first_doc_ids", F.when(F.size(main) > 0, named(main)).otherwise(named(F.col("holders")))).withColumn(
         "across", F.size(F.filter("first_doc_ids", lambda i: ~i.eqNullSafe(F.col("doc_id")))) > 0
     ).drop("run", "holders")

@@ -126,6 +126,20 @@ def test_repeating_text_falls_into_equal_chunks(spark, tmp_path):
     assert across == {1, 2, 4, 5}
 
 
+@pytest.mark.parametrize("letters", [(2, 5), (3, 7)])
+def test_passages_whose_halves_stand_in_other_documents(spark, tmp_path, letters):
+    rng = random.Random(5)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(*letters))) for _ in range(n))
+    docs = []
+    for k in range(40):
+        one, two = text(26), text(26)
+        docs += [(10 * k + j, f"{text(30)} {t} {text(30)}") for j, t in enumerate((one, two, f"{one} {two}", f"{one} {two}"))]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = chunks.repeated_passages(spark, spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()
+    assert {r.doc_id for r in found} >= {10 * k + 3 for k in range(40)}
+    assert all(i // 10 == r.doc_id // 10 for r in found for i in r.first_doc_ids)
+
+
 def test_awkward_rows_of_chunks(spark, edge_dir, edge):
     got = queries.QUERIES["op1_chunks"](spark, edge_dir).collect()
     texts = defaultdict(list)
