@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from panelcast.llm.chunks import op1_chunks
+from panelcast.llm.countjoin import OP11_SQL, op11_count_rtree
 from panelcast.llm.fmindex import OP9_SQL, op9_decontamination
 from panelcast.llm.licenses import op5_licenses
 from panelcast.llm.packing import op10_packing
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_packing": op10_packing,
+    "op11_count_rtree": op11_count_rtree,
 }
 ORACLES: dict[str, str] = {
     "op2_secrets": OP2_SQL,
     "op9_decontamination": OP9_SQL,
+    "op11_count_rtree": OP11_SQL,
 }

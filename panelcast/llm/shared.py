@@ -150,3 +150,23 @@ def joined_rows(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... within each of several groups laid end to end."""
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of whole groups from batches sorted by their first ``keys`` columns of whole numbers; a group in several batches comes in one piece."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)])
+        last = np.array([held[-1].column(k)[-1].as_py() for k in range(keys)]) if held else table[:, 0]
+        if (table == last[:, None]).all():
+            held.append(batch)
+            continue
+        begins = np.flatnonzero((table[:, 1:] != table[:, :-1]).any(0)) + 1
+        at = int(begins[-1]) if len(begins) else 0
+        if held or at:
+            yield pa.Table.from_batches([*held, batch.slice(0, at)]).combine_chunks()
+        held = [batch.slice(at)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
