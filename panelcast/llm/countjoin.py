@@ -1,7 +1,7 @@
 """Operator 11: n-gram Jaccard join by an R-tree over count vectors.
 
 A document's set holds its distinct shingles of ``size`` words, each as a 64-bit hash. Equal sets collapse to one class (named by a 64-bit hash of the set).
-Shingles fall into ``GROUPS`` groups; the shingles of each group, counted, make a point. Two sets can share no more shingles than the sum
+Shingles fall into ``GROUPS`` groups, more for larger sets; the shingles of each group, counted, make a point. Two sets can share no more shingles than the sum
 of the smaller of both counts over all groups, so a pair, or a whole tree node by the largest counts below it, is out if that sum cannot reach the overlap that the
 similarity asks for.
 
@@ -34,7 +34,7 @@ from panelcast.llm.components import components
 from panelcast.llm.shared import U64, documents, joined_rows, mixed, slices, span_hashes, stored, utf8, whole_groups
 from panelcast.llm.simhash import shingles
 
-SIZE, PERCENT, GROUPS, FANOUT = 5, 80, 32, 16
+SIZE, PERCENT, GROUPS, FANOUT = 5, 80, 64, 16
 
 
 # ---- sets and points
@@ -57,18 +57,29 @@ def class_of(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mixed(total[at[1:]] - total[at[:-1]] + np.diff(at).astype(U64))
 
 
-def points(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Counts by group in a byte each, rounded up at a power of two that the last byte names."""
-    n = len(at) - 1
-    row = np.repeat(np.arange(n), np.diff(at))
-    group = (h >> U64(64 - GROUPS.bit_length() + 1)).astype(np.int64)
-    count = np.bincount(row * GROUPS + group, minlength=n * GROUPS).reshape(n, GROUPS)
-    shift = np.maximum(np.ceil(np.log2(np.maximum(count.max(1, initial=0), 1) / 255)), 0).astype(np.int64)
-    return np.column_stack([-(-count >> shift[:, None]), shift]).astype(np.uint8)
+def levels(n: np.ndarray) -> np.ndarray:
+    """Sets of up to 512 * 2**k shingles have level k and GROUPS * 2**k groups: less than 8 shingles a group keep unlike sets apart."""
+    return np.maximum(np.ceil(np.log2(np.maximum(n, 1) / 512)), 0).astype(np.int64)
 
 
-def unpacked(point: np.ndarray) -> np.ndarray:
-    return point[:, :GROUPS].astype(np.int32) << point[:, GROUPS:].astype(np.int32)
+def points(h: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The counts of each set by group, a byte each, rounded up at a power of two that the last byte names."""
+    out = []
+    level = levels(np.diff(at))
+    for k, a, b in zip(level.tolist(), at[:-1].tolist(), at[1:].tolist()):
+        groups = GROUPS << k
+        count = np.bincount((h[a:b] >> U64(65 - groups.bit_length())).astype(np.int64), minlength=groups)
+        shift = max(int(count.max()).bit_length() - 8, 0)
+        shift += bool(-(-int(count.max()) >> shift) > 255)
+        out.append((-(-count >> shift)).astype(np.uint8).tobytes() + bytes([shift]))
+    return out
+
+
+def unpacked(point: list[bytes], width: int) -> np.ndarray:
+    """Points of one level as counts, with neighbouring groups added up to ``width`` groups."""
+    packed = np.frombuffer(b"".join(point), np.uint8).reshape(len(point), -1)
+    count = packed[:, :-1].astype(np.int32) << packed[:, -1:].astype(np.int32)
+    return count.reshape(len(point), width, -1).sum(2, dtype=np.int32)
 
 
 def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
@@ -81,40 +92,41 @@ def may_link(a: np.ndarray, n_a, b: np.ndarray, n_b, percent: int) -> np.ndarray
 
 
 class Tree:
-    """A packed R-tree over the points of one list: upper corners and the least set size of each node, level by level."""
+    """A packed R-tree over points of one width: upper corners and the least set size of each node, level by level. Pairs of two guests are left to another tree."""
 
-    def __init__(self, point: np.ndarray, n: np.ndarray, percent: int) -> None:
+    def __init__(self, point: np.ndarray, n: np.ndarray, guest: np.ndarray, percent: int) -> None:
         slab = max(FANOUT, int(np.ceil(len(n) ** 0.5)))
         by_size = np.argsort(n, kind="stable")
         tile = np.empty(len(n), np.int64)
         tile[by_size] = np.arange(len(n)) // slab
         self.order = np.lexsort((point[:, 1], point[:, 0] >> 2, tile))
-        self.percent = percent
-        self.levels = [(point[self.order], n[self.order])]
-        while len(self.levels[-1][1]) > FANOUT:
-            corner, least = self.levels[-1]
+        self.percent, self.guest = percent, guest[self.order]
+        self.nodes = [(point[self.order], n[self.order])]
+        while len(self.nodes[-1][1]) > FANOUT:
+            corner, least = self.nodes[-1]
             cut = np.arange(0, len(least), FANOUT)
-            self.levels.append((np.maximum.reduceat(corner, cut), np.minimum.reduceat(least, cut)))
+            self.nodes.append((np.maximum.reduceat(corner, cut), np.minimum.reduceat(least, cut)))
 
-    def near(self, point: np.ndarray, n: int, alive: np.ndarray) -> np.ndarray:
+    def near(self, at: int, alive: np.ndarray) -> np.ndarray:
         """Places (in tree order) of living points that the bound cannot tell apart from a link."""
-        some = np.arange(len(self.levels[-1][1]))
-        for depth in range(len(self.levels) - 1, -1, -1):
-            corner, least = self.levels[depth]
+        point, n = self.nodes[0][0][at], int(self.nodes[0][1][at])
+        some = np.arange(len(self.nodes[-1][1]))
+        for depth in range(len(self.nodes) - 1, -1, -1):
+            corner, least = self.nodes[depth]
             if depth == 0:
-                some = some[alive[some]]
-            some = some[may_link(point, n, corner[some], least[some], self.percent) & (self.percent * least[some] <= 100 * n)]
+                some = some[alive[some] & ~(self.guest[some] & self.guest[at]) & (100 * least[some] >= self.percent * n)]
+            some = some[self.percent * least[some] <= 100 * n]
+            some = some[may_link(point, n, corner[some], least[some], self.percent)]
             if depth:
                 some = (some[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                some = some[some < len(self.levels[depth - 1][1])]
-        return some[100 * self.levels[0][1][some] >= self.percent * n]
+                some = some[some < len(self.nodes[depth - 1][1])]
+        return some
 
     def forest(self) -> Iterator[tuple[np.ndarray, int]]:
         """(reached members, member they were reached from) until everything is reached; members are places in the list."""
-        point, n = self.levels[0]
-        alive = np.ones(len(n), bool)
-        left = len(n)
-        for root in range(len(n)):
+        alive = np.ones(len(self.order), bool)
+        left = len(alive)
+        for root in range(len(alive)):
             if not alive[root]:
                 continue
             alive[root] = False
@@ -122,7 +134,7 @@ class Tree:
             front = [root]
             while front and left:
                 at = front.pop()
-                reached = self.near(point[at], int(n[at]), alive)
+                reached = self.near(at, alive)
                 if len(reached):
                     alive[reached] = False
                     left -= len(reached)
@@ -130,35 +142,60 @@ class Tree:
                     yield self.order[reached], int(self.order[at])
 
 
-def list_edges(key: np.ndarray, cls: np.ndarray, n: np.ndarray, point: np.ndarray, percent: int, leaf: int = FANOUT) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of the lists of a sorted batch. A list that fits in a leaf is compared pair by pair, all such lists at once."""
+class Points:
+    """The points of some classes, by level; those a little larger than a level are its guests, folded to its width."""
+
+    def __init__(self, n: np.ndarray, point: list[bytes], percent: int) -> None:
+        self.n, self.percent, level = n, percent, levels(n)
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in np.unique(level).tolist():
+            host = np.flatnonzero(level == k)
+            guest = np.flatnonzero((level == k + 1) & (percent * n <= 100 * (512 << k)))
+            counts = [unpacked([point[i] for i in some.tolist()], GROUPS << k) for some in (host, guest) if len(some)]
+            place = np.full(len(n), -1, np.int64)
+            place[np.concatenate([host, guest])] = np.arange(len(host) + len(guest))
+            self.tables[k] = (place, np.concatenate(counts), level > k)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs the bound lets pass, in batches of bounded size."""
+        good = np.zeros(len(a), bool)
+        for place, count, guest in self.tables.values():
+            some = np.flatnonzero((place[a] >= 0) & (place[b] >= 0) & ~(guest[a] & guest[b]))
+            step = max(1, (1 << 22) // count.shape[1])
+            for x in (some[i : i + step] for i in range(0, len(some), step)):
+                good[x] = may_link(count[place[a[x]]], self.n[a[x]], count[place[b[x]]], self.n[b[x]], self.percent)
+        return good
+
+    def forest(self, members: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        for place, count, guest in self.tables.values():
+            own = members[place[members] >= 0]
+            if len(own) > 1 and not guest[own].all():
+                for reached, at in Tree(count[place[own]], self.n[own], guest[own], self.percent).forest():
+                    yield own[reached], int(own[at])
+
+
+def list_edges(key: np.ndarray, member: np.ndarray, known: Points, leaf: int = FANOUT) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of sorted lists of different members. A list that fits in a leaf is compared pair by pair, all such lists at once."""
     cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     length = np.diff(cut)
-    found: list[tuple[np.ndarray, np.ndarray]] = [(cls[:0], cls[:0])]
+    found: list[tuple[np.ndarray, np.ndarray]] = [(member[:0], member[:0])]
     for a, m in zip(cut[:-1][length > leaf].tolist(), length[length > leaf].tolist()):
-        own, place = np.unique(cls[a : a + m], return_index=True)
-        tree = Tree(unpacked(point[a + place]), n[a + place], percent)
-        found += [(own[reached], np.full(len(reached), own[at])) for reached, at in tree.forest()]
+        found += [(reached, np.full(len(reached), at)) for reached, at in known.forest(member[a : a + m])]
     small = np.flatnonzero(np.repeat((length > 1) & (length <= leaf), length))
-    key, cls, n, point = key[small], cls[small], n[small], unpacked(point[small])
+    key, member = key[small], member[small]
+    pairs = [np.zeros(0, np.int64)]
     for lag in range(1, min(leaf, len(key))):
-        a = np.flatnonzero(key[lag:] == key[:-lag])
-        if not len(a):
+        same = np.flatnonzero(key[lag:] == key[:-lag])
+        if not len(same):
             break
-        b = a + lag
-        fits = (cls[a] != cls[b]) & (percent * np.maximum(n[a], n[b]) <= 100 * np.minimum(n[a], n[b]))
-        a, b = a[fits], b[fits]
-        for k in range(0, len(a), 1 << 18):
-            x, y = a[k : k + (1 << 18)], b[k : k + (1 << 18)]
-            good = may_link(point[x], n[x], point[y], n[y], percent)
-            found.append((np.maximum(cls[x], cls[y])[good], np.minimum(cls[x], cls[y])[good]))
-    a, b = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-    a, b = np.maximum(a, b), np.minimum(a, b)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return a[new], b[new]
+        a, b = member[same], member[same + lag]
+        fits = known.percent * np.maximum(known.n[a], known.n[b]) <= 100 * np.minimum(known.n[a], known.n[b])
+        pairs.append((np.maximum(a, b)[fits] << 32) + np.minimum(a, b)[fits])
+    pair = np.unique(np.concatenate(pairs))
+    a, b = pair >> 32, pair & 0xFFFFFFFF
+    good = known.pairs(a, b)
+    found.append((a[good], b[good]))
+    return tuple(np.concatenate([f[k] for f in found]) for k in (0, 1))
 
 
 def linked_sets(h: np.ndarray, at: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
@@ -212,7 +249,7 @@ def class_rows(docs: DataFrame, size: int = SIZE) -> DataFrame:
         def make(h, at, ids):
             n = np.diff(at)
             cls = pa.array(class_of(h, at).view(np.int64), mask=n == 0)
-            yield ids, cls, n, pa.array([p.tobytes() for p in points(h, at)], pa.binary())
+            yield ids, cls, n, pa.array(points(h, at), pa.binary())
 
         return make
 
@@ -308,17 +345,24 @@ def shared_lists(packed: DataFrame, buckets: int) -> DataFrame:
     return packed.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket").mapInArrow(run, "list long, cls long")
 
 
-def bound_edges(lists: DataFrame, parts: int, percent: int) -> DataFrame:
-    """Edges between classes that the R-trees cannot tell apart; ``lists`` has list, cls, n and point."""
+def bound_edges(lists: DataFrame, classes: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """Edges between classes that the R-trees cannot tell apart; a bucket gets its lists, and the point of each class in them once."""
+    bucket = F.shiftright("list", 32)
+    wanted = lists.select(bucket.alias("bucket"), "cls").distinct().join(classes.select("cls", "n", "point"), "cls")
+    rows = wanted.select("bucket", F.lit(-1).cast("long").alias("list"), "cls", "n", "point")
+    rows = rows.unionByName(lists.select(bucket.alias("bucket"), "list", "cls", F.lit(0).cast("long").alias("n"), F.lit(None).cast("binary").alias("point")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 1):
-            key, cls, n = (table.column(k).to_numpy().astype(np.int64) for k in range(3))
-            point = np.frombuffer(b"".join(table.column(3).to_pylist()), np.uint8).reshape(-1, GROUPS + 1)
-            a, b = list_edges(key, cls, n, point, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    dealt = lists.select("list", "cls", "n", "point").repartition(parts, "list").sortWithinPartitions("list")
+            bucket, key, cls, n = (table.column(k).to_numpy() for k in range(4))
+            for a, b in zip(*(lambda cut: (cut, cut[1:]))(np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist())):
+                m = a + int(np.searchsorted(key[a:b], 0))  # points come first, sorted by class
+                known = Points(n[a:m], table.column(4).slice(a, m - a).to_pylist(), percent)
+                names = cls[a:m]
+                x, y = list_edges(key[m:b], np.searchsorted(names, cls[m:b]), known)
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(names[x], names[y])), pa.array(np.minimum(names[x], names[y]))], names=["a", "b"])
+
+    dealt = rows.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "list", "cls")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -389,9 +433,9 @@ def similar_sets(
     frequent, seen_in = frequent_shingles(spark, plain, n_docs or 0, size, sample_docs, most_frequent)
     hot = {int(k): int(-(-c // most_members)) for k, c in zip(frequent[seen_in > most_members], seen_in[seen_in > most_members])}
     buckets = max(parts, int(n_postings or 0) // bucket_size + 1)
-    lists = shared_lists(postings(spark, plain, frequent, hot, buckets, size, percent), buckets)
-    lists = stored(spark, bound_edges(lists.join(classes.select("cls", "n", "point"), "cls"), parts, percent), "bound-edges")
-    blocks = components(spark, lists).select(F.col("node").alias("cls"), F.col("root").alias("block")).join(classes.select("cls", "n"), "cls")
+    lists = stored(spark, shared_lists(postings(spark, plain, frequent, hot, buckets, size, percent), buckets), "lists")
+    near = stored(spark, bound_edges(lists, classes, buckets, percent), "bound-edges")
+    blocks = components(spark, near).select(F.col("node").alias("cls"), F.col("root").alias("block")).join(classes.select("cls", "n"), "cls")
     links = verified_edges(spark, plain, stored(spark, blocks, "blocks"), parts, size, percent, most_shingles, most_broadcast)
     roots = components(spark, links).select(F.col("node").alias("cls"), "root")
     named = classes.select("cls", "n", "copies", "first_id").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
