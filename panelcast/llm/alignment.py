@@ -34,6 +34,8 @@ from panelcast.llm.bpe import PieceEncoder
 from panelcast.llm.shared import documents, joined_rows, slices, stored, utf8
 
 LANE = 512
+#: bytes of text that are aligned at a time
+TEXT = 1 << 20
 
 
 # ---- the two tokenizers
@@ -132,8 +134,8 @@ class Side:
 
 
 _SIDES: dict[tuple[str, str], tuple[Side, Side]] = {}
-#: pieces that each side remembers, some 50 MB of a worker
-MOST_PIECES = 1_000_000
+#: pieces that each side remembers, some 30 MB of a worker
+MOST_PIECES = 500_000
 
 
 def sides(a: str, b: str) -> tuple[Side, Side]:
@@ -191,32 +193,37 @@ def aligned(docs: DataFrame, a: str, b: str) -> DataFrame:
     offset in the spaced text where it ends. The last tokens of a group are a link."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = sides(a, b)
-        for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            for x, y in slices(offsets):
-                own = offsets[x : y + 1] - offsets[x]
-                full = np.diff(own) > 0
-                spaced = np.insert(data[offsets[x] : offsets[y]], own[:-1][full], 32)
-                rows = own + np.concatenate([[0], np.cumsum(full)])
-                (ids_a, rows_a, good_a), (ids_b, rows_b, good_b) = one.encode(spaced, rows), two.encode(spaced, rows)
-                good = good_a & good_b & full
-                n_a, n_b = np.where(good, np.diff(rows_a), 0), np.where(good, np.diff(rows_b), 0)
-                ids_a, ids_b = ids_a[np.repeat(good, np.diff(rows_a))], ids_b[np.repeat(good, np.diff(rows_b))]
-                size = np.where(good, np.diff(rows), 0)
-                end_a, end_b = np.cumsum(one.length[ids_a]), np.cumsum(two.length[ids_b])
-                last_a, last_b = lockstep(end_a, end_b, lanes(end_a, end_b, np.cumsum(size)[good]))
-                before = [np.cumsum(n) - n for n in (n_a, n_b, size)]
-                row = np.searchsorted(np.cumsum(n_a), last_a, side="right")
-                groups = np.bincount(row, minlength=y - x)
-                flat = [ids_a, ids_b, last_a + 1 - before[0][row], last_b + 1 - before[1][row], end_a[last_a] - before[2][row]]
-                counts = [n_a, n_b, groups, groups, groups]
-                made = [_binary(v, n) for v, n in zip(flat, counts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), *made], names=["doc_id", *_ARRAYS])
+        return align(batches, a, b)
 
     return docs.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} binary" for c in _ARRAYS))
 
 
+def align(batches: Iterator[pa.RecordBatch], a: str, b: str) -> Iterator[pa.RecordBatch]:
+    """The work of ``aligned`` in a task, on batches of ids and texts."""
+    one, two = sides(a, b)
+    for batch in batches:
+        data, offsets = utf8(batch.column(1))
+        for x, y in slices(offsets, TEXT):
+            own = offsets[x : y + 1] - offsets[x]
+            full = np.diff(own) > 0
+            spaced = np.insert(data[offsets[x] : offsets[y]], own[:-1][full], 32)
+            rows = own + np.concatenate([[0], np.cumsum(full)])
+            (ids_a, rows_a, good_a), (ids_b, rows_b, good_b) = one.encode(spaced, rows), two.encode(spaced, rows)
+            good = good_a & good_b & full
+            n_a, n_b = np.where(good, np.diff(rows_a), 0), np.where(good, np.diff(rows_b), 0)
+            ids_a, ids_b = ids_a[np.repeat(good, np.diff(rows_a))], ids_b[np.repeat(good, np.diff(rows_b))]
+            size = np.where(good, np.diff(rows), 0)
+            end_a, end_b = np.cumsum(one.length[ids_a]), np.cumsum(two.length[ids_b])
+            last_a, last_b = lockstep(end_a, end_b, lanes(end_a, end_b, np.cumsum(size)[good]))
+            before = [np.cumsum(n) - n for n in (n_a, n_b, size)]
+            row = np.searchsorted(np.cumsum(n_a), last_a, side="right")
+            groups = np.bincount(row, minlength=y - x)
+            flat = [ids_a, ids_b, last_a + 1 - before[0][row], last_b + 1 - before[1][row], end_a[last_a] - before[2][row]]
+            counts = [n_a, n_b, groups, groups, groups]
+            made = [_binary(v, n) for v, n in zip(flat, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), *made], names=["doc_id", *_ARRAYS])
+
+
 def _binary(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Rows of 32-bit integers as binary values."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * 4
@@ -254,27 +261,31 @@ def written(ids_a: np.ndarray, ids_b: np.ndarray, last_a: np.ndarray, last_b: np
     return text, begin
 
 
-def digests(found: DataFrame, n_b_ids: int) -> DataFrame:
-    """Counts and a hash of the groups, and the code a * n_b_ids + b of every link, from aligned documents."""
+def digest(batches: Iterator[pa.RecordBatch], n_b_ids: int) -> Iterator[pa.RecordBatch]:
+    """Counts and a hash of the groups, and the code a * n_b_ids + b of every link, from batches of aligned documents."""
+    for batch in batches:
+        ids_a, rows_a = _integers(batch.column(1))
+        ids_b, rows_b = _integers(batch.column(2))
+        (last_a, rows), (last_b, _) = (_integers(batch.column(k)) for k in (3, 4))
+        groups = np.diff(rows)
+        last_a = last_a + np.repeat(rows_a[:-1], groups) - 1
+        last_b = last_b + np.repeat(rows_b[:-1], groups) - 1
+        text, begin = written(ids_a, ids_b, last_a, last_b)
+        ends = begin[rows_a + rows_b].tolist()
+        whole = memoryview(text)
+        sha = [hashlib.sha256(whole[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(ends, ends[1:])]
+        code = ids_a[last_a].astype(np.int64) * n_b_ids + ids_b[last_b]
+        numbers = [pa.array(np.diff(r)) for r in (rows_a, rows_b, rows, rows)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(sha), _binary(code, groups)], names=_DIGEST)
+
+
+def digests(docs: DataFrame, a: str, b: str, n_b_ids: int) -> DataFrame:
+    """The digest of every aligned document. Both steps run in one Python worker, so no token goes through the JVM but those of the links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in slices(utf8(batch.column(1))[1], 1 << 22):
-                ids_a, rows_a = _integers(batch.column(1).slice(x, y - x))
-                ids_b, rows_b = _integers(batch.column(2).slice(x, y - x))
-                (last_a, rows), (last_b, _) = (_integers(batch.column(k).slice(x, y - x)) for k in (3, 4))
-                groups = np.diff(rows)
-                last_a = last_a + np.repeat(rows_a[:-1], groups) - 1
-                last_b = last_b + np.repeat(rows_b[:-1], groups) - 1
-                text, begin = written(ids_a, ids_b, last_a, last_b)
-                ends = begin[rows_a + rows_b].tolist()
-                whole = memoryview(text)
-                sha = [hashlib.sha256(whole[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(ends, ends[1:])]
-                code = ids_a[last_a].astype(np.int64) * n_b_ids + ids_b[last_b]
-                numbers = [pa.array(np.diff(r)) for r in (rows_a, rows_b, rows, rows)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x), *numbers, pa.array(sha), _binary(code, groups)], names=_DIGEST)
-
-    return found.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary")
+        return digest(align(batches, a, b), n_b_ids)
+
+    return docs.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary")
 
 
 _DIGEST = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"]
@@ -327,4 +338,4 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     n_b_ids = SentencePieceProcessor(model_file=b).get_piece_size()
     docs = documents(spark, sf_dir).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return scored(spark, stored(spark, digests(aligned(docs, a, b), n_b_ids), "links"), n_b_ids)
+    return scored(spark, stored(spark, digests(docs, a, b, n_b_ids), "links"), n_b_ids)

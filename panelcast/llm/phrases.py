@@ -1,7 +1,7 @@
 """Operator 13: collocations from depth-truncated suffix trees, built independently by vertical partitioning (after ERA).
 
 1. *Vertical partitioning.* One scan counts, for every word occurrence, the prefixes of 1 to ``most_words`` words of the suffix that begins there, in hashed cells
-   (``2**bits`` for each length). Prefixes whose cell holds at most ``budget`` suffixes are packed into groups of about ``budget``; a fuller
+   (``2**bits[0]`` for one word, ``2**bits[1]`` for each greater length). Prefixes whose cell holds at most ``budget`` suffixes are packed into groups of about ``budget``; a fuller
    prefix is replaced by its extensions by one more word. Cells only overestimate: they decide where a suffix goes and which prefixes are too rare to go on.
 2. *Subtrees.* A second scan sends each suffix, cut after ``most_words`` words, at the end of its piece, or before a prefix that is too rare, to its group: packed, with equal
    suffixes of a slice counted, as codes of a dictionary of words. Each group builds its subtree level by level, going on below
@@ -10,7 +10,8 @@
 3. *Scores.* Frequencies of both sides of every cut are joined by phrase; products are decimals of 38 digits, so nothing overflows or rounds. The best of each language are
    found in salted parts before they meet.
 
-What passes through the driver is the cells (at most ``most_words * 2**bits``) and counts of rows. Tables of node frequencies and of languages are broadcast up to
+What passes through the driver is the cells, whose number depends on ``bits`` alone, and counts of rows. A cell should hold a small part of ``budget``: the default serves
+some 10**10 words, and ten bits more serve a thousand times that. Tables of node frequencies and of languages are broadcast up to
 ``most_broadcast`` rows and joined by shuffle beyond.
 
 Defined results: a null text is empty, a null language is ``und``; texts of any length are processed whole; repeated rows count each; ties are broken by the smallest cut, then by the
@@ -30,11 +31,13 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.shared import LOWER, U64, byte_class, documents, mixed, runs, slices, span_hashes, stored, utf8
 
-LEAST, MOST_WORDS, TOP, BITS = 100, 5, 2000, 17
+LEAST, MOST_WORDS, TOP = 100, 5, 2000
+#: cells of prefixes of one word, and of each greater length, as powers of two
+BITS = (17, 13)
 STEP = U64(0x9FB21C651E98DF25)
 BREAKS = byte_class(b".,;:!?\n\v\f\r")
 #: bytes of text that are cut into suffixes at a time
-TEXT = 1 << 23
+TEXT = 1 << 21
 
 
 @dataclass
@@ -94,29 +97,38 @@ def _texts(batches: Iterator[pa.RecordBatch], depth: int):
 # ---- vertical partitioning
 
 
-def cell_counts(docs: DataFrame, depth: int, bits: int) -> DataFrame:
-    """Suffixes by cell (depth * 2**bits + hash), and in rows with cell -1 the words of each language."""
+def first_cells(depth: int, bits: tuple[int, int]) -> list[int]:
+    """Where the cells of each depth begin, and where they end."""
+    return [0, *((1 << bits[0]) + (k << bits[1]) for k in range(depth))]
+
+
+def cells_of(prefix: np.ndarray, k: int, bits: tuple[int, int]) -> np.ndarray:
+    return (prefix[k] >> U64(64 - bits[min(k, 1)])).astype(np.int64)
+
+
+def cell_counts(docs: DataFrame, depth: int, bits: tuple[int, int]) -> DataFrame:
+    """Suffixes by cell, and in rows with cell -1 the words of each language."""
+    begin = first_cells(depth, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((depth, 1 << bits), np.int64)
+        total = np.zeros(begin[-1], np.int64)
         words: dict[str, int] = {}
         for found, names, code, prefix in _texts(batches, depth):
             for k in range(depth):
-                inside = found.words[k] != 0
-                total[k] += np.bincount((prefix[k][inside] >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+                total[begin[k] : begin[k + 1]] += np.bincount(cells_of(prefix, k, bits)[found.words[k] != 0], minlength=begin[k + 1] - begin[k])
             for name, n in zip(names, np.bincount(code[found.row], minlength=len(names)).tolist()):
                 words[name] = words.get(name, 0) + n
-        flat = total.ravel()
-        some = np.flatnonzero(flat)
+        some = np.flatnonzero(total)
         cells = [*some.tolist(), *[-1] * len(words)]
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array([*[None] * len(some), *words], pa.string()), pa.array([*flat[some].tolist(), *words.values()], pa.int64())], names=["cell", "lang", "n"])
+        columns = [pa.array(cells, pa.int64()), pa.array([*[None] * len(some), *words], pa.string()), pa.array([*total[some].tolist(), *words.values()], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["cell", "lang", "n"])
 
     return docs.mapInArrow(run, "cell long, lang string, n long").groupBy("cell", "lang").agg(F.sum("n").alias("n"))
 
 
-def virtual_trees(count: np.ndarray, budget: int) -> tuple[np.ndarray, list[int]]:
+def virtual_trees(count: list[np.ndarray], budget: int) -> tuple[list[np.ndarray], list[int]]:
     """The group of each cell (-1: fuller than ``budget``, take the next depth), and the depth that each group was partitioned by."""
-    group, depths = np.full(count.shape, -1, np.int32), []
+    group, depths = [np.full(len(n), -1, np.int32) for n in count], []
     for k, n in enumerate(count):
         if k and (count[k - 1] <= budget).all():
             break  # no prefix of the depth before is too full
@@ -155,20 +167,20 @@ def unpacked(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]
     return weight, lang, code, [bytes.fromhex(x.decode()).decode() for x in tail[:n_names]], tail[n_names:][:n_words]
 
 
-def suffixes_by_group(spark: SparkSession, docs: DataFrame, count: np.ndarray, group: np.ndarray, least: int, bits: int) -> DataFrame:
+def suffixes_by_group(spark: SparkSession, docs: DataFrame, count: list[np.ndarray], group: list[np.ndarray], least: int, bits: tuple[int, int]) -> DataFrame:
     """(tree, body): packed suffixes of each group."""
-    sent = spark.sparkContext.broadcast((count >= least, group))
+    sent = spark.sparkContext.broadcast(([n >= least for n in count], group))
     depth = len(count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, trees = sent.value
         for found, names, code, prefix in _texts(batches, depth):
-            cell = (prefix >> U64(64 - bits)).astype(np.int64)
             words, tree, going = found.words, np.full(prefix.shape[1], -1, np.int64), np.ones(prefix.shape[1], bool)
             shown = np.zeros(prefix.shape[1], np.int64)
             for k in range(depth):
-                tree = np.where(tree < 0, trees[k][cell[k]], tree)
-                going &= (words[k] != 0) & often[k][cell[k]]
+                cell = cells_of(prefix, k, bits)
+                tree = np.where(tree < 0, trees[k][cell], tree)
+                going &= (words[k] != 0) & often[k][cell]
                 shown += going
             # equal suffixes of the slice become one: a suffix is named by the hash of the prefix that is shown
             use = np.flatnonzero(shown > 0)
@@ -228,13 +240,14 @@ def subtree(bodies: list[bytes], least: int, whole_from: int) -> Iterator[tuple[
         active = active[keep[leaf]]
 
 
-def phrase_counts(spark: SparkSession, docs: DataFrame, *, least: int, most_words: int, budget: int, bits: int) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(spark: SparkSession, docs: DataFrame, *, least: int, most_words: int, budget: int, bits: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """(nodes, totals): lang, phrase, words and n of every phrase of up to ``most_words`` words that occurs ``least`` times; lang and words of each language."""
     cells = stored(spark, cell_counts(docs, most_words, bits), "cells")
-    table = cells.filter("cell >= 0").select("cell", "n").toArrow()  # bounded by most_words * 2**bits
-    count = np.zeros(most_words << bits, np.int64)
-    count[table.column("cell").to_numpy()] = table.column("n").to_numpy()
-    count = count.reshape(most_words, -1)
+    table = cells.filter("cell >= 0").select("cell", "n").toArrow()  # one row for each cell at most
+    begin = first_cells(most_words, bits)
+    flat = np.zeros(begin[-1], np.int64)
+    flat[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    count = [flat[a:b] for a, b in zip(begin, begin[1:])]
     group, depths = virtual_trees(count, budget)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +275,8 @@ def collocations(
     least: int = LEAST,
     most_words: int = MOST_WORDS,
     top: int = TOP,
-    budget: int = 4_000_000,
-    bits: int = BITS,
+    budget: int = 2_000_000,
+    bits: tuple[int, int] = BITS,
     most_broadcast: int = 1_000_000,
 ) -> DataFrame:
     """The first ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
