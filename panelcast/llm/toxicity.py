@@ -204,21 +204,34 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
         return np.where((known[place] == key) & column.is_valid().to_numpy(zero_copy_only=False), group[place], ALL)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((5, 1 << bits), np.int64)
+        total = np.zeros(1 << bits, np.int64)
+        # labelled documents are few: their tokens are counted sparsely, by group and place
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             group = group_of(batch.column(0))
             data, offsets = utf8(batch.column(1))
             for a, b in slices(offsets):
                 place, _, _, row = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], bits)
                 kind = group[a:b][row]
+                some = np.flatnonzero(kind != ALL)
+                marked = [codes]
                 for own in place:
-                    use = own >= 0
-                    total[ALL] += np.bincount(own[use], minlength=1 << bits)
-                    marked = use & (kind != ALL)
-                    at = own[marked].astype(np.int64) + (kind[marked] << bits)
-                    total[1:] += np.bincount(at, minlength=5 << bits).reshape(5, -1)[1:]
-        some = np.flatnonzero(total[ALL])
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(total[k][some]) for k in range(5))], names=["place", "c0", "c1", "c2", "c3", "c4"])
+                    total += np.bincount(own[own >= 0], minlength=1 << bits)
+                    at = own[some]
+                    marked.append((kind[some] << bits)[at >= 0] + at[at >= 0])
+                merged, back = np.unique(np.concatenate(marked), return_inverse=True)
+                n = np.ones(len(back), np.int64)
+                n[: len(counts)] = counts
+                codes, counts = merged, np.bincount(back, weights=n, minlength=len(merged)).astype(np.int64)
+        some = np.flatnonzero(total)
+        for at in range(0, len(some), 1 << 17):
+            own = some[at : at + (1 << 17)]
+            columns = [total[own]]
+            for k in range(1, 5):
+                code = (k << bits) + own
+                found = np.minimum(np.searchsorted(codes, code), max(len(codes) - 1, 0))
+                columns.append(np.where(codes[found] == code, counts[found], 0) if len(codes) else np.zeros(len(own), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *map(pa.array, columns)], names=["place", "c0", "c1", "c2", "c3", "c4"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     columns = [f"c{k}" for k in range(5)]
@@ -226,6 +239,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
     count = np.zeros((5, 1 << bits), np.int64)
     for k, c in enumerate(columns):
         count[k, table.column("place").to_numpy()] = table.column(c).to_numpy()
+    del table
 
     share = float(toxic.mean()) if len(toxic) else 0.0
     final = base_model(count, [CLEAN_A, CLEAN_B], [TOXIC_A, TOXIC_B], drift, bits)
@@ -257,19 +271,27 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["toxic", "fold", "words", "scores"])
 
     # bounded by train_rows: a few numbers for each training document
-    rows = text.mapInArrow(scored, "toxic boolean, fold int, words long, scores array<double>").toArrow().to_pylist()
-    clean_best = [(max(r["scores"], default=0.0), r["words"], r["fold"]) for r in rows if not r["toxic"]]
+    rows = text.mapInArrow(scored, "toxic boolean, fold int, words long, scores array<double>").toArrow().combine_chunks()
+    models.unpersist()
+    is_toxic, fold_of, words = (rows.column(c).to_numpy() for c in ("toxic", "fold", "words"))
+    listed = rows.column("scores").combine_chunks()
+    scores, n_scores = listed.flatten().to_numpy(), listed.value_lengths().to_numpy().astype(np.int64)
+    del rows, listed
+    owner = np.repeat(np.arange(len(words)), n_scores)
+    best = np.zeros(len(words))
+    np.maximum.at(best, owner, scores)
+    rate = np.array([half.rate for half in halves])[1 - fold_of]
     # K: a share of ``significance`` of the clean documents has a segment as rare as that
-    rarity = [w * np.exp(-halves[1 - f].rate * s) for s, w, f in clean_best if w]
-    low = float(np.quantile(rarity, final.significance)) if rarity else 1.0
+    rarity = (words * np.exp(-rate * best))[~is_toxic.astype(bool) & (words > 0)]
+    low = float(np.quantile(rarity, final.significance)) if len(rarity) else 1.0
     final.scale = -np.log1p(-final.significance) / max(low, 1e-30)
-    features = []
-    for r in rows:
-        half = halves[1 - r["fold"]]
-        half.scale = final.scale
-        features.append(half.evidence([(0, 0, s) for s in r["scores"]], r["words"])[0])
-    if features:
-        final.curve = fit_curve(np.array(features), np.array([r["toxic"] for r in rows], float))
+    if len(words):
+        chance = -np.expm1(-final.scale * words[owner] * np.exp(-rate[owner] * scores))
+        passages = np.bincount(owner, weights=chance <= final.significance, minlength=len(words))
+        total = np.bincount(owner, weights=scores, minlength=len(words)) * rate
+        surprise = np.where(n_scores > 0, np.log(np.maximum(final.scale * words, 1e-9)) - rate * best, 0.0)
+        features = [np.clip(-surprise, 0, 40), np.log1p(total), np.log1p(passages), np.log1p(total / np.sqrt(np.maximum(words, 1)))]
+        final.curve = fit_curve(np.column_stack(features), is_toxic.astype(float))
     return final
 
 
