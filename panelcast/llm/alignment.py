@@ -169,8 +169,8 @@ def lanes(end_a: np.ndarray, end_b: np.ndarray, ends: np.ndarray, lane: int = LA
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the A and B tokens that end together. All stretches between two cuts advance at the same time."""
     stop = np.searchsorted(end_a, cuts) + 1
-    i = np.concatenate([[0], stop[:-1]])
-    j = np.concatenate([[0], np.searchsorted(end_b, cuts[:-1]) + 1])
+    i = np.concatenate([[0], stop[:-1]])[: len(cuts)]
+    j = np.concatenate([[0], np.searchsorted(end_b, cuts[:-1]) + 1])[: len(cuts)]
     found: list[tuple[np.ndarray, np.ndarray]] = [(i[:0], j[:0])]
     while len(i):
         x, y = end_a[i], end_b[j]

@@ -167,16 +167,63 @@ def unpacked(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]
     return weight, lang, code, [bytes.fromhex(x.decode()).decode() for x in tail[:n_names]], tail[n_names:][:n_words]
 
 
-def suffixes_by_group(spark: SparkSession, docs: DataFrame, count: list[np.ndarray], group: list[np.ndarray], least: int, bits: tuple[int, int]) -> DataFrame:
-    """(tree, body): packed suffixes of each group."""
+class Outbox:
+    """Suffixes of a task by tree, as numbers of the words met in it, until there are enough of them to be packed."""
+
+    def __init__(self) -> None:
+        self.hashes, self.numbers = np.zeros(0, U64), np.zeros(0, np.int32)
+        self.text: list[bytes] = [b""]
+        self.langs: dict[str, int] = {}
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, found: Suffixes, names: list[str], code: np.ndarray, tree: np.ndarray, own: np.ndarray, shown: np.ndarray, weight: np.ndarray) -> None:
+        """``own`` are the places of suffixes, of whose words the first ``shown`` go out."""
+        depth = np.arange(len(found.words))[:, None]
+        member = np.where(depth < shown, found.words[:, own], U64(0))
+        known, first, coded = np.unique(member, return_index=True, return_inverse=True)
+        number = np.zeros(len(known), np.int32)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, known), len(self.hashes) - 1)
+            number = np.where(self.hashes[at] == known, self.numbers[at], 0).astype(np.int32)
+        new = np.flatnonzero((number == 0) & (known != 0))
+        source = (own + depth).ravel()[first[new]]  # the word at depth k of a suffix is the k-th after it
+        number[new] = np.arange(len(self.text), len(self.text) + len(new))
+        self.text += [found.low[s:e].tobytes() for s, e in zip(found.first[source].tolist(), found.last[source].tolist())]
+        order = np.argsort(merged := np.concatenate([self.hashes, known[new]]), kind="stable")
+        self.hashes, self.numbers = merged[order], np.concatenate([self.numbers, number[new]])[order]
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in names], np.int32)[code[found.row[own]]]
+        self.held.append((tree.astype(np.int32), weight.astype(np.int64), lang, number[coded.reshape(member.shape)]))
+        self.size += len(own)
+
+    def flush(self) -> pa.RecordBatch:
+        """One packed body for each tree; suffixes are sorted, so that equal beginnings pack well."""
+        tree, weight, lang = (np.concatenate([h[k] for h in self.held]) for k in range(3))
+        code = np.concatenate([h[3] for h in self.held], axis=1)
+        self.held, self.size = [], 0
+        order = np.lexsort((code[1] if len(code) > 1 else code[0], code[0], tree))
+        tree, weight, lang, code = tree[order], weight[order], lang[order], code[:, order]
+        some, begin = np.unique(tree, return_index=True)
+        bodies, names = [], list(self.langs)
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(tree)]):
+            words, local = np.unique(code[:, a:b], return_inverse=True)
+            local = local.reshape(len(code), b - a) + int(words[0] != 0)
+            langs, own = np.unique(lang[a:b], return_inverse=True)
+            bodies.append(packed(weight[a:b], own, local, [names[k] for k in langs.tolist()], [self.text[k] for k in words.tolist() if k]))
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(bodies, pa.binary())], names=["tree", "body"])
+
+
+def suffixes_by_group(spark: SparkSession, docs: DataFrame, count: list[np.ndarray], group: list[np.ndarray], least: int, bits: tuple[int, int], batch: int = 1_200_000) -> DataFrame:
+    """(tree, body): packed suffixes of each group, about ``batch`` suffixes of a task at a time."""
     sent = spark.sparkContext.broadcast(([n >= least for n in count], group))
     depth = len(count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, trees = sent.value
+        box = Outbox()
         for found, names, code, prefix in _texts(batches, depth):
-            words, tree, going = found.words, np.full(prefix.shape[1], -1, np.int64), np.ones(prefix.shape[1], bool)
-            shown = np.zeros(prefix.shape[1], np.int64)
+            words, tree, going = found.words, np.full(prefix.shape[1], -1, np.int32), np.ones(prefix.shape[1], bool)
+            shown = np.zeros(prefix.shape[1], np.int32)
             for k in range(depth):
                 cell = cells_of(prefix, k, bits)
                 tree = np.where(tree < 0, trees[k][cell], tree)
@@ -187,25 +234,11 @@ def suffixes_by_group(spark: SparkSession, docs: DataFrame, count: list[np.ndarr
             name = prefix[shown[use] - 1, use] ^ mixed(tree[use].astype(U64))
             _, at, weight = np.unique(name, return_index=True, return_counts=True)
             use = use[at]
-            order = np.argsort(tree[use], kind="stable")
-            use, weight = use[order], weight[order]
-            some, begin = np.unique(tree[use], return_index=True)
-            bodies = []
-            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(use)]):
-                own = use[a:b]
-                member = np.where(np.arange(depth)[:, None] < shown[own], words[:, own], U64(0))
-                place = own + np.arange(depth)[:, None]  # the word at depth k of a suffix is the k-th after it
-                known, first, coded = np.unique(member, return_index=True, return_inverse=True)
-                coded = coded.reshape(member.shape)
-                source = place.ravel()[first]
-                if len(known) and known[0] == 0:
-                    source = source[1:]
-                else:
-                    coded = coded + 1
-                text = [found.low[s:e].tobytes() for s, e in zip(found.first[source].tolist(), found.last[source].tolist())]
-                langs, lang = np.unique(code[found.row[own]], return_inverse=True)
-                bodies.append(packed(weight[a:b], lang, coded, [names[k] for k in langs.tolist()], text))
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(bodies, pa.binary())], names=["tree", "body"])
+            box.add(found, names, code, tree[use], use, shown[use], weight)
+            if box.size >= batch:
+                yield box.flush()
+        if box.size:
+            yield box.flush()
 
     return docs.mapInArrow(run, "tree int, body binary")
 

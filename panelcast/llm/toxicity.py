@@ -52,16 +52,25 @@ def tokens(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.
 
 def weights(count: np.ndarray, clean: list[int], toxic: list[int], prior: float = 1.0, least_z: float = 2.5) -> tuple[np.ndarray, np.ndarray]:
     """Shrunk log-odds and their significance for each place."""
-    background = count[ALL].astype(np.float64)
-    background /= max(background.sum(), 1)
+    sums = [float(count[ALL].sum()), float(count[toxic].sum()), float(count[clean].sum())]
+    odds, z = np.empty(count.shape[1], np.float32), np.empty(count.shape[1], np.float32)
+    for at in range(0, count.shape[1], 1 << 16):
+        own = slice(at, at + (1 << 16))
+        odds[own], z[own] = _weights(count[:, own], clean, toxic, sums, prior, least_z)
+    return odds, z
+
+
+def _weights(count: np.ndarray, clean: list[int], toxic: list[int], sums: list[float], prior: float, least_z: float) -> tuple[np.ndarray, np.ndarray]:
+    """``weights`` of some places, by the sums over all of them."""
+    background = count[ALL].astype(np.float64) / max(sums[0], 1)
     a, b = count[toxic].sum(0).astype(np.float64), count[clean].sum(0).astype(np.float64)
-    pseudo_a, pseudo_b = prior * a.sum() * background, prior * b.sum() * background
+    pseudo_a, pseudo_b = prior * sums[1] * background, prior * sums[2] * background
     with np.errstate(divide="ignore", invalid="ignore"):
-        odds = np.log((a + pseudo_a) / np.maximum(a.sum() * (1 + prior) - a - pseudo_a, 1e-9)) - np.log((b + pseudo_b) / np.maximum(b.sum() * (1 + prior) - b - pseudo_b, 1e-9))
+        odds = np.log((a + pseudo_a) / np.maximum(sums[1] * (1 + prior) - a - pseudo_a, 1e-9)) - np.log((b + pseudo_b) / np.maximum(sums[2] * (1 + prior) - b - pseudo_b, 1e-9))
         z = odds / np.sqrt(1 / (a + pseudo_a) + 1 / (b + pseudo_b))
     odds, z = np.nan_to_num(odds, nan=0, posinf=0, neginf=0), np.nan_to_num(z)
     keep = np.maximum(0, 1 - (least_z / np.maximum(np.abs(z), 1e-9)) ** 2)
-    return (odds * keep).astype(np.float32), np.abs(z).astype(np.float32)
+    return odds * keep, np.abs(z)
 
 
 def word_scores(place: np.ndarray, weight: np.ndarray, z: np.ndarray, drift: float) -> np.ndarray:
@@ -272,7 +281,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
 
     # bounded by train_rows: a few numbers for each training document
     rows = text.mapInArrow(scored, "toxic boolean, fold int, words long, scores array<double>").toArrow().combine_chunks()
-    models.unpersist()
+    models.destroy()
+    sent.destroy()
     is_toxic, fold_of, words = (rows.column(c).to_numpy() for c in ("toxic", "fold", "words"))
     listed = rows.column("scores").combine_chunks()
     scores, n_scores = listed.flatten().to_numpy(), listed.value_lengths().to_numpy().astype(np.int64)

@@ -57,7 +57,7 @@ def test_sql_on_awkward_rows(spark, edge_dir, name):
     assert good, line
 
 
-@pytest.mark.parametrize("name", ["op2_secrets", "op3_syncmers", "op4_toxicity", "op5_licenses", "op6_pii", "op7_token_files", "op8_simhash", "op9_decontamination"])
+@pytest.mark.parametrize("name", ["op2_secrets", "op3_syncmers", "op4_toxicity", "op5_licenses", "op6_pii", "op7_token_files", "op8_simhash", "op9_decontamination", "op11_count_rtree", "op12_alignment"])
 def test_a_row_for_each_document(spark, edge_dir, edge, name):
     got = Counter(r.doc_id for r in queries.QUERIES[name](spark, edge_dir).collect())
     assert got == Counter(d for d, _ in edge)
