@@ -20,6 +20,8 @@ from panelcast.operators import windows as X
 from panelcast.plans import lifecycle as L
 
 P = "PARTITION_COLUMN"
+_VALUE = "CASE {r} " + " ".join(f"WHEN '{r}' THEN p.{r}" for r in REGRESSORS) + " END"
+_VALUE_P, _VALUE_U, _VALUE_R = (_VALUE.replace("{r}", f"{t}.regressor") for t in "pur")
 FAMILIES_FULL = {
     "PROPHET": REGRESSOR_COLUMNS,
     "XGBOOST": ["SELLIN_MINUS3_MONTH", "SR_MINUS3_MONTH", "MOF_PLUS_BUFFER_MINUS3_MONTH"],
@@ -128,6 +130,47 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
 
 register("select_features", _features)
 
+
+
+def _pair_fits(spark: SparkSession, d: str) -> DataFrame:
+    """The two regressors that go best with the target, less those the segment must not use, decide each series' ridge."""
+    rows, xs, excluded = S.split_panel(spark, d), REGRESSORS, {"SELLIN_MINUS3_MONTH": QUERY_CONFIG["EXCLUDE_SELLIN_PROPHET"]}
+    best = M.strongest_regressors(M.covariance_stats(M.training_rows(rows, xs, "BB"), [P], xs, "BB"), [P], xs, 2)
+    fits = M.fit_selected(rows, [P], xs, [best, M.usable_regressors(rows, [P], xs, "MARKET_SEGMENT", excluded)])
+    weight = F.aggregate(F.filter(F.col("coefficients"), lambda w: w != 0), F.lit(0.0), lambda acc, w: acc + w)
+    return fits.select(P, "n", F.array_join(F.array_sort("features"), ",").alias("features"), weight.alias("sum_of_coefficients"), "intercept", "error")
+
+
+_EXCLUDED_SQL = ", ".join(f"'{s}'" for s in QUERY_CONFIG["EXCLUDE_SELLIN_PROPHET"])
+register(
+    "fit_selected",
+    _pair_fits,
+    f"""WITH long AS (SELECT p.PARTITION_COLUMN, p.MARKET_SEGMENT, p.QUARTER, r.regressor, coalesce({_VALUE_R}, 0)::DOUBLE AS x, p.BB
+          FROM split_panel p CROSS JOIN (VALUES {', '.join(f"('{r}')" for r in REGRESSORS)}) r(regressor) WHERE p.split = 'train' AND p.BB IS NOT NULL),
+        st AS (SELECT PARTITION_COLUMN, regressor, max(MARKET_SEGMENT) AS seg, count(*) AS n, var_pop(x) AS xx, covar_pop(x, BB) AS xy, avg(x) AS xm, avg(BB) AS ym,
+            CASE WHEN min(x) < max(x) AND min(BB) < max(BB) THEN round(covar_pop(x, BB) * covar_pop(x, BB) / (var_pop(x) * var_pop(BB)), 9) END AS strength FROM long GROUP BY ALL),
+        pick AS (SELECT *, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY strength DESC NULLS LAST, regressor) AS rk FROM st),
+        used AS (SELECT * FROM pick WHERE rk <= 2 AND strength IS NOT NULL AND NOT (regressor = 'SELLIN_MINUS3_MONTH' AND seg IN ({_EXCLUDED_SQL}))),
+        two AS (SELECT a.*, b.regressor AS r2, b.xx AS zz, b.xy AS zy, b.xm AS zm FROM used a LEFT JOIN used b ON a.PARTITION_COLUMN = b.PARTITION_COLUMN AND b.regressor <> a.regressor
+          QUALIFY row_number() OVER (PARTITION BY a.PARTITION_COLUMN ORDER BY a.regressor) = 1),
+        cross_ AS (SELECT t.PARTITION_COLUMN, covar_pop(a.x, b.x) AS xz FROM two t JOIN long a ON a.PARTITION_COLUMN = t.PARTITION_COLUMN AND a.regressor = t.regressor
+          JOIN long b ON b.PARTITION_COLUMN = t.PARTITION_COLUMN AND b.regressor = t.r2 AND b.QUARTER = a.QUARTER GROUP BY ALL),
+        solved AS (SELECT t.*, CASE WHEN r2 IS NULL THEN xy / (xx + 1.0 / n) ELSE (xy * (zz + 1.0 / n) - zy * xz) / ((xx + 1.0 / n) * (zz + 1.0 / n) - xz * xz) END AS b1,
+            CASE WHEN r2 IS NULL THEN 0.0 ELSE (zy * (xx + 1.0 / n) - xy * xz) / ((xx + 1.0 / n) * (zz + 1.0 / n) - xz * xz) END AS b2 FROM two t LEFT JOIN cross_ USING (PARTITION_COLUMN))
+        SELECT PARTITION_COLUMN, g.n, coalesce(concat_ws(',', s.regressor, s.r2), '') AS features, CASE WHEN g.n >= 3 THEN coalesce(b1 + b2, 0.0) END AS sum_of_coefficients,
+          CASE WHEN g.n >= 3 THEN coalesce(ym - b1 * xm - b2 * coalesce(zm, 0), g.m) END AS intercept, CASE WHEN g.n < 3 THEN 'Insufficient training data: ' || g.n || ' rows' END AS error
+        FROM (SELECT PARTITION_COLUMN, count(*) AS n, avg(BB) AS m FROM split_panel WHERE split = 'train' AND BB IS NOT NULL GROUP BY PARTITION_COLUMN) g LEFT JOIN solved s USING (PARTITION_COLUMN)""",
+    {3: "sum_of_coefficients", 1: "intercept"},
+)
+
+
+def _rivals(spark: SparkSession, d: str) -> DataFrame:
+    return L.fitted_rivals(S.split_panel(spark, d), [P], QUERY_CONFIG)
+
+
+register("fitted_rivals", lambda s, d: _rivals(s, d).select(*KEYS, "MODEL_USED", "split", F.array_join("features", ",").alias("features"), "BILLING_PREDICTED", "error"))
+register("rival_champions", lambda s, d: L.rival_champions(_rivals(s, d), [P]).select(P, "MODEL_USED", "val_mae", "val_mape", "n_val"))
+
 ALPHAS = [0.0, 0.1, 1.0, 10.0, 1e3, 1e6, 1e9, 1e12]
 register(
     "param_grid_search",
@@ -184,8 +227,6 @@ def _metrics_row(spark: SparkSession, d: str) -> DataFrame:
 register("train_metrics_row", _metrics_row)
 
 
-_VALUE = "CASE {r} " + " ".join(f"WHEN '{r}' THEN p.{r}" for r in REGRESSORS) + " END"
-_VALUE_P, _VALUE_U = _VALUE.replace("{r}", "p.regressor"), _VALUE.replace("{r}", "u.regressor")
 
 
 def _score(spark: SparkSession, d: str) -> DataFrame:

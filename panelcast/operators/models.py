@@ -161,11 +161,16 @@ def _solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.einsum("nij,nj->ni", inverse, b / scale) / scale
 
 
-def solve_ridge(stats: DataFrame, keys: Sequence[str], n_features: int, alpha: Column | float = 1.0, min_rows: int = 3, relative: bool = False) -> DataFrame:
+def solve_ridge(
+    stats: DataFrame, keys: Sequence[str], n_features: int, alpha: Column | float = 1.0, min_rows: int = 3, relative: bool = False,
+    active: str | None = None, penalties: Sequence[float] | None = None,
+) -> DataFrame:
     """Ridge fit per row of ``covariance_stats``; too few rows give an error row, not an exception.
 
-    With ``relative`` the penalty is in units of each regressor's variance, as if all were standardised.
+    With ``relative`` the penalty is in units of each regressor's variance, as if all were standardised. ``active`` names an array column of booleans, one
+    per regressor: the fit of a row sees only its block of the moment matrix, and the other coefficients are 0. ``penalties`` multiply the penalty by regressor.
     """
+    each = np.ones(n_features) if penalties is None else np.asarray(penalties, dtype=float)
     schema = T.StructType([stats.schema[c] for c in keys] + FIT_FIELDS)
     k = n_features + 1
     ready = stats.withColumn("_alpha", alpha if isinstance(alpha, Column) else F.lit(float(alpha)))
@@ -177,11 +182,14 @@ def solve_ridge(stats: DataFrame, keys: Sequence[str], n_features: int, alpha: C
             cov, means = _matrices(batch, k)
             n = batch["n"].to_numpy(dtype=float)
             lam = batch["_alpha"].to_numpy(dtype=float) / n
+            if active is not None:
+                out_of_use = np.column_stack([~np.array(batch[active].tolist(), dtype=bool).reshape(len(batch), k - 1), np.zeros(len(batch), dtype=bool)])
+                cov[out_of_use[:, :, None] | out_of_use[:, None, :]] = 0.0
             xx, xy, yy = cov[:, :-1, :-1], cov[:, :-1, -1], cov[:, -1, -1]
             if relative:
-                beta = _solve(xx + (lam * n)[:, None, None] * xx * np.eye(k - 1), xy)
+                beta = _solve(xx + (lam * n)[:, None, None] * xx * np.diag(each), xy)
             else:
-                beta = _solve(xx + lam[:, None, None] * np.eye(k - 1), xy)
+                beta = _solve(xx + lam[:, None, None] * np.diag(each), xy)
             fitted = np.einsum("ni,nij,nj->n", beta, xx, beta)
             sse = np.maximum(n * (yy - 2 * np.einsum("ni,ni->n", beta, xy) + fitted), 0.0)
             short = n < min_rows
@@ -201,6 +209,46 @@ def fit_ridge(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "B
     return solve_ridge(covariance_stats(training_rows(df, xs, y, split), keys, xs, y), keys, len(xs), alpha)
 
 
+def usable_regressors(df: DataFrame, keys: Sequence[str], xs: Sequence[str], segment: str, excluded: dict[str, Sequence[str]]) -> DataFrame:
+    """One row per series with ``selected``, the regressors that its segment may use. ``excluded`` lists the segments that must not use a regressor."""
+    segment_is = {x: F.upper(segment).isin([s.upper() for s in segments]) for x, segments in excluded.items() if segments}
+    names = F.array(*[F.when(~F.coalesce(segment_is[x], F.lit(False)), F.lit(x)) if x in segment_is else F.lit(x) for x in xs])
+    return df.groupBy(*keys).agg(F.first(segment, ignorenulls=True).alias(segment)).select(*keys, F.array_compact(names).alias("selected"))
+
+
+def strongest_regressors(stats: DataFrame, keys: Sequence[str], xs: Sequence[str], most: int) -> DataFrame:
+    """``selected``: at most ``most`` regressors of each row of ``covariance_stats`` by squared correlation with the target (ties by name); constants are never chosen."""
+    k = len(xs) + 1
+    place = lambda i, j: i * k - i * (i - 1) // 2 + j - i
+    spread = F.col("cov")[place(k - 1, k - 1)]
+    cells = []
+    for i, x in enumerate(xs):
+        variance = F.col("cov")[place(i, i)]
+        real = (variance > F.pow(F.lit(1e-10) * F.abs(F.col("means")[i]), F.lit(2))) & (spread > 0)
+        cells.append(F.struct((-F.round(F.when(real, F.pow(F.col("cov")[place(i, k - 1)], F.lit(2)) / (variance * spread)), 9)).alias("order"), F.lit(x).alias("name")))
+    ranked = F.array_sort(F.filter(F.array(*cells), lambda c: c["order"].isNotNull()))
+    return stats.select(*keys, F.transform(F.slice(ranked, 1, most), lambda c: c["name"]).alias("selected"))
+
+
+def fit_selected(
+    df: DataFrame, keys: Sequence[str], xs: Sequence[str], choices: Sequence[DataFrame], y: str = "BB", alpha: float = 1.0, split: str | None = "split", min_rows: int = 3, relative: bool = False,
+) -> DataFrame:
+    """A ridge per series on the regressors that every one of ``choices`` (keys, ``selected``) allows; ``features`` names them.
+
+    The moments of all regressors are aggregated once and each series is solved on its own block, so a series costs the same whatever is chosen. A series that
+    a choice does not know keeps all of its regressors; one without any left has its mean.
+    """
+    stats = covariance_stats(training_rows(df, xs, y, split), keys, xs, y)
+    features = F.array(*[F.lit(x) for x in xs])
+    for i, choice in enumerate(choices):
+        stats = stats.join(choice.select(*keys, F.col("selected").alias(f"_c{i}")), list(keys), "left")
+        features = F.array_intersect(features, F.coalesce(F.col(f"_c{i}"), F.array(*[F.lit(x) for x in xs])))
+    marked = stats.withColumn("features", features).withColumn("_active", F.array(*[F.array_contains("features", x) for x in xs]))
+    carried = marked.withColumn("_features", F.array_join("features", ","))
+    fits = solve_ridge(carried, [*keys, "_features"], len(xs), alpha, min_rows, relative, active="_active")
+    return fits.withColumn("features", F.when(F.col("_features") == "", F.array().cast("array<string>")).otherwise(F.split("_features", ","))).drop("_features")
+
+
 def ridge_to_origin(
     df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "BB", quarter: str = "QUARTER", origin: str = "ORIGIN_QUARTER", alpha: float = 0.1, min_rows: int = 6,
 ) -> DataFrame:
@@ -269,15 +317,60 @@ def trend_seasonal_features(df: DataFrame, day: str = "QUARTER_PARSED", quarter:
     return df.withColumns({"t": quarter_index(quarter).cast("double")} | terms | season), ["t", *terms, *season]
 
 
-def fit_trend_seasonal(df: DataFrame, keys: Sequence[str], regressors: Sequence[str], y: str = "BB", alpha: float = 0.01, split: str | None = "split") -> tuple[DataFrame, DataFrame, list[str]]:
-    """Trend, seasonality and regressors in one linear fit.
+def changepoint_features(df: DataFrame, keys: Sequence[str], y: str, split: str | None, n: int, share: float) -> tuple[DataFrame, list[str]]:
+    """Hinges of ``t`` at ``n`` evenly spaced places of the first ``share`` of the training range of each series; the slope may change there."""
+    series = W.partitionBy(*keys)
+    trained = F.col(y).isNotNull() if split is None else F.col(y).isNotNull() & (F.col(split) == "train")
+    known = F.when(trained, F.col("t"))
+    first, last = F.min(known).over(series), F.max(known).over(series)
+    rows = df.withColumns({"_first": first, "_span": last - first})
+    hinges = {f"hinge_{j}": F.coalesce(F.greatest(F.col("t") - F.col("_first") - F.col("_span") * (share * j / n), F.lit(0.0)), F.lit(0.0)) for j in range(1, n + 1)}
+    return rows.withColumns(hinges).drop("_first", "_span"), list(hinges)
+
+
+def _share_of_cap(y: str, cap: str, floor: str) -> Column:
+    share = (F.col(y) - F.col(floor)) / F.when(F.col(cap) > F.col(floor), F.col(cap) - F.col(floor))
+    return F.when(share.isNotNull(), F.least(F.greatest(share, F.lit(0.01)), F.lit(0.99)))
+
 
-    Returns the fits, the rows with their features and the feature names. Growth is held by cap and
-    floor when scoring, not by a logistic curve.
+def fit_trend_seasonal(
+    df: DataFrame, keys: Sequence[str], regressors: Sequence[str], y: str = "BB", alpha: float = 1e-4, split: str | None = "split",
+    changepoints: int = 3, changepoint_share: float = 0.8, changepoint_prior: float = 0.05, season: str = "additive", growth: str = "linear",
+    cap: str = "cap", floor: str = "floor",
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Piecewise-linear trend, seasonality and regressors in one linear fit per series.
+
+    Penalties are in units of each feature's variance; those of the slope changes are ``1 / changepoint_prior`` times as strong, so a small prior keeps the trend straight.
+    A multiplicative season fits the logarithm of the target, saturating (``logistic``) growth the log-odds of its place between the columns ``floor`` and ``cap``, where a series needs
+    cap > floor. Returns the fits, the rows with their features and the feature names; ``score_trend`` undoes the change of scale.
     """
+    if season not in ("additive", "multiplicative") or growth not in ("linear", "logistic"):
+        raise ValueError(f"unknown season {season} or growth {growth}")
     rows, features = trend_seasonal_features(df)
-    xs = [*features, *regressors]
-    return fit_ridge(rows, keys, xs, y, alpha, split), rows, xs
+    rows, hinges = changepoint_features(rows, keys, y, split, changepoints, changepoint_share)
+    target = F.col(y).cast("double")
+    if growth == "logistic":
+        share = _share_of_cap(y, cap, floor)
+        target = F.ln(share / (1 - share))
+    elif season == "multiplicative":
+        target = F.when(F.col(y).isNotNull(), F.ln(F.greatest(F.col(y).cast("double"), F.lit(1.0))))
+    xs = [*features, *hinges, *regressors]
+    stats = covariance_stats(training_rows(rows.withColumn("_target", target), xs, "_target", split), keys, xs, "_target")
+    penalties = [1 / changepoint_prior if x in hinges else 1.0 for x in xs]
+    return solve_ridge(stats, keys, len(xs), alpha, relative=True, penalties=penalties), rows, xs
+
+
+def score_trend(
+    rows: DataFrame, fits: DataFrame, keys: Sequence[str], xs: Sequence[str], season: str = "additive", growth: str = "linear", cap: str = "cap", floor: str = "floor",
+) -> DataFrame:
+    """Forecasts of ``fit_trend_seasonal`` on the scale of the target, never below 0."""
+    scored = rows.join(fits.select(*keys, "intercept", "coefficients"), list(keys), "left").withColumn("_linear", linear_score(xs))
+    made = F.col("_linear")
+    if growth == "logistic":
+        made = F.col(floor) + (F.col(cap) - F.col(floor)) / (1 + F.exp(-F.col("_linear")))
+    elif season == "multiplicative":
+        made = F.exp(F.least(F.col("_linear"), F.lit(60.0)))
+    return scored.withColumn("BILLING_PREDICTED", clip_negative(made)).drop("_linear", "intercept", "coefficients")
 
 
 def autoreg_select(df: DataFrame, keys: Sequence[str], target: str = "BB", order_by: str = "QUARTER_PARSED", max_order: int = 4) -> DataFrame:

@@ -20,6 +20,7 @@ from panelcast.operators import models as M
 from panelcast.operators import monitor as MO
 from panelcast.operators import quality as Q
 from panelcast.operators import windows as X
+from panelcast.operators.params import feature_count as feature_count_of
 from panelcast.operators.params import segment_params
 from panelcast.sources import sinks
 from panelcast.sources.tables import derive_scenario, normalize_column_names, project_existing, scan_latest_version, with_partition
@@ -126,6 +127,50 @@ def diagnose(panel: DataFrame) -> DataFrame:
     return D.diagnostic_verdict(averages, D.pearson_matrix(panel, left=["BB"]), lags)
 
 
+def fitted_rivals(
+    split_rows: DataFrame, keys: Sequence[str], config: dict = DEFAULTS, regressors: Sequence[str] = tuple(REGRESSOR_COLUMNS), segment: str = "MARKET_SEGMENT", y: str = "BB",
+) -> DataFrame:
+    """Forecasts of several fitted models for every row, in long form: the columns of ``split_rows``, MODEL_USED, ``features``, BILLING_PREDICTED and ``error``.
+
+    RIDGE has all regressors, RIDGE_SELECTED those that backward elimination leaves of the ones its segment may use (``EXCLUDE_SELLIN_XGBOOST``), and the piecewise trend
+    comes with an additive season, a multiplicative one, and saturating growth up to the segment's largest training value times 1.2 (``EXCLUDE_SELLIN_PROPHET`` holds
+    for all three). All see training rows only. A failed fit keeps its rows, without a forecast and with its error.
+    """
+    xs = list(regressors)
+    first = [x for x in xs if x.startswith("SELLIN")]
+    usable = {name: M.usable_regressors(split_rows, keys, xs, segment, {x: config[f"EXCLUDE_SELLIN_{name}"] for x in first}) for name in ("XGBOOST", "PROPHET")}
+    chosen = M.select_features(split_rows, keys, xs, feature_count_of(segment, config), y=y)
+    plain = M.fit_ridge(split_rows, keys, xs, y, config["RIDGE_ALPHA"]).withColumn("features", F.array(*[F.lit(x) for x in xs]))
+    selected = M.fit_selected(split_rows, keys, xs, [chosen, usable["XGBOOST"]], y, config["RIDGE_ALPHA"])
+    columns = [*split_rows.columns, "MODEL_USED", "features", "BILLING_PREDICTED", "error"]
+    out = []
+    for name, fits in (("RIDGE", plain), ("RIDGE_SELECTED", selected)):
+        scored = M.score_models(split_rows, fits, keys, xs).join(fits.select(*keys, "features", "error"), list(keys), "left")
+        out.append(scored.withColumn("MODEL_USED", F.lit(name)).select(*columns))
+    top = F.max(F.when(F.col("split") == "train", F.col(y))).over(W.partitionBy(*keys)) * 1.2
+    bounded = split_rows.withColumns({"_cap": top, "_floor": F.lit(0.0)}).join(usable["PROPHET"].withColumnRenamed("selected", "_usable"), list(keys), "left")
+    bounded = bounded.withColumns({x: F.when(F.array_contains("_usable", x), F.col(x)).otherwise(F.lit(0.0)) for x in first})
+    own = split_rows.select(*keys, "QUARTER", *first) if first else None
+    for name, season, growth in (("TREND_ADDITIVE", "additive", "linear"), ("TREND_MULTIPLICATIVE", "multiplicative", "linear"), ("TREND_SATURATING", "additive", "logistic")):
+        fits, rows, features = M.fit_trend_seasonal(bounded, keys, xs, y, season=season, growth=growth, cap="_cap", floor="_floor")
+        scored = capped(M.score_trend(rows, fits, keys, features, season, growth, "_cap", "_floor"), keys, y).join(fits.select(*keys, "error"), list(keys), "left")
+        kept = F.array(*[F.lit(x) for x in xs if x not in first])
+        used = F.array_union(F.array_intersect("_usable", F.array(*[F.lit(x) for x in first])), kept) if first else kept
+        scored = scored.withColumns({"MODEL_USED": F.lit(name), "features": used})
+        if own is not None:  # the excluded values were 0 for the fit alone
+            scored = scored.drop(*first).join(own, [*keys, "QUARTER"])
+        out.append(scored.select(*columns))
+    rows = out[0]
+    for part in out[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
+def rival_champions(rivals: DataFrame, keys: Sequence[str], y: str = "BB") -> DataFrame:
+    """The fitted model with the smallest mean validation error of each series, of those with a finite error above 0."""
+    return H.select_champion(M.val_scores(rivals, [*keys, "MODEL_USED"], y), tuple(keys), score="val_mape", fallbacks=(), metric="val_mape")
+
+
 def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequence[str] = tuple(REGRESSOR_COLUMNS)) -> DataFrame:
     """One configured model per series and no competition.
 
@@ -155,5 +200,5 @@ def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequen
 
 
 __all__ = [
-    "capped", "check_predictions", "diagnose", "evaluate", "failed_champions", "gate", "implausible_champions", "legacy_forecast", "load_panel", "monitor", "run_inference", "train", "training_record",
+    "capped", "check_predictions", "diagnose", "evaluate", "failed_champions", "fitted_rivals", "gate", "implausible_champions", "legacy_forecast", "load_panel", "monitor", "rival_champions", "run_inference", "train", "training_record",
 ]

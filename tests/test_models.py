@@ -196,3 +196,112 @@ def test_fitted_rival_learns_up_to_the_origin_only(spark):
     assert out.filter("PARTITION_COLUMN <> 'short' and RIDGE is null").count() == 0
     long = M.coefficient_rows(M.ridge_to_origin(df, ["PARTITION_COLUMN"], ["a", "b"]), ["PARTITION_COLUMN"], ["a", "b"])
     assert long.count() == 6 and long.filter("regressor = 'a' and abs(x_mean) > 2").count() == 0
+
+
+# ---- subsets of regressors, trends with changepoints
+
+
+def test_each_series_is_fitted_on_its_own_regressors(spark, data):
+    df = spark.createDataFrame(data).withColumn("MARKET_SEGMENT", F.when(F.col("PARTITION_COLUMN") < "p4", "a").otherwise("B"))
+    chosen = {f"p{p}": [["x1", "x3"], ["x2"], ["x1", "x2", "x3"], []][p % 4] for p in range(11)}  # p11 has no choice of its own
+    choice = spark.createDataFrame(list(chosen.items()), "PARTITION_COLUMN string, selected array<string>")
+    usable = M.usable_regressors(df, ["PARTITION_COLUMN"], XS, "MARKET_SEGMENT", {"x3": ["A"], "x1": []})
+    got = {r["PARTITION_COLUMN"]: r for r in M.fit_selected(df, ["PARTITION_COLUMN"], XS, [choice, usable], alpha=2.0).collect()}
+    for p, g in data[data["split"] == "train"].groupby("PARTITION_COLUMN"):
+        xs = [x for x in chosen.get(p, XS) if not (x == "x3" and p < "p4")]
+        assert got[p]["features"] == xs and got[p]["error"] is None
+        if xs:
+            a, b = ridge(g[xs].to_numpy(), g["BB"].to_numpy(), 2.0)
+        else:
+            a, b = g["BB"].mean(), []
+        want = dict(zip(xs, b))
+        assert np.allclose(got[p]["coefficients"], [want.get(x, 0.0) for x in XS], rtol=1e-8, atol=1e-12) and abs(got[p]["intercept"] - a) < 1e-6
+        residual = g["BB"] - a - g[XS].to_numpy() @ [want.get(x, 0.0) for x in XS]
+        assert abs(got[p]["sse"] - (residual**2).sum()) < 1e-5
+
+
+def test_strongest_regressors_by_correlation(spark, data):
+    rows = data.assign(x2=data["x2"].where(data["PARTITION_COLUMN"] != "p1", 7.0))
+    stats = M.covariance_stats(M.training_rows(spark.createDataFrame(rows), XS, "BB"), ["PARTITION_COLUMN"], XS, "BB")
+    got = {r["PARTITION_COLUMN"]: r["selected"] for r in M.strongest_regressors(stats, ["PARTITION_COLUMN"], XS, 2).collect()}
+    for p, g in rows[rows["split"] == "train"].groupby("PARTITION_COLUMN"):
+        strength = {x: abs(np.corrcoef(g[x], g["BB"])[0, 1]) for x in XS if g[x].min() < g[x].max()}
+        assert got[p] == sorted(strength, key=lambda x: -strength[x])[:2]
+
+
+def quarters(n, first=2010):
+    return [(f"{first + i // 4}-Q{i % 4 + 1}", pd.Timestamp(f"{first + i // 4}-{3 * (i % 4) + 1:02d}-01").date()) for i in range(n)]
+
+
+def planted(spark, make, n=40, test=6):
+    rows = []
+    for p, f in make.items():
+        for i, (quarter, day) in enumerate(quarters(n)):
+            rows.append((p, quarter, day, float(f(i)), "train" if i < n - test else "test"))
+    return spark.createDataFrame(rows, "PARTITION_COLUMN string, QUARTER string, QUARTER_PARSED date, BB double, split string")
+
+
+SEASON = [0.0, 30.0, -20.0, 10.0]
+
+
+def error_of(scored, split="test"):
+    rows = scored.filter(F.col("split") == split).groupBy("PARTITION_COLUMN").agg(F.avg(F.abs(F.col("BB") - F.col("BILLING_PREDICTED"))).alias("e"))
+    return {r["PARTITION_COLUMN"]: r["e"] for r in rows.collect()}
+
+
+def test_trend_finds_planted_changepoints(spark):
+    bend = lambda i: 1000 + 20 * i - 45 * max(0, i - 11) + 40 * max(0, i - 22) + SEASON[i % 4]
+    df = planted(spark, {"bent": bend, "straight": lambda i: 500 + 8 * i + SEASON[i % 4], "flat": lambda i: 70.0})
+    key = ["PARTITION_COLUMN"]
+    errors = {}
+    for n in (0, 12):
+        fits, rows, xs = M.fit_trend_seasonal(df, key, [], changepoints=n, changepoint_prior=5.0, alpha=1e-7)
+        errors[n] = error_of(M.score_trend(rows, fits, key, xs))
+    assert errors[12]["bent"] < 10 < 60 < errors[0]["bent"]
+    assert errors[12]["straight"] < 3 and errors[0]["straight"] < 3 and errors[12]["flat"] < 1e-6
+    mean4 = np.mean([abs(bend(i) - np.mean([bend(j) for j in range(30, 34)])) for i in range(34, 40)])
+    assert errors[12]["bent"] < mean4
+    # a small prior holds the trend straight
+    fits, rows, xs = M.fit_trend_seasonal(df, key, [], changepoints=12, changepoint_prior=1e-12, alpha=1e-7)
+    assert abs(error_of(M.score_trend(rows, fits, key, xs))["bent"] - errors[0]["bent"]) < 1
+
+
+def test_multiplicative_season_and_saturating_growth(spark):
+    key = ["PARTITION_COLUMN"]
+    df = planted(spark, {"times": lambda i: 100 * 1.05**i * (1 + SEASON[i % 4] / 100), "grown": lambda i: 1000 / (1 + np.exp(-(i - 20) / 4))})
+    df = df.withColumns({"cap": F.lit(1000.0), "floor": F.lit(0.0)})
+    got = {}
+    for season, growth in (("additive", "linear"), ("multiplicative", "linear"), ("additive", "logistic")):
+        fits, rows, xs = M.fit_trend_seasonal(df, key, [], season=season, growth=growth, changepoints=2, alpha=1e-6)
+        scored = M.score_trend(rows, fits, key, xs, season, growth)
+        got[season, growth] = error_of(scored)
+        if growth == "logistic":
+            assert scored.agg(F.max("BILLING_PREDICTED")).first()[0] <= 1000
+    assert got["multiplicative", "linear"]["times"] < 5 < got["additive", "linear"]["times"]
+    assert got["additive", "logistic"]["grown"] < 10 < got["additive", "linear"]["grown"]
+    with pytest.raises(ValueError):
+        M.fit_trend_seasonal(df, key, [], season="none")
+
+
+def test_no_cap_above_the_floor_is_an_error_row(spark):
+    df = planted(spark, {"none": lambda i: float(i)}).withColumns({"cap": F.lit(0.0), "floor": F.lit(0.0)})
+    fits, rows, xs = M.fit_trend_seasonal(df, ["PARTITION_COLUMN"], [], growth="logistic")
+    scored = M.score_trend(rows, fits, ["PARTITION_COLUMN"], xs, growth="logistic")
+    assert scored.count() == 40 and scored.filter("BILLING_PREDICTED is not null").count() == 0
+
+
+def test_fitted_rivals_compete(spark, data):
+    from panelcast.plans import lifecycle as L
+
+    days = {i: q for i, q in enumerate(quarters(26))}
+    rows = data.assign(QUARTER=[days[i][0] for i in data["i"]], QUARTER_PARSED=[days[i][1] for i in data["i"]], MARKET_SEGMENT="MOBILE", SELLIN=data["x1"], BB=data["BB"].abs())
+    config = L.DEFAULTS | {"EXCLUDE_SELLIN_PROPHET": ["MOBILE"], "EXCLUDE_SELLIN_XGBOOST": []}
+    rivals = L.fitted_rivals(spark.createDataFrame(rows), ["PARTITION_COLUMN"], config, ["SELLIN", "x2", "x3"])
+    got = rivals.toPandas()
+    assert got.groupby("MODEL_USED").size().to_dict() == dict.fromkeys(["RIDGE", "RIDGE_SELECTED", "TREND_ADDITIVE", "TREND_MULTIPLICATIVE", "TREND_SATURATING"], len(rows))
+    assert got["error"].isna().all() and got["BILLING_PREDICTED"].notna().all()
+    assert all("SELLIN" not in f for f in got[got["MODEL_USED"] == "TREND_ADDITIVE"]["features"]) and all("SELLIN" in f for f in got[got["MODEL_USED"] == "RIDGE"]["features"])
+    val = got[got["split"] == "val"].assign(ape=lambda g: 100 * (g["BB"] - g["BILLING_PREDICTED"]).abs() / g["BB"]).groupby(["PARTITION_COLUMN", "MODEL_USED"])["ape"].mean().reset_index()
+    best = {r["PARTITION_COLUMN"]: r for r in L.rival_champions(rivals, ["PARTITION_COLUMN"]).collect()}
+    for p, g in val.groupby("PARTITION_COLUMN"):
+        assert best[p]["MODEL_USED"] == g.sort_values("ape")["MODEL_USED"].iloc[0]
