@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, numbered, runs, slices, span_hashes, utf8
+from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, numbered, runs, slices, span_hashes, utf8, unused, without
 
 WINDOW = 13
 SAMPLE_RATE = 8
@@ -200,7 +200,11 @@ _ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def find_windows(spark: SparkSession, docs: DataFrame, items: Sequence[tuple], *, text: str = "text", prefix: str = "", window: int = WINDOW) -> DataFrame:
-    """The columns of ``docs`` and, with the prefix, n_words, n_hit, items (their ids as strings) and spans, for items that fit in a task."""
+    """The columns of ``docs`` and, with the prefix, n_words, n_hit, items (their ids as strings) and spans, for items that fit in a task.
+
+    Input columns named like the made ones are replaced.
+    """
+    docs = without(docs, *(prefix + n for n in ("n_words", "n_hit", "items", "spans")))
     sent = spark.sparkContext.broadcast(list(items))
     names = docs.columns
     at = names.index(text)
@@ -229,7 +233,12 @@ def find_windows(spark: SparkSession, docs: DataFrame, items: Sequence[tuple], *
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, prefix: str = "", window: int = WINDOW, block_chars: int = 8 << 20) -> DataFrame:
-    """The columns of ``docs`` plus n_words, n_hit, items, spans and ``contaminated``: at least a twentieth of the words lie in windows."""
+    """The columns of ``docs`` plus n_words, n_hit, items, spans and ``contaminated``: at least a twentieth of the words lie in windows.
+
+    Null texts have no words and are clean, as are all with an empty benchmark; repeated items count once, rows of ``docs`` each for itself; a very long text is one
+    shard; hits of equal windows go to every item that has them; input columns named like the made ones are replaced, others may have any names.
+    """
+    docs = without(docs, *(prefix + n for n in ("n_words", "n_hit", "items", "spans", "contaminated")))
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).distinct()
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // block_chars))
@@ -237,7 +246,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
         found = find_windows(spark, docs, [tuple(r) for r in items.collect()], prefix=prefix, window=window)
     else:
         # a document's hits of all blocks meet under the row's place in the files, which is the same in every scan
-        names, number = docs.columns, "__uid"
+        names, free = docs.columns, unused([*docs.columns, prefix])
+        number, every = free + "uid", free + "all"
         known = numbered(docs, number)
         slim = known.select(number, "text")
         parts = []
@@ -248,18 +258,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
         for p in parts[1:]:
             union = union.unionByName(p)
         merged = union.groupBy(number).agg(
-            F.max("n_words").alias(prefix + "n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(prefix + "items"), F.flatten(F.collect_list("spans")).alias("__all")
+            F.max("n_words").alias(prefix + "n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias(prefix + "items"), F.flatten(F.collect_list("spans")).alias(every)
         )
         whole = known.join(merged, number).drop(number)
-        found = _counted(whole, prefix).select(*names, *(prefix + c for c in ("n_words", "n_hit", "items", "spans")))
+        found = _counted(whole, prefix, every).select(*names, *(prefix + c for c in ("n_words", "n_hit", "items", "spans")))
     n_hit, n_words = F.col(prefix + "n_hit"), F.col(prefix + "n_words")
     return found.withColumn(prefix + "contaminated", (n_hit > 0) & (20 * n_hit >= n_words))
 
 
-def _counted(df: DataFrame, prefix: str) -> DataFrame:
+def _counted(df: DataFrame, prefix: str, every: str) -> DataFrame:
     """Merge the spans of several blocks and count the words in them; spans begin and end with words."""
     merged = F.expr(
-        """aggregate(array_sort(__all), cast(array() as array<struct<start: bigint, end: bigint>>), (acc, s) ->
+        f"""aggregate(array_sort({every}), cast(array() as array<struct<start: bigint, end: bigint>>), (acc, s) ->
         case when size(acc) > 0 and element_at(acc, -1).end >= s.start
         then concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, s.end))))
         else concat(acc, array(s)) end)"""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.shared import documents, numbered
+from panelcast.llm.shared import documents, numbered, unused
 from panelcast.llm.spans import listed, placed, scanned, sql_matches
 
 _KEYWORDS = "password|passwd|secret|token|api_?key"
@@ -92,9 +92,13 @@ def redacted(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with every span replaced by a mark, one for copied examples and one for all others; ``n_chars`` follows where there is such a column.
 
     Matching again by value would miss positions, so the texts are joined with their spans by the place of the row in the files that ``docs`` is read from. Overlapping spans are merged.
+    Null texts stay null, texts without spans as they are; other columns may have any names.
     """
-    known = numbered(docs, "__uid")
-    _, spans = secret_spans(spark, known, **settings)
+    free = unused(docs.columns)
+    uid, own = free + "uid", free + "pieces"
+    known = numbered(docs, uid)
+    read = dict.fromkeys(["doc_id", "text", settings.get("owner", "source"), *settings.get("repository", ("lang",))])
+    _, spans = secret_spans(spark, known.select(*read, F.col(uid).alias("__uid")), **settings)
     # merge overlapping spans: a new group starts where no earlier span reaches
     order = Window.partitionBy("__uid").orderBy("start", "kind")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -102,15 +106,15 @@ def redacted(spark: SparkSession, docs: DataFrame, **settings) -> DataFrame:
     merged = spans.withColumn("g", group).groupBy("__uid", "g").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("shared").alias("shared"))
     # each piece carries the plain text from the end of the piece before it
     last = F.coalesce(F.lag("end").over(Window.partitionBy("__uid").orderBy("start")), F.lit(0))
-    pieces = merged.withColumn("from", last).groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "from", "end", "shared"))).alias("__pieces"))
+    pieces = merged.withColumn("from", last).groupBy("__uid").agg(F.array_sort(F.collect_list(F.struct("start", "from", "end", "shared"))).alias(own)).withColumnRenamed("__uid", uid)
     mark = lambda x: F.when(x["shared"], F.lit("[EXAMPLE_KEY]")).otherwise(F.lit("[SECRET]"))
     cut = lambda a, n: F.substring(F.col("text"), (a + 1).cast("int"), n.cast("int"))
-    body = F.transform("__pieces", lambda x: F.concat(cut(x["from"], x["start"] - x["from"]), mark(x)))
-    tail = F.substring(F.col("text"), (F.element_at("__pieces", -1)["end"] + 1).cast("int"), F.length("text"))
-    joined = known.join(pieces, "__uid", "left")
-    clean = joined.withColumn("text", F.when(F.col("__pieces").isNull(), F.col("text")).otherwise(F.concat(F.array_join(body, ""), tail)))
+    body = F.transform(own, lambda x: F.concat(cut(x["from"], x["start"] - x["from"]), mark(x)))
+    tail = F.substring(F.col("text"), (F.element_at(own, -1)["end"] + 1).cast("int"), F.length("text"))
+    joined = known.join(pieces, uid, "left")
+    clean = joined.withColumn("text", F.when(F.col(own).isNull(), F.col("text")).otherwise(F.concat(F.array_join(body, ""), tail)))
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.col("__pieces").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        clean = clean.withColumn("n_chars", F.when(F.col(own).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)
 
 

@@ -31,16 +31,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def unused(names: list[str], prefix: str = "__") -> str:
+    """A prefix that none of these names begins with, so that columns named with it clash with none (Spark ignores case)."""
+    while any(n.lower().startswith(prefix) for n in names):
+        prefix += "_"
+    return prefix
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names in any case."""
+    gone = {n.lower() for n in names}
+    return df.drop(*(c for c in df.columns if c.lower() in gone))
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs``, read from files, with a number for each row: the place of its file in path order, then its own place in the file.
 
     Unlike ``monotonically_increasing_id`` it is the same in every scan of the same files, however they are cut and packed into partitions. A frame
     that is no plain read of files raises an error. One row per file is broadcast.
     """
-    paths = docs.select(F.col("_metadata.file_path").alias("__file")).distinct()
-    places = paths.select("__file", F.row_number().over(Window.orderBy("__file")).cast("long").alias("__place"))
-    rows = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return rows.join(F.broadcast(places), "__file").select(*docs.columns, (F.shiftleft("__place", 40) + F.col("__row")).alias(name))
+    free = unused([*docs.columns, name])
+    file, place, row = free + "file", free + "place", free + "row"
+    paths = docs.select(F.col("_metadata.file_path").alias(file)).distinct()
+    places = paths.select(file, F.row_number().over(Window.orderBy(file)).cast("long").alias(place))
+    rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    return rows.join(F.broadcast(places), file).select(*docs.columns, (F.shiftleft(place, 40) + F.col(row)).alias(name))
 
 
 def range_bounds(df: DataFrame, key, parts: int) -> list[int]:

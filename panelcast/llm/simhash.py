@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.components import components
-from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, numbered, runs, slices, stored, utf8
+from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, numbered, runs, slices, stored, utf8, unused
 
 WORDS = 4
 BITS = 4
@@ -206,13 +206,17 @@ def deduplicated(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of each component: the smallest ``doc_id`` (null before all), the first in the files among equal ids.
 
     ``docs`` is read from files: rows are numbered by their place in the files, fingerprints and numbers are stored, and only the second
-    scan carries texts.
+    scan carries texts. It leaves out the numbers of the rows that go: where these are few enough to be broadcast, no text is shuffled. Rows meet
+    their class as one first row for each fingerprint, so copies are no hot key. Other columns may have any names.
     """
-    known = numbered(docs, "__uid")
-    rows = stored(spark, with_fingerprints(known.select("doc_id", "text", "__uid")).drop("text"), "simhash")
+    uid = unused(docs.columns) + "uid"
+    known = numbered(docs, uid)
+    rows = stored(spark, with_fingerprints(known.select("doc_id", "text", F.col(uid).alias("uid"))).drop("text"), "simhash")
     classes = near_duplicates(spark, rows).select("fp", "root")
-    kept = rows.join(classes, "fp").groupBy("root").agg(F.min(F.struct("doc_id", "__uid")).alias("first")).select(F.col("first.__uid").alias("__uid"))
-    return known.join(stored(spark, kept, "kept"), "__uid", "left_semi").select(*docs.columns)
+    firsts = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "uid")).alias("first")).join(classes, "fp")
+    kept = stored(spark, firsts.groupBy("root").agg(F.min("first").alias("first")).select("first.uid"), "kept")
+    gone = stored(spark, rows.select("uid").join(kept, "uid", "left_anti"), "gone")
+    return known.join(gone.withColumnRenamed("uid", uid), uid, "left_anti").select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
