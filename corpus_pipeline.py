@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import fmindex, packing, secrets, simhash, toxicity
-from panelcast.llm.shared import documents, stored
+from panelcast.llm.shared import documents, stored, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose score stays below 0.3, by a model of this stage's own input."""
+    free = unused(docs.columns)
     model = toxicity.train(spark, docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(spark, docs, model, prefix="__").filter("__predicted = 0").select(*docs.columns)
+    return toxicity.score(spark, docs, model, prefix=free).filter(F.col(free + "predicted") == 0).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +29,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents at least a twentieth of whose words lie in benchmark windows; others stay as they are."""
-    found = fmindex.decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), prefix="__")
-    return found.filter("not __contaminated").select(*docs.columns)
+    free = unused(docs.columns)
+    found = fmindex.decontaminate(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), prefix=free)
+    return found.filter(~F.col(free + "contaminated")).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
