@@ -12,12 +12,14 @@ from panelcast.catalog.projections import KEYS
 from panelcast.catalog.registry import register
 from panelcast.catalog.scans import QUERY_CONFIG
 from panelcast.config import REGRESSOR_COLUMNS
+from panelcast.operators import estimators as G
 from panelcast.operators import explain as E
 from panelcast.operators import horizon as H
 from panelcast.operators import models as M
 from panelcast.operators import params as P_
 from panelcast.operators import windows as X
 from panelcast.plans import lifecycle as L
+from panelcast.session import staged
 
 P = "PARTITION_COLUMN"
 _VALUE = "CASE {r} " + " ".join(f"WHEN '{r}' THEN p.{r}" for r in REGRESSORS) + " END"
@@ -190,6 +192,53 @@ register(
 )
 
 
+def _trained(spark: SparkSession, d: str) -> DataFrame:
+    """All configured families of the newest snapshot, fitted once for the queries that read them."""
+    settings = P_.params_table(spark, QUERY_CONFIG)
+    return staged(spark, "families", d, lambda: L.train_configured(S.split_panel(spark, d), [P], QUERY_CONFIG, settings))
+
+
+register("train_families", lambda s, d: _trained(s, d).drop("_quarters", "forecasts"))
+register("family_forecasts", lambda s, d: G.family_forecasts(_trained(s, d), [P]))
+register("family_champions", lambda s, d: G.family_champions(_trained(s, d), [P]))
+
+
+def _leaderboard(family: G.Family):
+    return lambda s, d: M.topk_params(G.grid_leaderboard(S.split_panel(s, d), [P], family), 10)
+
+
+register("grid_trend", _leaderboard(L.configured_families(QUERY_CONFIG)["PROPHET"]))
+register("grid_trees", _leaderboard(L.configured_families(QUERY_CONFIG)["XGBOOST"]))
+register(
+    "grid_ridge",
+    lambda s, d: G.grid_leaderboard(S.split_panel(s, d), [P], G.Family("ridge", _SINGLE, {"alpha": [1e3, 1e12, 1e13, 1e14]}, metric="ape")).select(
+        P, "n", F.get_json_object("params", "$.alpha").cast("double").alias("alpha"), "val_ape", "val_mae", "rank", "combinations", "error"
+    ),
+    f"""WITH st AS (SELECT PARTITION_COLUMN, count(BB) FILTER (WHERE split = 'train') AS n, covar_pop(BB, coalesce(SELLIN_MINUS3_MONTH, 0)) FILTER (WHERE split = 'train' AND BB IS NOT NULL) AS xy,
+            var_pop(coalesce(SELLIN_MINUS3_MONTH, 0)) FILTER (WHERE split = 'train' AND BB IS NOT NULL) AS xx, avg(BB) FILTER (WHERE split = 'train') AS yb,
+            avg(coalesce(SELLIN_MINUS3_MONTH, 0)) FILTER (WHERE split = 'train' AND BB IS NOT NULL) AS xb FROM split_panel GROUP BY PARTITION_COLUMN),
+          fits AS (SELECT PARTITION_COLUMN, alpha, n, yb, xb, xy / (xx + alpha / n) AS b FROM st CROSS JOIN (VALUES (1e3), (1e12), (1e13), (1e14)) g(alpha)),
+          sc AS (SELECT f.PARTITION_COLUMN, f.alpha, f.n, v.BB AS y, CASE WHEN f.n >= 6 THEN greatest(f.yb - f.b * f.xb + f.b * coalesce(v.SELLIN_MINUS3_MONTH, 0), 0.0) END AS p
+            FROM fits f LEFT JOIN split_panel v ON v.PARTITION_COLUMN = f.PARTITION_COLUMN AND v.split = 'val' AND v.BB IS NOT NULL),
+          a AS (SELECT PARTITION_COLUMN, alpha, n, avg({ape('y', 'p')}) AS val_ape, avg(abs(y - p)) AS val_mae FROM sc GROUP BY ALL)
+        SELECT PARTITION_COLUMN, n, alpha, val_ape, val_mae, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY round(val_ape, 9) NULLS LAST, alpha) AS rank, 4 AS combinations,
+          CASE WHEN n < 6 THEN 'Insufficient training data: ' || n || ' rows' END AS error FROM a""",
+    {4: "val_mae", 6: "val_ape"},
+)
+register("direct_sequence", lambda s, d: G.direct_sequence(S.split_panel(s, d), [P])[1])
+register(
+    "direct_sequence_one_lag",
+    lambda s, d: G.direct_sequence(S.split_panel(s, d), [P], lookback=1, alpha=0.0)[1].select(P, "step", "BILLING_PREDICTED"),
+    """WITH tr AS (SELECT PARTITION_COLUMN, BB::DOUBLE AS y, avg(BB::DOUBLE) OVER (PARTITION BY PARTITION_COLUMN) AS m, row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY QUARTER) AS i,
+            row_number() OVER (PARTITION BY PARTITION_COLUMN ORDER BY QUARTER DESC) AS back FROM split_panel WHERE split = 'train'),
+          z AS (SELECT *, CASE WHEN m > 0 THEN y / m END AS z FROM tr),
+          fit AS (SELECT h.step, regr_slope(b.z, a.z) AS slope, regr_intercept(b.z, a.z) AS start FROM range(1, 7) h(step) JOIN z a ON a.z IS NOT NULL
+            JOIN z b ON b.PARTITION_COLUMN = a.PARTITION_COLUMN AND b.i = a.i + h.step AND b.z IS NOT NULL GROUP BY h.step)
+        SELECT PARTITION_COLUMN, step::INTEGER AS step, CASE WHEN z IS NOT NULL THEN greatest((start + slope * z) * m, 0.0) END AS BILLING_PREDICTED FROM z CROSS JOIN fit WHERE back = 1""",
+    {2: "BILLING_PREDICTED"},
+)
+
+
 def _split_forecasts(spark: SparkSession, d: str) -> DataFrame:
     return X.split_train_val_test(S.forecasts(spark, d), [P, "MODEL_USED"])
 

@@ -1,6 +1,6 @@
 """Model families that need the rows of a series: piecewise trends, boosted trees, autoregressions and ridges, searched over grids.
 
-A series has at most one row per calendar quarter, so its rows are one small array. Spark deals the series out by key in one shuffle;
+A series has at most one row per calendar quarter, so its rows are one small array. Spark groups and deals out the series by key;
 within a task a block of series is fitted together, every step of a kernel being one numpy operation over the block.
 """
 
@@ -103,7 +103,7 @@ def trend(
     return fitted, [{"slopes": b[: 1 + n_changepoints].tolist()} for b in beta]
 
 
-def _split_level(block: Block, node: np.ndarray, rank: np.ndarray, grad: np.ndarray, weight: np.ndarray, columns: np.ndarray, smallest: float, score: Callable):
+def _split_level(x: np.ndarray, node: np.ndarray, rank: np.ndarray, grad: np.ndarray, weight: np.ndarray, columns: np.ndarray, smallest: float, score: Callable):
     """Move every row one level down: left of the best threshold of its node, which is nowhere but left where no split gains."""
     s, r = node.shape
     sub = rank[:, columns, :]
@@ -133,9 +133,9 @@ def _split_level(block: Block, node: np.ndarray, rank: np.ndarray, grad: np.ndar
         feature = columns[f_i[chosen]]
         here, following = (order[s_i[chosen], f_i[chosen], r_i[chosen] + k] for k in (0, 1))
         best_of[at[chosen]] = feature
-        limit[at[chosen]] = (block.x[s_i[chosen], here, feature] + block.x[s_i[chosen], following, feature]) / 2
+        limit[at[chosen]] = (x[s_i[chosen], here, feature] + x[s_i[chosen], following, feature]) / 2
     mine = best_of[slot]
-    value = np.take_along_axis(block.x, np.maximum(mine, 0)[:, :, None], axis=2)[:, :, 0]
+    value = np.take_along_axis(x, np.maximum(mine, 0)[:, :, None], axis=2)[:, :, 0]
     right = (mine >= 0) & (value > limit[slot])
     _, packed = np.unique(2 * node + right, return_inverse=True)
     return packed.reshape(node.shape), bool((best_of >= 0).any())
@@ -164,31 +164,35 @@ def boosted(
     made = np.repeat((np.where(use, y, 0.0).sum(axis=1) / np.maximum(use.sum(axis=1), 1))[:, None], y.shape[1], axis=1)
     best, kept, since = made.copy(), np.zeros(len(y), dtype=int), np.zeros(len(y), dtype=int)
     watch = check.any(axis=1)
-    error_of = lambda p: np.abs((p - y) * check).sum(axis=1)
-    lowest = error_of(made)
+    lowest = np.abs((made - y) * check).sum(axis=1)
     rng = np.random.default_rng(random_state)
     n_columns = block.x.shape[2]
+    on = np.arange(len(y))  # series that still grow; the others leave the arrays
+    x = block.x
     for tree in range(1, n_estimators + 1):
         rows = np.random.default_rng((random_state, tree)).random(y.shape[1]) < subsample
         columns = np.sort(rng.permutation(n_columns)[: max(1, math.ceil(colsample_bytree * n_columns))])
         weight = (use & rows[None, :]).astype(float)
         node, grad = np.zeros(y.shape, dtype=int), y - made
+        sampled = np.where(weight[:, None, :] > 0, rank, y.shape[1])
         for _ in range(max_depth):
-            node, split = _split_level(block, node, np.where(weight[:, None, :] > 0, rank, y.shape[1]), grad, weight, columns, min_child_weight, score)
+            node, split = _split_level(x, node, sampled, grad, weight, columns, min_child_weight, score)
             if not split:
                 break
         slot = np.arange(len(y))[:, None] * (node.max() + 1) + node
         size = len(y) * (node.max() + 1)
         g, w = (np.bincount(slot.ravel(), v.ravel(), minlength=size) for v in (grad * weight, weight))
         leaf = np.where(w > 0, shrink(g) / np.maximum(w + reg_lambda, 1e-12), 0.0)
-        running = ~watch | (since < early_stopping_rounds)
-        made = np.where(running[:, None], made + learning_rate * leaf[slot], made)
-        now = error_of(made)
-        better = running & (~watch | (now < lowest - 1e-9))
-        best, lowest, kept = np.where(better[:, None], made, best), np.where(better, now, lowest), np.where(better, tree, kept)
-        since = np.where(better, 0, since + 1)
-        if not (~watch | (since < early_stopping_rounds)).any():
+        made = made + learning_rate * leaf[slot]
+        now = np.abs((made - y) * check).sum(axis=1)
+        better = ~watch | (now < lowest - 1e-9)
+        best[on[better]], kept[on[better]] = made[better], tree
+        lowest, since = np.where(better, now, lowest), np.where(better, 0, since + 1)
+        stay = since < early_stopping_rounds
+        if not stay.any():
             break
+        if not stay.all():
+            on, x, y, use, check, rank, made, watch, lowest, since = (a[stay] for a in (on, x, y, use, check, rank, made, watch, lowest, since))
     return best, [{"trees": int(k)} for k in kept]
 
 
@@ -277,13 +281,17 @@ KERNELS: dict[str, Callable] = {"ridge": ridge, "trend": trend, "boosted": boost
 
 @dataclass(frozen=True)
 class Family:
-    """An estimator, its regressors, a grid of settings of which ``n_iter`` are tried (0: all), and the validation error (``mae`` or ``ape``) that decides."""
+    """An estimator, its regressors, a grid of settings of which ``n_iter`` are tried (0: all), and the validation error (``mae`` or ``ape``) that decides.
+
+    ``excluded`` lists the segments that must not use a regressor; for their series it is constant, which no estimator uses.
+    """
 
     estimator: str
     xs: Sequence[str] = ()
     grid: Mapping[str, Sequence] = field(default_factory=dict)
     n_iter: int = 0
     metric: str = "mae"
+    excluded: Mapping[str, Sequence[str]] = field(default_factory=dict)
     seed: int = 42
 
     def settings(self) -> list[dict]:
@@ -313,6 +321,15 @@ TREE_GRID = {
     "subsample": [0.4, 0.5, 0.6, 0.8],
     "colsample_bytree": [0.5, 0.7, 0.8, 0.9],
 }
+LEAF_GRID = {
+    "n_estimators": [10, 20, 40, 60, 100],
+    "learning_rate": [0.01, 0.05, 0.1, 0.2],
+    "max_depth": [3, 4, 6, 10],
+    "min_child_weight": [3, 5, 10, 20, 30],
+    "reg_alpha": [0, 0.1, 1.0],
+    "reg_lambda": [0, 0.1, 1.0, 5.0],
+}
+CAT_GRID = {"n_estimators": [50, 100, 200], "learning_rate": [0.01, 0.05, 0.1], "max_depth": [2, 3, 4, 6], "reg_lambda": [1, 3, 5, 10], "min_child_weight": [1, 3, 5]}
 
 
 def sample_grid(grid: Mapping[str, Sequence], n_iter: int = 0, seed: int = 42) -> list[dict]:
@@ -333,15 +350,17 @@ def sample_grid(grid: Mapping[str, Sequence], n_iter: int = 0, seed: int = 42) -
 def packed_series(df: DataFrame, keys: Sequence[str], xs: Sequence[str], y: str = "BB", split: str = "split", quarter: str = "QUARTER") -> DataFrame:
     """One row per series: ``_quarters`` and ``_rows`` (quarter number, role, target, regressors), in order of time; missing regressors are 0.
 
-    The partition count is given, so that small arrays with much work behind them are not merged into one task.
+    The arrays are small but have much work behind them: after grouping they are dealt out over twice as many partitions as there are cores (at most
+    ``spark.sql.shuffle.partitions``), which adaptive execution does not merge. They are dealt by a hash of the keys, so a retried task gets the same series.
     """
     role = F.when(F.col(split) == "train", float(TRAIN)).when(F.col(split) == "val", float(VAL)).otherwise(float(OTHER))
     number = F.coalesce(F.col(y).cast("double"), F.lit(float("nan")))
     numbers = F.array(quarter_index(quarter).cast("double"), role, number, *[F.coalesce(F.col(x).cast("double"), F.lit(0.0)) for x in xs])
     row = F.struct(quarter_index(quarter).alias("i"), F.col(quarter).alias("q"), numbers.alias("v"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    session = df.sparkSession
+    parts = min(int(session.conf.get("spark.sql.shuffle.partitions")), 2 * session.sparkContext.defaultParallelism)
     dated = df.filter(quarter_index(quarter).isNotNull()).select(*keys, row.alias("_r"))
-    grouped = dated.repartition(parts, *keys).groupBy(*keys).agg(F.sort_array(F.collect_list("_r")).alias("_r"))
+    grouped = dated.groupBy(*keys).agg(F.sort_array(F.collect_list("_r")).alias("_r")).repartition(parts, F.xxhash64(*keys))
     return grouped.select(*keys, F.col("_r.q").alias("_quarters"), F.col("_r.v").alias("_rows"))
 
 
@@ -426,7 +445,7 @@ def train_families(
     df: DataFrame, keys: Sequence[str], families: Mapping[str, Family], allowed: DataFrame | None = None, segment: str = "MARKET_SEGMENT",
     y: str = "BB", split: str = "split", quarter: str = "QUARTER", min_rows: int = 6,
 ) -> DataFrame:
-    """All series x all families in one plan and one shuffle, each family by its own estimator and over its own grid; one row each.
+    """All series x all families in one plan, the rows shuffled once and their arrays dealt out once, each family by its own estimator and over its own grid; one row each.
 
     The setting with the smallest validation error counts (ties by place in the grid; the first that works where there is nothing to validate on). ``tried`` and ``failures`` count settings,
     ``params`` and ``fit`` are JSON, ``_quarters`` and ``forecasts`` run in parallel over the rows of the series. ``allowed`` (segment, model) marks what is configured; the rest is SKIPPED and not
@@ -441,7 +460,7 @@ def train_families(
         packed = packed.withColumn("_models", F.array(*[F.lit(m) for m in families]))
     else:
         lists = allowed.groupBy(segment).agg(F.collect_set(F.upper("model")).alias("_models"))
-        packed = packed.join(lists, segment, "left").withColumn("_models", F.coalesce("_models", F.array().cast("array<string>")))
+        packed = packed.join(F.broadcast(lists), segment, "left")  # a row per configured segment.withColumn("_models", F.coalesce("_models", F.array().cast("array<string>")))
     text, real = T.StringType(), T.DoubleType()
     fields = [("MODEL_USED", text), ("estimator", text), ("n", T.LongType()), ("tried", T.IntegerType()), ("failures", T.IntegerType()), ("params", text), ("fit", text)]
     fields += [("val_mae", real), ("val_ape", real), ("error", text), ("_quarters", T.ArrayType(text)), ("forecasts", T.ArrayType(real))]
@@ -456,7 +475,11 @@ def train_families(
                 out["MODEL_USED"], out["estimator"], out["n"] = model, family.estimator, n
                 wanted = np.array([model.upper() in set(m) for m in part["_models"]])
                 rows = np.flatnonzero(wanted & (n >= min_rows))
-                found = _best(Block(block.x[rows][:, :, places[model]], block.y[rows], block.t[rows], block.role[rows]), family, settings[model]) if len(rows) else []
+                x = block.x[rows][:, :, places[model]]
+                for i, name in enumerate(family.xs):
+                    barred = {v.upper() for v in family.excluded.get(name, ())}
+                    x[[str(v).upper() in barred for v in part[segment].iloc[rows]], :, i] = 0.0
+                found = _best(Block(x, block.y[rows], block.t[rows], block.role[rows]), family, settings[model]) if len(rows) else []
                 results = dict(zip(rows.tolist(), found))
                 nothing = (0, 0, None, None, None, None, None)
                 cells = [results.get(i, nothing) for i in range(len(part))]

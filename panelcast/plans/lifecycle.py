@@ -15,6 +15,7 @@ from panelcast.config import BRAND_KEY_COLUMNS, DEFAULTS, REGRESSOR_COLUMNS
 from panelcast.functions.metrics import ape
 from panelcast.operators import clean as C
 from panelcast.operators import diagnose as D
+from panelcast.operators import estimators as G
 from panelcast.operators import horizon as H
 from panelcast.operators import models as M
 from panelcast.operators import monitor as MO
@@ -171,6 +172,28 @@ def rival_champions(rivals: DataFrame, keys: Sequence[str], y: str = "BB") -> Da
     return H.select_champion(M.val_scores(rivals, [*keys, "MODEL_USED"], y), tuple(keys), score="val_mape", fallbacks=(), metric="val_mape")
 
 
+def configured_families(config: dict = DEFAULTS, regressors: Sequence[str] = tuple(REGRESSOR_COLUMNS), n_iter: int = 50) -> dict[str, G.Family]:
+    """The estimator, grid and exclusions behind each model name: piecewise trends, three kinds of boosted trees, a ridge, and an autoregression without regressors."""
+    xs = list(regressors)
+    first = [x for x in xs if x.startswith("SELLIN")]
+    barred = {name: {x: config[f"EXCLUDE_SELLIN_{name}"] for x in first} for name in ("PROPHET", "XGBOOST")}
+    return {
+        "PROPHET": G.Family("trend", xs, G.TREND_GRID, n_iter, "ape", barred["PROPHET"]),
+        "XGBOOST": G.Family("boosted", xs, G.TREE_GRID, n_iter, excluded=barred["XGBOOST"]),
+        "LIGHTGBM": G.Family("boosted", xs, G.LEAF_GRID, n_iter, excluded=barred["XGBOOST"]),
+        "CATBOOST": G.Family("boosted", xs, G.CAT_GRID, n_iter, excluded=barred["XGBOOST"]),
+        "RIDGE": G.Family("ridge", xs, {"alpha": [0.1, 1.0, 10.0, 1e3, 1e6, 1e9, 1e12]}, excluded=barred["XGBOOST"]),
+        "AUTOARIMA": G.Family("autoregression"),
+    }
+
+
+def train_configured(split_rows: DataFrame, keys: Sequence[str], config: dict, params: DataFrame, segment: str = "MARKET_SEGMENT", n_iter: int = 50) -> DataFrame:
+    """``train_families`` over ``configured_families``: the names a segment is configured for, and the two baselines RIDGE and AUTOARIMA for all."""
+    settings = segment_params(split_rows.select(segment).distinct(), params.select(segment, "models"))
+    names = F.concat(F.coalesce("models", F.array().cast("array<string>")), F.array(F.lit("ridge"), F.lit("autoarima")))
+    return G.train_families(split_rows, keys, configured_families(config, n_iter=n_iter), settings.select(segment, F.explode(names).alias("model")), segment)
+
+
 def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequence[str] = tuple(REGRESSOR_COLUMNS)) -> DataFrame:
     """One configured model per series and no competition.
 
@@ -200,5 +223,5 @@ def legacy_forecast(split_rows: DataFrame, params: DataFrame, regressors: Sequen
 
 
 __all__ = [
-    "capped", "check_predictions", "diagnose", "evaluate", "failed_champions", "fitted_rivals", "gate", "implausible_champions", "legacy_forecast", "load_panel", "monitor", "rival_champions", "run_inference", "train", "training_record",
+    "capped", "check_predictions", "configured_families", "diagnose", "evaluate", "failed_champions", "fitted_rivals", "gate", "implausible_champions", "legacy_forecast", "load_panel", "monitor", "rival_champions", "run_inference", "train", "train_configured", "training_record",
 ]
