@@ -1,10 +1,10 @@
 """The quarterly panel derived from the order tables.
 
-Scale notes: line items are reduced per order before they meet ``orders``, and the result is reduced
-per (customer, quarter) before it meets ``customer``. Both reductions run map-side first, so neither a
-huge order nor a customer with a third of all orders reaches one task unreduced. Money is summed as
-whole numbers (cents, or cents scaled by the rates), hence the sums are exact and identical after any
-retry. What is left is one row per series and quarter: a series can never be longer than the calendar.
+Scale notes: line items are reduced per order before they meet ``orders``, map-side first, so a huge
+order does not reach one task unreduced. Orders know their series by then, hence what comes out of that join
+is reduced map-side to one row per series and quarter, and no other shuffle has a row per order and sums. Money is
+summed as whole numbers (cents, or cents scaled by the rates), hence the sums are exact and identical after any
+retry. A series can never be longer than the calendar.
 """
 
 from __future__ import annotations
@@ -41,11 +41,11 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: list price, discounted price and charged price, as exact whole numbers.
 
-    The scan side sums 64-bit numbers only, which stays in generated code. The two products are summed as
-    high and low part, so not even an order with a third of all lines could overflow, and put together
-    as decimals once per order.
+    Only 64-bit numbers are summed, which stays in generated code. The two products are summed as
+    high and low part, so not even an order with a third of all lines could overflow; ``base_quarters``
+    puts them together.
     """
-    parts = (
+    return (
         read_table(spark, sf_dir, "lineitem")
         .select("l_orderkey", exact_cents("l_extendedprice").alias("p"), (100 - exact_cents("l_discount")).alias("k"), (100 + exact_cents("l_tax")).alias("c"))
         .selectExpr("l_orderkey", "p AS mof", "p * k AS sellin", "p * k * c AS sr")
@@ -55,36 +55,27 @@ def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
             *[F.sum(F.expr(e)).alias(n) for n, e in {"d_hi": "sellin div 10000", "d_lo": "sellin % 10000", "s_hi": "sr div 1000000", "s_lo": "sr % 1000000"}.items()],
         )
     )
-    return parts.selectExpr(
-        "l_orderkey",
-        "CAST(mof AS DECIMAL(20,0)) AS mof",
-        "CAST(CAST(d_hi AS DECIMAL(20,0)) * 10000 + d_lo AS DECIMAL(28,0)) AS sellin",
-        "CAST(CAST(s_hi AS DECIMAL(20,0)) * 1000000 + s_lo AS DECIMAL(28,0)) AS sr",
-    )
 
 
-def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target and signals per series and quarter, every quarter from the first order to the end of the calendar present."""
+def series_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: its series, quarter and amount. Orders and customers are narrow here, so this join is cheap and adaptive execution splits a huge customer."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", date_quarter_index("o_orderdate").alias("qi"), exact_cents("o_totalprice").alias("bb")
     )
-    per_customer = (
-        orders.join(line_sums(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .groupBy("o_custkey", "qi")
-        .agg(
-            F.sum(F.col("bb").cast("decimal(18,0)")).alias("bb"),
-            *[F.sum(c).alias(c) for c in ("mof", "sellin", "sr")],
-        )
-    )
-    customers = read_table(spark, sf_dir, "customer").select(
-        "c_custkey",
-        F.col("c_mktsegment").alias("MARKET_SEGMENT"),
-        F.col("c_nationkey").cast("string").alias("BRAND"),
-    )
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("MARKET_SEGMENT"), "c_nationkey")
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+
+
+def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and signals per series and quarter, every quarter from the first order to the end of the calendar present."""
+    halves = {"bb_hi": "bb div 1000000", "bb_lo": "bb % 1000000", "m_hi": "mof div 1000000", "m_lo": "mof % 1000000", "d_hi": "d_hi", "d_lo": "d_lo", "s_hi": "s_hi", "s_lo": "s_lo"}
+    whole = lambda part, scale: f"CAST(CAST({part}_hi AS DECIMAL(20,0)) * {scale} + {part}_lo AS DECIMAL(28,0))"
     sums = (
-        per_customer.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy(*GRAIN, "qi")
-        .agg(*[F.sum(c).alias(c) for c in ("bb", "mof", "sellin", "sr")])
+        series_orders(spark, sf_dir)
+        .join(line_sums(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .groupBy("MARKET_SEGMENT", F.col("c_nationkey").cast("string").alias("BRAND"), "qi")
+        .agg(*[F.sum(F.expr(e)).alias(n) for n, e in halves.items()])
+        .selectExpr(*GRAIN, "qi", f"{whole('bb', 1000000)} AS bb", f"{whole('m', 1000000)} AS mof", f"{whole('d', 10000)} AS sellin", f"{whole('s', 1000000)} AS sr")
     )
     # A calendar array per series, built where the sums already are: no second pass over the orders.
     wide = sums.groupBy(*GRAIN).agg(

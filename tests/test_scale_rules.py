@@ -35,6 +35,29 @@ def test_calendar_follows_the_orders(spark, tmp_path):
     assert {r[0] for r in known} == {"1998Q2", "2010Q3"}
 
 
+def test_panel_is_reduced_to_series_where_orders_meet_lines(spark, tmp_path):
+    """No aggregate or shuffle of sums by customer: orders know their series before they meet their lines."""
+    day = dt.datetime(2001, 2, 1)
+    orders = [(1, 1, 10.0, day), (2, 1, 4e16, day), (3, 2, 7e16, day), (4, 9, 5.0, day), (5, None, 5.0, day)]
+    lines = [(1, 5.0, 0.1, 0.02), (1, 7.0, 0.0, 0.0), (3, 1.0, 0.5, 0.0), (4, 8.0, 0.0, 0.0), (77, 9.0, 0.0, 0.0)]
+    customers = [(1, "A", 3), (2, "A", 3), (3, "B", 1)]  # order 4 has an unknown customer
+    folder = str(tmp_path)
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_extendedprice double, l_discount double, l_tax double").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_mktsegment string, c_nationkey long").write.parquet(f"{folder}/customer.parquet")
+    base = panel.base_quarters(spark, folder)
+    plan = base._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda words: [line.index(words[0]) for line in plan if all(w in line for w in words)]
+    assert not depth(["Aggregate [", "o_custkey"])
+    series, lined, owned = depth(["Aggregate [", "MARKET_SEGMENT", "qi"]), depth(["Join LeftOuter", "l_orderkey"]), depth(["Join Inner", "c_custkey"])
+    assert max(series) < lined[0] < owned[0]
+    got = {(r.MARKET_SEGMENT, r.BRAND): r for r in base.filter("qi = 2001 * 4").collect()}
+    assert set(got) == {("A", "3")}
+    row = got["A", "3"]
+    assert row.BB == float(4 * 10**18 + 7 * 10**18 + 1000) / 100  # beyond 64 bits in cents
+    assert (row.MOF, row.SELLIN, row.SR) == (13.0, 12.0, 12.09)
+
+
 def test_rewritten_tables_are_read_anew(spark, tmp_path):
     folder = str(tmp_path)
     write_orders(spark, folder, [dt.datetime(2001, 2, 1), dt.datetime(2004, 2, 1)])
