@@ -1,10 +1,11 @@
 """The quarterly panel derived from the order tables.
 
-Scale notes: line items are reduced per order before they meet ``orders``, map-side first, so a huge
-order does not reach one task unreduced. Orders know their series by then, hence what comes out of that join
-is reduced map-side to one row per series and quarter, and no other shuffle has a row per order and sums. Money is
-summed as whole numbers (cents, or cents scaled by the rates), hence the sums are exact and identical after any
-retry. A series can never be longer than the calendar.
+Scale notes: orders get their series from the customers while they are narrow. Line items meet them as
+they are, since a reduction per order needs a table of nearly all orders in each scan task; what comes out
+of that join is reduced map-side to one row per series and quarter. Both joins are inner and nothing is aggregated before
+them, so adaptive execution splits a huge order and a huge customer. Money is summed as whole numbers (cents, or
+cents scaled by the rates), hence the sums are exact and identical after any retry. A series can never be
+longer than the calendar.
 """
 
 from __future__ import annotations
@@ -38,22 +39,10 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ends.withColumn("last_qi", F.greatest(F.col("newest_qi") + 1, F.col("newest_qi") + reach))
 
 
-def line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: list price, discounted price and charged price, as exact whole numbers.
-
-    Only 64-bit numbers are summed, which stays in generated code. The two products are summed as
-    high and low part, so not even an order with a third of all lines could overflow; ``base_quarters``
-    puts them together.
-    """
-    return (
-        read_table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", exact_cents("l_extendedprice").alias("p"), (100 - exact_cents("l_discount")).alias("k"), (100 + exact_cents("l_tax")).alias("c"))
-        .selectExpr("l_orderkey", "p AS mof", "p * k AS sellin", "p * k * c AS sr")
-        .groupBy("l_orderkey")
-        .agg(
-            F.sum("mof").alias("mof"),
-            *[F.sum(F.expr(e)).alias(n) for n, e in {"d_hi": "sellin div 10000", "d_lo": "sellin % 10000", "s_hi": "sr div 1000000", "s_lo": "sr % 1000000"}.items()],
-        )
+def line_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line its order, list price in cents, and the percents that are charged of it after discount and with tax."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", exact_cents("l_extendedprice").alias("p"), (100 - exact_cents("l_discount")).alias("k"), (100 + exact_cents("l_tax")).alias("c")
     )
 
 
@@ -68,14 +57,22 @@ def series_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target and signals per series and quarter, every quarter from the first order to the end of the calendar present."""
-    halves = {"bb_hi": "bb div 1000000", "bb_lo": "bb % 1000000", "m_hi": "mof div 1000000", "m_lo": "mof % 1000000", "d_hi": "d_hi", "d_lo": "d_lo", "s_hi": "s_hi", "s_lo": "s_lo"}
-    whole = lambda part, scale: f"CAST(CAST({part}_hi AS DECIMAL(20,0)) * {scale} + {part}_lo AS DECIMAL(28,0))"
+    key = ["MARKET_SEGMENT", "c_nationkey", "qi"]
+    orders = series_orders(spark, sf_dir)
+    # four numbers a line cross the shuffle; a hash table of a partition's orders needs no sort of the lines, and its split where an order is huge
+    lines = orders.drop("bb").hint("shuffle_hash").join(line_factors(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"))
+    signals = lines.selectExpr(*key, "p AS mof", "p * k AS sellin", "p * k * c AS sr")
+
+    def halves(rows: DataFrame, *names: str) -> DataFrame:
+        """Sums of 64-bit numbers as high and low part: they stay in generated code and do not overflow."""
+        return rows.groupBy(*key).agg(*[F.sum(F.expr(e)).alias(f"{n}_{part}") for n in names for part, e in (("hi", f"{n} div 1000000"), ("lo", f"{n} % 1000000"))])
+
+    whole = lambda n: F.expr(f"CAST(sum(CAST({n}_hi AS DECIMAL(20,0))) * 1000000 + sum({n}_lo) AS DECIMAL(28,0))").alias(n)
     sums = (
-        series_orders(spark, sf_dir)
-        .join(line_sums(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        halves(orders, "bb")
+        .unionByName(halves(signals, "mof", "sellin", "sr"), allowMissingColumns=True)
         .groupBy("MARKET_SEGMENT", F.col("c_nationkey").cast("string").alias("BRAND"), "qi")
-        .agg(*[F.sum(F.expr(e)).alias(n) for n, e in halves.items()])
-        .selectExpr(*GRAIN, "qi", f"{whole('bb', 1000000)} AS bb", f"{whole('m', 1000000)} AS mof", f"{whole('d', 10000)} AS sellin", f"{whole('s', 1000000)} AS sr")
+        .agg(*[whole(n) for n in ("bb", "mof", "sellin", "sr")])
     )
     # A calendar array per series, built where the sums already are: no second pass over the orders.
     wide = sums.groupBy(*GRAIN).agg(
