@@ -17,6 +17,8 @@ from panelcast.llm.shared import U64, joined_rows, span_hashes
 LETTER, NUMBER, SPACE, OTHER, UNKNOWN = range(5)
 #: longer pieces are encoded each time
 LONGEST = 48
+#: pieces that the library encodes at once (its results are large objects)
+AT_ONCE = 4096
 
 
 class PieceEncoder:
@@ -34,12 +36,17 @@ class PieceEncoder:
 
     def clear(self) -> None:
         """Forget the pieces; the memory of a worker stays bounded."""
-        self.slots = 1 << int(np.ceil(np.log2(2 * self.most)))
-        self.keys = np.zeros(self.slots, U64)
-        self.places = np.zeros(self.slots, np.int32)
+        self.largest = 1 << int(np.ceil(np.log2(2 * self.most)))
+        self._resize(min(1 << 12, self.largest))
         self.at = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _resize(self, slots: int) -> None:
+        """An empty table of so many slots."""
+        self.slots = slots
+        self.keys = np.zeros(slots, U64)
+        self.places = np.zeros(slots, np.int32)
+
     def _classify(self, points: np.ndarray) -> None:
         pieces = lambda s: len(self.split.pre_tokenize_str(s))
         for p in points.tolist():
@@ -91,10 +98,20 @@ class PieceEncoder:
         return place
 
     def _add(self, h: np.ndarray, texts: list[str]) -> None:
-        ids = [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for k in range(0, len(texts), AT_ONCE) for e in self.model.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False)]
         places = np.arange(len(self.at) - 1, len(self.at) - 1 + len(ids), dtype=np.int32)
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in ids])])
         self.pool = np.concatenate([self.pool, np.array([i for x in ids for i in x], np.uint32)])
+        # the table grows with the pieces: it is half full at most, until it has its largest size
+        needed = min(1 << (2 * len(self.at)).bit_length(), self.largest)
+        if needed > self.slots:
+            held = self.keys != 0
+            keys, kept = self.keys[held], self.places[held]
+            self._resize(needed)
+            self._insert(keys, kept)
+        self._insert(h, places)
+
+    def _insert(self, h: np.ndarray, places: np.ndarray) -> None:
         left = np.arange(len(h))
         slot = (h & U64(self.slots - 1)).astype(np.int64)
         while len(left):
@@ -128,7 +145,7 @@ class PieceEncoder:
         if len(new):
             small = new[last[new] - first[new] <= LONGEST]
             fresh, where = np.unique(h[small], return_index=True)
-            room = self.most + self.slots // 4 - len(self.at)  # the table never fills up
+            room = self.most + self.largest // 4 - len(self.at)  # the table never fills up
             if len(fresh) > room:
                 self.clear()
                 return self._plain(text, rows)

@@ -1,12 +1,14 @@
 """What several operators share: stored steps, range buckets, and vectorised work on the bytes of Arrow text columns.
 
 The numpy helpers run inside ``mapInArrow`` tasks on the UTF-8 buffer of a whole record batch. They never build a Python
-string per row, and they work on slices of at most ``SLICE`` bytes (or one document, if that is longer).
+string per row, and they work on slices of at most ``SLICE`` bytes (or one document, if that is longer). Such a task is wrapped in ``released``,
+because the Python workers of an executor are reused, and what one task leaves behind counts for all that follow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelcast.session import scratch_dir
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 NULL_KEY = -(1 << 63)
 U64 = np.uint64
 
@@ -68,6 +70,28 @@ def range_bounds(df: DataFrame, key, parts: int) -> list[int]:
     return [] if row["m"] is None else sorted({row["m"], *row["q"]})
 
 
+# ---- memory of a Python worker
+
+
+def trim() -> None:
+    """Give freed memory back to the system, as far as Arrow's pool and the C library (glibc) can."""
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        give_back(0)
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that trims the worker's memory when its task has ended."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            trim()
+
+    return run
+
+
 # ---- bytes of an Arrow column
 
 
@@ -148,8 +172,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def span_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of an integer array, from one running polynomial sum."""
     up, down = _powers(len(values) + 1)
+    # one array of numbers, worked on in place
     total = np.zeros(len(values) + 1, U64)
-    np.cumsum((values.astype(U64) + U64(1)) * up[: len(values)], out=total[1:])
+    own = total[1:]
+    own[:] = values
+    own += U64(1)
+    own *= up[: len(values)]
+    np.cumsum(own, out=own)
     h = (total[last] - total[first]) * down[first]
     return mixed(h + (last - first).astype(U64) * U64(0xD6E8FEB86659FD93))
 

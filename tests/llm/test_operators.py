@@ -1,10 +1,12 @@
 """Each operator against a plain version of its definition, on tables with awkward rows, and on empty tables."""
 
 import bisect
+import ctypes
 import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -22,7 +24,7 @@ from xxhash import xxh64_intdigest
 
 import corpus_pipeline
 from panelcast.llm import bpe, chunks, components, fmindex, licenses, packing, pii, queries, secrets, simhash, spans, syncmers, tokenfiles, toxicity
-from panelcast.llm.shared import utf8
+from panelcast.llm.shared import released, span_hashes, utf8
 from tools.check import compare
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -454,6 +456,45 @@ def test_pieces_encode_like_whole_texts(texts):
     assert [ids[a:b].tolist() for a, b in zip(rows, rows[1:])] == [e.ids for e in PLAIN.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_table_of_pieces_grows_with_them():
+    model = bpe.PieceEncoder(VOCABULARY)
+    assert model.keys.nbytes + model.places.nbytes < 1 << 20
+    text = " ".join(f"w{i}x{i * 7}" for i in range(20_000))
+    data, offsets = utf8(pa.array([text]))
+    for _ in range(2):
+        assert model.encode(data, offsets)[0].tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+    assert 2 * (len(model.at) - 1) <= model.slots < 8 * len(model.at)
+
+
+def test_hashes_of_spans_take_one_array_of_numbers():
+    values = np.arange(1 << 20, dtype=np.int64).astype(np.uint8)
+    at = np.array([0, 5])
+    span_hashes(values, at, at + 3)  # makes the powers
+    tracemalloc.start()
+    span_hashes(values, at, at + 3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.5 * 8 * len(values)
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs glibc")
+def test_worker_gives_memory_back_after_a_task():
+    def held():
+        with open("/proc/self/status") as f:
+            return int(next(x for x in f if x.startswith("RssAnon")).split()[1]) // 1024
+
+    def work(batches):
+        for batch in batches:
+            blocks = [np.ones(60_000, np.uint8) for _ in range(3000)]
+            kept.append(blocks.pop())  # at the end of the heap, so that the rest isn't given back by itself
+            yield batch
+
+    kept = []
+    before = held()
+    assert len(list(released(work)(iter([pa.record_batch({"a": [1]})])))) == 1
+    assert held() - before < 60
+
+
 def test_encoder_forgets_and_goes_on():
     model = bpe.PieceEncoder(VOCABULARY, most_pieces=50)
     rng = random.Random(6)
