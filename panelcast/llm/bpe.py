@@ -22,7 +22,7 @@ AT_ONCE = 4096
 
 
 class PieceEncoder:
-    def __init__(self, path: str, most_pieces: int = 1_500_000) -> None:
+    def __init__(self, path: str, most_pieces: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread for each task
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel

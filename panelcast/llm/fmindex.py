@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, numbered, released, runs, slices, span_hashes, unused, utf8, without
+from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, joined_rows, mapped, numbered, runs, slices, span_hashes, unused, utf8, without
 
 WINDOW = 13
 SAMPLE_RATE = 8
 BLOCK = 256
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 
 
 class Windows:
@@ -229,7 +229,7 @@ def find_windows(spark: SparkSession, docs: DataFrame, items: Sequence[tuple], *
     made = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("items", T.ArrayType(T.StringType())), ("spans", SPANS)]
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     schema = T.StructType([*(T.StructField(str(k), f.dataType, True) for k, f in enumerate(docs.schema.fields)), *(T.StructField(str(len(names) + k), t) for k, (_, t) in enumerate(made))])
-    return plain.mapInArrow(released(run), schema).toDF(*names, *(prefix + n for n, _ in made))
+    return mapped(plain, run, schema).toDF(*names, *(prefix + n for n, _ in made))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, prefix: str = "", window: int = WINDOW, block_chars: int = 8 << 20) -> DataFrame:

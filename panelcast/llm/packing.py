@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.bpe import encoded_rows
-from panelcast.llm.shared import released, stored
+from panelcast.llm.shared import mapped, stored
 
 LENGTH = 2048
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, part long, open boolean, ids binary"
@@ -161,7 +161,7 @@ def pack(
 
         return run
 
-    at = stored(spark, docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(first_level), SCHEMA), "packing")
+    at = stored(spark, mapped(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), first_level, SCHEMA), "packing")
     result = at.filter("not open")
     parts, level = at.agg(F.max("part").alias("n")).first()["n"], 0
     while parts is not None:

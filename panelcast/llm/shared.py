@@ -1,8 +1,8 @@
 """What several operators share: stored steps, range buckets, and vectorised work on the bytes of Arrow text columns.
 
 The numpy helpers run inside ``mapInArrow`` tasks on the UTF-8 buffer of a whole record batch. They never build a Python
-string per row, and they work on slices of at most ``SLICE`` bytes (or one document, if that is longer). Such a task is wrapped in ``released``,
-because the Python workers of an executor are reused, and what one task leaves behind counts for all that follow.
+string per row, and they work on slices of at most ``SLICE`` bytes (or one document, if that is longer). Such a step is made by ``mapped``: its batches
+are small, and it is wrapped in ``released``, because the Python workers of an executor are reused, and what one task leaves behind counts for all that follow.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelcast.session import scratch_dir
 
 SLICE = 1 << 20
+#: most bytes of a batch on its way to a Python worker, or one row
+BATCH = 2 << 20
 NULL_KEY = -(1 << 63)
 U64 = np.uint64
 
@@ -92,6 +95,16 @@ def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
     return run
 
 
+def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` by batches of at most ``BATCH`` bytes, wrapped in ``released``.
+
+    By default a batch takes 10,000 rows, up to 64 MB of texts, which the worker holds once and the JVM several times outside its heap (buffers that
+    double as they grow). The limit is a setting of the session and holds for what runs in it from now on.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    return df.mapInArrow(released(work), schema)
+
+
 # ---- bytes of an Arrow column
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.components import components
-from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, numbered, released, runs, slices, stored, unused, utf8
+from panelcast.llm.shared import LOWER, SPACES, U64, documents, joined_rows, mapped, numbered, runs, slices, stored, unused, utf8
 
 WORDS = 4
 BITS = 4
@@ -88,7 +88,7 @@ def with_fingerprints(docs: DataFrame, *, text: str = "text", name: str = "fp")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(whole)], names=[str(k) for k in range(len(names) + 1)])
 
     schema = T.StructType([*(T.StructField(str(k), f.dataType, True) for k, f in enumerate(docs.schema.fields)), T.StructField(str(len(names)), T.LongType())])
-    return docs.toDF(*[f"c{k}" for k in range(len(names))]).mapInArrow(released(run), schema).toDF(*names, name)
+    return mapped(docs.toDF(*[f"c{k}" for k in range(len(names))]), run, schema).toDF(*names, name)
 
 
 def triples() -> list[tuple[int, int, int]]:
@@ -192,7 +192,7 @@ def links(spark: SparkSession, fps: DataFrame, *, bits: int = BITS, pairwise: in
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = named.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return dealt.mapInArrow(released(run), "a long, b long").distinct()
+    return mapped(dealt, run, "a long, b long").distinct()
 
 
 def near_duplicates(spark: SparkSession, rows: DataFrame) -> DataFrame:

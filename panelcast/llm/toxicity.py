@@ -32,13 +32,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, released, runs, slices, span_hashes, stored, utf8, without
+from panelcast.llm.shared import ALNUM, LOWER, U64, code_points_before, documents, mapped, runs, slices, span_hashes, stored, utf8, without
 
 #: 0: the whole word; else its first bytes, if it is longer
 PREFIXES = (0, 10, 8, 6)
 ALL, CLEAN_A, CLEAN_B, TOXIC_A, TOXIC_B = range(5)
 #: a task sends its counts when it holds so many tokens
-HELD = 1 << 19
+HELD = 1 << 18
 #: errors from zero below which a token has no weight
 LEAST_Z = 2.5
 NONE = U64(0)
@@ -316,7 +316,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
         yield batch_of(pa.nulls(1, pa.int64()), sums)
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    table = text.mapInArrow(released(counted), "token long, " + ", ".join(f"{c} long" for c in columns)).groupBy("token").agg(*(F.sum(c).alias(c) for c in columns))
+    table = mapped(text, counted, "token long, " + ", ".join(f"{c} long" for c in columns)).groupBy("token").agg(*(F.sum(c).alias(c) for c in columns))
     counts = stored(spark, table.filter("token is null or c1 + c2 + c3 + c4 > 0"), "token-counts")
     sums = np.array([0 if v is None else v for v in counts.filter("token is null").agg(*(F.sum(c) for c in columns)).first()], np.int64)
 
@@ -330,7 +330,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
             yield pa.RecordBatch.from_arrays(arrays, names=["token", *(f"{c}{k}" for k in range(3) for c in "wzn")])
 
     schema = "token long, " + ", ".join(f"w{k} double, z{k} double, n{k} long" for k in range(3))
-    got = counts.filter("token is not null").mapInArrow(released(weighed), schema).toArrow()
+    got = mapped(counts.filter("token is not null"), weighed, schema).toArrow()
     token = got.column("token").to_numpy().view(U64)
     order = np.argsort(token)
     column = lambda c: got.column(c).to_numpy()[order]
@@ -357,7 +357,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, train_rows
                 made = [pa.array(group[a:b] >= TOXIC_A), pa.array(fold.astype(np.int32)), pa.array(words.astype(np.int64)), pa.array(listed, pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), *made], names=["doc_id", "toxic", "fold", "words", "scores"])
 
-    rows = stored(spark, text.mapInArrow(released(scored), "doc_id long, toxic boolean, fold int, words long, scores array<double>"), "training-scores")
+    rows = stored(spark, mapped(text, scored, "doc_id long, toxic boolean, fold int, words long, scores array<double>"), "training-scores")
     sent_halves.destroy()
     sent.destroy()
     scale, x, y = training_features(rows, [half.rate for half in halves], final.significance)
@@ -396,7 +396,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, *, text: str = "te
 
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     schema = T.StructType([*(T.StructField(str(k), f.dataType, True) for k, f in enumerate(docs.schema.fields)), *(T.StructField(str(len(names) + k), t) for k, (_, t) in enumerate(made))])
-    return plain.mapInArrow(released(run), schema).toDF(*names, *(prefix + n for n, _ in made))
+    return mapped(plain, run, schema).toDF(*names, *(prefix + n for n, _ in made))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from xxhash import xxh64_intdigest
 
 import corpus_pipeline
 from panelcast.llm import bpe, chunks, components, fmindex, licenses, packing, pii, queries, secrets, simhash, spans, syncmers, tokenfiles, toxicity
-from panelcast.llm.shared import released, span_hashes, utf8
+from panelcast.llm.shared import BATCH, mapped, released, span_hashes, utf8
 from tools.check import compare
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -495,6 +495,36 @@ def test_worker_gives_memory_back_after_a_task():
     assert held() - before < 60
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def test_batches_of_long_texts_are_small(spark, tmp_path):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    spark.range(3000).select(F.repeat(F.lit("x"), 4000).alias("text")).coalesce(1).write.parquet(str(tmp_path / "texts"))
+    held = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, "64m")
+        got = mapped(spark.read.parquet(str(tmp_path / "texts")).coalesce(1), sizes, "n long, size long").collect()
+    finally:
+        spark.conf.set(BATCH_BYTES, held)
+    assert sum(r.n for r in got) == 3000
+    assert max(r.size for r in got) < 1.1 * BATCH
+
+
+@pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES if s[0] != "secrets"], ids=lambda s: s[0])
+def test_stages_with_python_work_ask_for_small_batches(spark, edge_dir, stage):
+    held = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.set(BATCH_BYTES, "64m")
+        stage[1](spark, spark.read.parquet(f"{edge_dir}/documents.parquet"), edge_dir)
+        assert spark.conf.get(BATCH_BYTES) == str(BATCH)
+    finally:
+        spark.conf.set(BATCH_BYTES, held)
+
+
 def test_encoder_forgets_and_goes_on():
     model = bpe.PieceEncoder(VOCABULARY, most_pieces=50)
     rng = random.Random(6)
