@@ -305,3 +305,13 @@ def test_fitted_rivals_compete(spark, data):
     best = {r["PARTITION_COLUMN"]: r for r in L.rival_champions(rivals, ["PARTITION_COLUMN"]).collect()}
     for p, g in val.groupby("PARTITION_COLUMN"):
         assert best[p]["MODEL_USED"] == g.sort_values("ape")["MODEL_USED"].iloc[0]
+
+
+def test_ridge_of_nearly_equal_regressors_keeps_the_penalty():
+    x = np.array([[12663.8275, 10131.062]] * 4 + [[98420.9075, 88867.788]])
+    y = np.array([50655.31] * 4 + [393683.63])
+    dx, dy = x - x.mean(0), y - y.mean()
+    beta = M._solve((dx.T @ dx / 5 + np.eye(2) / 5)[None], (dx.T @ dy / 5)[None])[0]
+    # by exact fractions
+    assert beta == pytest.approx([2.17040374, 1.99272742], rel=1e-4)
+    assert y.mean() - beta @ x.mean(0) == pytest.approx(2981.2464, abs=0.05)
